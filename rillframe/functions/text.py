@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from functools import cache
+from functools import cache, reduce
 
 from pyspark.sql import Column, functions as F
 
 UNITS = 0x10000
 SURROGATES = range(0xD800, 0xE000)
+FEW = 16
 
 
 def word_count(text: Column) -> Column:
@@ -50,18 +51,15 @@ def _alphabet(shift: int) -> tuple[str, str]:
     return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
 
 
-def _odd(shift: int) -> str:
-    """A pattern for the characters that ``_alphabet`` leaves out."""
-    left = [u for u in range(UNITS) if u not in SURROGATES
-            and (u == 0 or (u + shift) % UNITS in SURROGATES or (u + shift) % UNITS == 0)]
-    spans: list[list[int]] = []
-    for u in left:
-        if spans and u == spans[-1][1] + 1:
-            spans[-1][1] = u
-        else:
-            spans.append([u, u])
-    inside = "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in spans)
-    return f"[{inside}\\x{{10000}}-\\x{{10ffff}}]"
+def _has_odd(text: Column, shift: int) -> Column:
+    """Whether a text has characters that ``_alphabet`` leaves out."""
+    odd = [unit for unit in range(UNITS) if unit not in SURROGATES
+           and (unit == 0 or (unit + shift) % UNITS in SURROGATES or (unit + shift) % UNITS == 0)]
+    beyond = F.octet_length(F.encode(text, "UTF-16BE")) > F.char_length(text) * 2
+    if len(odd) <= FEW:
+        return reduce(lambda a, b: a | b, [F.contains(text, F.lit(chr(unit))) for unit in odd], beyond)
+    inside = "".join(f"\\x{{{unit:x}}}" for unit in odd)
+    return beyond | F.rlike(text, F.lit(f"[{inside}]"))
 
 
 def _units(text: Column) -> Column:
@@ -98,6 +96,6 @@ def shift_text(text: Column, shift: int) -> Column:
     source, target = _alphabet(shift % UNITS)
     return (
         F.when(text.isNull(), F.lit(None).cast("string"))
-        .when(F.rlike(text, F.lit(_odd(shift % UNITS))), _shift_units(text, shift))
+        .when(_has_odd(text, shift % UNITS), _shift_units(text, shift))
         .otherwise(F.translate(text, source, target))
     )

@@ -36,6 +36,9 @@ FAULTS = f"""{EV}, marked AS (
   FROM ev)"""
 
 
+CLOSED = f"""{EV}, mark AS (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 1 HOUR AS at_least FROM ev)"""
+
+
 def _kept(condition: str) -> str:
     return f"{PLACED} SELECT user_id, CAST(day AS VARCHAR) AS day, event_id FROM placed WHERE {condition}"
 
@@ -138,6 +141,12 @@ SELECT lang, count(*) FILTER (WHERE length(w) < 5) AS short_words,
   UNION ALL SELECT 'region', CAST(r_regionkey AS BIGINT), r_name FROM region
   UNION ALL SELECT 'part', p_partkey, p_name FROM part)
 SELECT producer, seq, 'text' AS consumer, msg AS value FROM t
+UNION ALL SELECT producer, seq, 'size', CAST(length(msg) AS VARCHAR) FROM t""",
+    "pubsub_stream": """WITH t AS (
+  SELECT 'nation' AS producer, CAST(n_nationkey AS BIGINT) AS seq, n_name AS msg FROM nation
+  UNION ALL SELECT 'region', CAST(r_regionkey AS BIGINT), r_name FROM region
+  UNION ALL SELECT 'part', p_partkey, p_name FROM part)
+SELECT producer, seq, 'text' AS consumer, msg AS value FROM t
 UNION ALL SELECT producer, seq, 'size', CAST(length(msg) AS VARCHAR) FROM t""",
     "throttle": f"""{EV}, a AS (
   SELECT user_id, event_id, ts, epoch_us(ts) AS came,
@@ -183,6 +192,19 @@ FROM duty GROUP BY idx, day""",
        md5(array_to_string(list_transform(string_split(text, ''), lambda c: chr(unicode(c) + 3)), '')) AS digest
 FROM documents""",
     "mask_roundtrip": "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS differing FROM documents",
+    "ingest_files": "SELECT o_orderstatus, count(*) AS rows, CAST(sum(o_orderkey) AS BIGINT) AS keys "
+                    "FROM orders GROUP BY o_orderstatus",
+    "ack_sink": "SELECT o_orderstatus, count(*) AS rows, CAST(sum(o_orderkey) AS BIGINT) AS keys "
+                "FROM orders GROUP BY o_orderstatus",
+    "conflate_stream": f"""{CLOSED} SELECT user_id, CAST(day AS VARCHAR) AS day,
+       CASE WHEN count(*) = 1 THEN min(event_type)
+            ELSE 'You have ' || count(*) || ' events that require your attention' END AS description,
+       count(*) AS instances
+FROM ev WHERE day + INTERVAL 1 DAY <= (SELECT at_least FROM mark) GROUP BY user_id, day""",
+    "scan_stream": f"""{CLOSED}, passed AS (SELECT * FROM ev WHERE ts <= (SELECT at_least FROM mark))
+SELECT user_id, row_number() OVER w AS place, event_id, CAST(sum(v) OVER w AS BIGINT) AS running FROM passed
+WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)
+UNION ALL SELECT DISTINCT user_id, CAST(0 AS BIGINT), CAST(NULL AS BIGINT), CAST(0 AS BIGINT) FROM passed""",
     "hop_distance": """WITH RECURSIVE edges AS (SELECT DISTINCT l_partkey AS p, l_suppkey AS s FROM lineitem),
 walk(kind, node, hops) AS (
   SELECT 'l_suppkey', CAST(0 AS BIGINT), CAST(0 AS BIGINT)

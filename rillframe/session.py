@@ -17,6 +17,7 @@ def local_session(cpus: int = 8, memory: str = "12g", shared: str | None = None)
         .appName("rillframe")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.ansi.enabled", "true")

@@ -1,0 +1,131 @@
+"""The ordered operators as folds over one key's rows, and two that need none.
+
+Each step is what a single row does to the state of its key; ``stateful`` runs
+it in event-time order. The table operators give the same rows in closed form.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Row, functions as F
+
+from rillframe.operators import segments
+from rillframe.streaming.stateful import Fold
+
+
+def scan(value: str, unique: str, seed: int = 0) -> Fold:
+    """Running sum with the seed as an extra row at place 0."""
+
+    def step(state, row):
+        place, total = state
+        first = [(0, None, seed)] if place == 0 else []
+        place, total = place + 1, total + (row[value] or 0)
+        return (place, total), [*first, (place, row[unique], total)]
+
+    return Fold("place bigint, total bigint", (0, seed), step, "place bigint, id bigint, running bigint")
+
+
+def split_when(opens: str, unique: str) -> Fold:
+    """Number the segments; a row that meets ``opens`` starts the next one."""
+
+    def step(state, row):
+        segment = state[0] + bool(row[opens])
+        return (segment,), [(segment, row[unique], bool(row[opens]))]
+
+    return Fold("segment bigint", (0,), step, "segment bigint, id bigint, opener boolean")
+
+
+def batches(size: int, unique: str, end: Callable[[Row], int] | None = None) -> Fold:
+    """Batches of ``size``; a short last batch comes out when its group has ended."""
+
+    def emit(number, items):
+        return (number, len(items), ",".join(map(str, items)))
+
+    def step(state, row):
+        number, items = state[0], [*state[1], row[unique]]
+        if len(items) < size:
+            return (number, items), []
+        return (number + 1, []), [emit(number, items)]
+
+    def finish(state):
+        return [emit(*state)] if state[1] else []
+
+    return Fold("batch bigint, items array<bigint>", (0, []), step, "batch bigint, size bigint, ids string", end, finish)
+
+
+def throttle(n: int, per: int, unique: str) -> Fold:
+    """Release at most n rows per ``per`` micros, evenly spaced."""
+    gap = per // n
+
+    def step(state, row):
+        release = row["at"] if state[0] is None else max(row["at"], state[0] + gap)
+        return (release,), [(row[unique], release)]
+
+    return Fold("release bigint", (None,), step, "id bigint, release bigint")
+
+
+def shed(n: int, policy: str, unique: str, end: Callable[[Row], int]) -> Fold:
+    """A buffer of n rows that is read when its group has ended."""
+    overflow = {
+        "drop_head": lambda kept, new: [*kept[1:], new],
+        "drop_tail": lambda kept, new: [*kept[:-1], new],
+        "drop_new": lambda kept, new: kept,
+        "drop_buffer": lambda kept, new: [new],
+    }[policy]
+
+    def step(state, row):
+        kept, new = list(state[0]), row[unique]
+        return ([*kept, new] if len(kept) < n else overflow(kept, new),), []
+
+    return Fold("kept array<bigint>", ([],), step, "id bigint", end, lambda state: [(i,) for i in state[0]])
+
+
+def stop(bad: str, unique: str, value: str, sentinel: int | None = None) -> Fold:
+    """Rows before the first faulty one; then the sentinel, if there is one."""
+
+    def step(state, row):
+        if state[0]:
+            return state, []
+        if not row[bad]:
+            return state, [(row[unique], row[value], False)]
+        return (True,), [] if sentinel is None else [(row[unique], sentinel, True)]
+
+    return Fold("stopped boolean", (False,), step, "id bigint, value bigint, recovered boolean")
+
+
+def restart_scan(bad: str, value: str, unique: str) -> Fold:
+    """A running sum that starts again after every faulty row."""
+
+    def step(state, row):
+        epoch, total = state
+        if row[bad]:
+            return (epoch + 1, 0), []
+        total += row[value]
+        return (epoch, total), [(row[unique], epoch, total)]
+
+    return Fold("epoch bigint, total bigint", (0, 0), step, "id bigint, epoch bigint, running bigint")
+
+
+def extrapolate(tick: str, value: str, counting: bool = True) -> Fold:
+    """Fill the ticks up to the row that has just come, from the last real value."""
+
+    def step(state, row):
+        at, last = state
+        if at is None or row[tick] == at:
+            return (row[tick], row[value]), []
+        filled = [(at + i, last + i * counting, i > 0) for i in range(row[tick] - at)]
+        return (row[tick], row[value]), filled
+
+    return Fold("tick bigint, value bigint", (None, None), step, "tick bigint, value bigint, synthetic boolean")
+
+
+def conflate(stream: DataFrame, by: list[str], time: str, period: str, description: str) -> DataFrame:
+    """Merge the events of a busy period; built-in window state, combined before the shuffle."""
+    periods = stream.withColumn("window", F.window(time, period))
+    return segments.conflate(periods, [*by, "window"], description)
+
+
+def take_until(stream: DataFrame, time: str, cutoff) -> DataFrame:
+    """Rows before the cutoff; give several streams the same cutoff to end them together."""
+    return stream.filter(F.col(time) < F.lit(cutoff))

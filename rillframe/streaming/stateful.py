@@ -1,0 +1,110 @@
+"""Ordered operators with state per key, on event time.
+
+Micro-batches bring rows in any order. Rows of a key wait until the watermark
+has passed them, are then taken in (time, id) order, and move the state of the
+key forward one by one. State lives in the state store and survives restarts.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Row, functions as F, types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+Step = Callable[[tuple, Row], tuple[tuple, list[tuple]]]
+
+
+@dataclass(frozen=True)
+class Fold:
+    """How one row changes the state and what it emits.
+
+    ``end`` gives, for a row, the micros at which its group is finished;
+    ``finish`` then emits what is left and the state is cleared.
+    """
+
+    state: str
+    start: tuple
+    step: Step
+    out: str
+    end: Callable[[Row], int] | None = None
+    finish: Callable[[tuple], list[tuple]] | None = None
+
+
+class OrderedFold(StatefulProcessor):
+    def __init__(self, fold: Fold, rows: T.StructType, place: tuple[str, str], out: list[str]):
+        self.fold, self.rows, self.place, self.out = fold, rows, place, out
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle, self.row, self.out_row = handle, Row(*self.rows.names), Row(*self.out)
+        self.waiting = handle.getListState("waiting", self.rows)
+        self.current = handle.getValueState("current", self.fold.state)
+        self.alarm = handle.getValueState("alarm", "at bigint")
+        self.until = handle.getValueState("until", "at bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        arrived = list(rows)
+        self.waiting.appendList([tuple(r[c] for c in self.rows.names) for r in arrived])
+        self._wake(min(r[self.place[0]] for r in arrived))
+        if self.fold.end:
+            self.until.update((max(self.fold.end(r) for r in arrived),))
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        self.alarm.clear()
+        rows = [self.row(*r) for r in self.waiting.get()]
+        ready = sorted((r for r in rows if r[self.place[0]] <= passed), key=lambda r: tuple(r[c] for c in self.place))
+        later = [r for r in rows if r[self.place[0]] > passed]
+        state = self.current.get() if self.current.exists() else self.fold.start
+        emitted: list[tuple] = []
+        for row in ready:
+            state, out = self.fold.step(tuple(state), row)
+            emitted += out
+        if later:
+            self.waiting.put([tuple(r) for r in later])
+            self._wake(min(r[self.place[0]] for r in later))
+        else:
+            self.waiting.clear()
+        if self.fold.end and not later:
+            until = self.until.get()[0]
+            if until <= passed:
+                emitted += self.fold.finish(tuple(state))
+                self.current.clear()
+                self.until.clear()
+                return self._named(key, emitted)
+            self._wake(until)
+        self.current.update(tuple(state))
+        return self._named(key, emitted)
+
+    def _named(self, key, emitted: list[tuple]) -> Iterator[Row]:
+        return iter([self.out_row(*key, *values) for values in emitted])
+
+    def _wake(self, micros: int) -> None:
+        """One alarm per key, at the first millisecond not before ``micros``."""
+        at = -(-micros // 1000)
+        if self.alarm.exists():
+            old = self.alarm.get()[0]
+            if old <= at:
+                return
+            self.handle.deleteTimer(old)
+        self.handle.registerTimer(at)
+        self.alarm.update((at,))
+
+    def close(self) -> None:
+        return None
+
+
+def fold_stream(df: DataFrame, by: list[str], time: str, unique: str, fold: Fold) -> DataFrame:
+    """Apply a fold per key to a stream with a watermark on ``time``.
+
+    The rows handed to the fold have the time as whole micros in ``at``.
+    """
+    timed = df.withColumn("at", F.unix_micros(time))
+    schema = timed.drop(*by, time).schema
+    out = T.StructType([*[df.schema[c] for c in by], *T.StructType.fromDDL(fold.out).fields])
+    return timed.groupBy(*by).transformWithState(
+        statefulProcessor=OrderedFold(fold, schema, ("at", unique), out.names),
+        outputStructType=out, outputMode="Append", timeMode="EventTime",
+    )
