@@ -14,6 +14,14 @@ from rillframe.operators import segments
 from rillframe.streaming.stateful import Fold
 
 
+DAY = 86_400_000_000
+
+
+def day_end(row: Row) -> int:
+    """Groups that last a (UTC) day end with it."""
+    return (row["at"] // DAY + 1) * DAY
+
+
 def scan(value: str, unique: str, seed: int = 0) -> Fold:
     """Running sum with the seed as an extra row at place 0."""
 
