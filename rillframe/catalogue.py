@@ -15,7 +15,7 @@ from rillframe.operators import (
     basic, combine, enrich, fanout, faults, feedback, masking, measure, rates, segments,
 )
 from rillframe.plans import Lineup
-from rillframe.session import pin
+from rillframe.session import fit_shuffles, pin
 from rillframe.sources import topics
 from rillframe.sources.tables import table
 
@@ -30,7 +30,8 @@ BAD = "k = 13"
 
 def query(fn: Query) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return fn(pin(spark), folder)
+        fit_shuffles(pin(spark), folder)
+        return fn(spark, folder)
 
     QUERIES[fn.__name__] = run
     return run

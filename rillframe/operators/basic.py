@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce as reduce_columns
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rillframe.functions.values import draw
 
-from rillframe.plans import Lineup
+from rillframe.plans import Lineup, match_keys
+from rillframe.session import settled
 
 FIRST_ROWS = 100_000
 
@@ -75,24 +75,17 @@ def cut_at(df: DataFrame, limits: DataFrame, at: str, limit: str, by: list[str]
     """Rows before the limit of their stream; a stream without a limit is whole.
 
     ``limits`` has one row per stream, or a single row for all when ``by`` is
-    empty, which is read as a scalar. The join is left to the adaptive planner,
-    which broadcasts few limits and splits skewed streams.
+    empty, which is read as a scalar. Limits per stream are written first: the
+    planner then knows whether they are few enough to broadcast, and the rows
+    need not move. Otherwise the join shuffles and skewed streams are split.
     """
     if not by:
         only = limits.agg(F.max(limit).alias("limit")).scalar()
         return df.filter(only.isNull() | (F.col(at) < only))
-    joined = match_keys(df, limits.select(*by, F.col(limit).alias("_limit")), list(by), "left")
+    joined = match_keys(df, settled(limits.select(*by, F.col(limit).alias("_limit"))), list(by), "left")
     return joined.filter(F.col("_limit").isNull() | (F.col(at) < F.col("_limit"))).drop("_limit")
 
 
-def match_keys(left: DataFrame, right: DataFrame, by: list[str], how: str) -> DataFrame:
-    """Equi-join in which a NULL key matches a NULL key; keeps the left key columns."""
-    renamed = right.select(*[F.col(c).alias(f"_{c}") if c in by else F.col(c) for c in right.columns])
-    on = reduce_columns(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by])
-    out = left.join(renamed, on, how)
-    return out if how in ("left_semi", "left_anti") else out.drop(*[f"_{c}" for c in by])
-
-
 def reject_nulls(df: DataFrame, columns: list[str]) -> DataFrame:
     """Fail the job on a NULL in any of the columns."""
     whole = F.lit(True)

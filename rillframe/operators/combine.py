@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from rillframe.operators.basic import match_keys
 from rillframe.plans import Lineup
 
 
@@ -20,14 +19,8 @@ def labelled(*inputs: DataFrame, name: str = "src") -> DataFrame:
 
 
 def concat(inputs: list[DataFrame], order: list[str], place: str = "place") -> DataFrame:
-    """The first input, then the second, and so on; ``place`` numbers the result from 0.
-
-    Rows are numbered inside their input; the inputs before them shift the
-    number. The shifts are one row per input.
-    """
-    both = labelled(*inputs)
-    inside = Lineup.of(both, ["src"], order).numbered(place).rows()
-    return _shifted(inside, both, [], "src", place)
+    """The first input, then the second, and so on; ``place`` numbers the result from 0."""
+    return Lineup.of(labelled(*inputs), [], ["src", *order]).numbered(place).rows()
 
 
 def merge_preferred(preferred: DataFrame, others: list[DataFrame], ready: list[str], order: list[str],
@@ -37,22 +30,8 @@ def merge_preferred(preferred: DataFrame, others: list[DataFrame], ready: list[s
     ``ready`` names the columns that say when a row is available (a day, say);
     ``place`` numbers the rows inside it from 0.
     """
-    both = labelled(preferred, merge(*others)).withColumnRenamed("src", "rank")
-    inside = Lineup.of(both, [*ready, "rank"], order).numbered(place).rows()
-    return _shifted(inside, both, ready, "rank", place)
-
-
-def _shifted(inside: DataFrame, rows: DataFrame, by: list[str], rank: str, place: str) -> DataFrame:
-    """Add the number of rows of lower ranks in the same group, known from counts alone.
-
-    A group of counts has one row per rank, so their window is tiny.
-    """
-    ranks = rows.groupBy(*by, rank).agg(F.count(F.lit(1)).alias("_rows"))
-    lower = Window.partitionBy(*by).orderBy(rank).rowsBetween(Window.unboundedPreceding, -1)
-    shifts = ranks.select(*by, rank, F.sum("_rows").over(lower).alias("_shift"))
-    joined = match_keys(inside, shifts, [*by, rank], "left")
-    moved = (F.col(place) + F.coalesce(F.col("_shift"), F.lit(0))).cast("bigint")
-    return joined.withColumn(place, moved).drop("_shift")
+    both = labelled(preferred, merge(*others), name="rank")
+    return Lineup.of(both, ready, ["rank", *order]).numbered(place).rows()
 
 
 def zip_same(df: DataFrame, **values: Column) -> DataFrame:

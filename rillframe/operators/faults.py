@@ -2,26 +2,27 @@
 
 ``bad`` marks the row on which a stream would fail. Cuts look up the first
 faulty place of each group, which combines before the shuffle, and compare
-every row with it; no group is gathered in one task for that.
+every row with it; no group is gathered in one task for that. The places are
+written first, so that the planner knows their size: few are broadcast and the
+rows stay where they are, many are joined with a shuffle that splits skewed keys.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from rillframe.operators.basic import match_keys
-from rillframe.plans import Lineup, sum_run
+from rillframe.plans import Lineup, match_keys, sum_run
+from rillframe.session import settled
 
 
 def first_faults(df: DataFrame, by: list[str], order: list[str], bad: Column) -> DataFrame:
     """The first faulty place of each group that has one; groups without are absent."""
     place = F.min(F.struct(*order)).alias("_fault")
-    return df.filter(bad).groupBy(*by).agg(place).filter("_fault is not null")
+    found = df.filter(bad).groupBy(*by).agg(place).filter("_fault is not null")
+    return settled(found) if by else found
 
 
-def stop(df: DataFrame, by: list[str], order: list[str], bad: Column) -> DataFrame:
-    """The rows before the first faulty one of their group."""
-    cuts = first_faults(df, by, order, bad)
+def _before(df: DataFrame, by: list[str], order: list[str], cuts: DataFrame) -> DataFrame:
     if not by:
         only = cuts.scalar()
         return df.filter(only.isNull() | (F.struct(*order) < only))
@@ -29,6 +30,11 @@ def stop(df: DataFrame, by: list[str], order: list[str], bad: Column) -> DataFra
     return joined.filter(F.col("_fault").isNull() | (F.struct(*order) < F.col("_fault"))).drop("_fault")
 
 
+def stop(df: DataFrame, by: list[str], order: list[str], bad: Column) -> DataFrame:
+    """The rows before the first faulty one of their group."""
+    return _before(df, by, order, first_faults(df, by, order, bad))
+
+
 def recover(df: DataFrame, by: list[str], order: list[str], bad: Column, sentinel: dict[str, Column]) -> DataFrame:
     """The rows before the first fault, then one sentinel row in its place.
 
@@ -39,7 +45,7 @@ def recover(df: DataFrame, by: list[str], order: list[str], bad: Column, sentine
     places = {c: F.col("_fault")[c] for c in order}
     rows = {c: F.lit(None) for c in df.columns} | {c: F.col(c) for c in by} | places | sentinel
     ends = cuts.select(*[rows[c].cast(df.schema[c].dataType).alias(c) for c in df.columns])
-    good = stop(df, by, order, bad).withColumn("recovered", F.lit(False))
+    good = _before(df, by, order, cuts).withColumn("recovered", F.lit(False))
     return good.unionByName(ends.withColumn("recovered", F.lit(True)))
 
 
@@ -51,8 +57,8 @@ def recover_with(df: DataFrame, by: list[str], order: list[str], bad: Column, fa
     second, and so on. A fault in the last one fails the job. ``attempt`` is 0
     for the original rows.
     """
-    out = stop(df, by, order, bad).withColumn("attempt", F.lit(0))
     failed = first_faults(df, by, order, bad)
+    out = _before(df, by, order, failed).withColumn("attempt", F.lit(0))
     for attempt, fallback in enumerate(fallbacks, start=1):
         if by:
             rows = match_keys(fallback, failed.select(*by), by, "left_semi")
@@ -63,7 +69,7 @@ def recover_with(df: DataFrame, by: list[str], order: list[str], bad: Column, fa
             rows = rows.filter(F.when(bad, text).otherwise(F.lit(True)))
         else:
             failed = first_faults(rows, by, order, bad)
-            rows = stop(rows, by, order, bad)
+            rows = _before(rows, by, order, failed)
         out = out.unionByName(rows.withColumn("attempt", F.lit(attempt)))
     return out
 

@@ -14,6 +14,7 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from rillframe.plans.keys import match_keys
 from rillframe.plans.slices import SLICE, add_slices
 
 
@@ -80,11 +81,12 @@ class Lineup:
     by: list[str]
     order: list[str]
     sliced: bool
+    null_keys: bool = False
 
     @classmethod
     def of(cls, df: DataFrame, by: list[str], order: list[str]) -> Lineup:
-        frame, sliced = add_slices(df, list(by), list(order))
-        return cls(frame, list(by), list(order), sliced)
+        found = add_slices(df, list(by), list(order))
+        return cls(found.frame, list(by), list(order), found.sliced, found.null_keys)
 
     @property
     def _parts(self) -> list[str]:
@@ -111,7 +113,9 @@ class Lineup:
         before = Window.partitionBy(*self.by).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
         carries = totals.select(*self._parts, *[run.carry(n, before).alias(f"_carry_{n}") for n, run in runs.items()])
         kept = [c for c in local.columns if c not in runs]
-        joined = local.join(carries, self._parts, "left").select(
+        # the plain join finds both sides partitioned as needed, the NULL-safe one does not
+        matched = match_keys if self.null_keys else DataFrame.join
+        joined = matched(local, carries, self._parts, "left").select(
             *kept, *[run.join(F.col(n), F.col(f"_carry_{n}")).alias(n) for n, run in runs.items()]
         )
         return replace(self, frame=joined)
@@ -133,7 +137,7 @@ class Lineup:
         # one row per sliced group, at most MAX_HOT_KEYS of them
         whole = self._long().groupBy(*self.by).agg(F.count(F.lit(1)).alias("_whole"))
         size = F.when(F.col(SLICE) > 0, F.col("_whole")).otherwise(F.col(name))
-        joined = local.join(F.broadcast(whole), self.by, "left").withColumn(name, size).drop("_whole")
+        joined = match_keys(local, F.broadcast(whole), self.by, "left").withColumn(name, size).drop("_whole")
         return replace(self, frame=joined)
 
     def _long(self) -> DataFrame:

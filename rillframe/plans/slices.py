@@ -6,24 +6,28 @@ data so that no slice holds much more than ``rillframe.sliceRows`` rows. Cut
 points are constants of the plan, so a recomputed task always agrees with the
 one it replaces.
 
-Two order columns are looked at: when one value of the first column alone fills
-a whole slice, that value becomes a slice of its own and is cut further by the
-second column.
+Where one value of an order column alone fills a whole slice, that value gets a
+slice of its own, which is cut further by the next column.
 """
 
 from __future__ import annotations
 
 import math
 from bisect import bisect_right
+from collections import Counter
+from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from rillframe.plans.keys import match_keys
+
 SLICE = "_slice"
 SLICE_ROWS = 4_000_000
 MAX_SLICES = 16_384
 MAX_HOT_KEYS = 100_000
 SAMPLES_PER_SLICE = 32
+MAX_AXES = 4
 EXACT = float(2**53)
 
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DateType, T.TimestampType, T.TimestampNTZType)
@@ -35,20 +39,22 @@ def slice_rows(df: DataFrame) -> int:
 
 
 def axis(df: DataFrame, name: str):
-    """The order column as a double that rises with it; NULL sorts first."""
+    """The order column as a double that rises with it; NULL sorts first, NaN last."""
     kind = df.schema[name].dataType
     col = F.col(name)
     if isinstance(kind, T.DateType):
         col = F.unix_date(col)
     elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         col = F.unix_micros(col.cast("timestamp"))
+    elif isinstance(kind, _REAL):
+        col = F.nanvl(col, F.lit(float("inf")))
     elif not isinstance(kind, (T.NumericType, T.BooleanType)):
         raise TypeError(f"order column {name} must be a number, date or timestamp, not {kind.simpleString()}")
     return F.coalesce(col.cast("double"), F.lit(float("-inf")))
 
 
-def hot_keys(df: DataFrame, by: list[str], rows: int) -> tuple[DataFrame | None, int]:
-    """Keys with more than ``rows`` rows, and how many rows they hold together.
+def hot_keys(df: DataFrame, by: list[str], rows: int) -> tuple[DataFrame | None, int, bool]:
+    """Keys with more than ``rows`` rows, how many rows they hold, and whether one has a NULL.
 
     Counting combines inside each task before the shuffle. At most
     MAX_HOT_KEYS of the largest keys are returned, so the table is small enough
@@ -63,36 +69,37 @@ def hot_keys(df: DataFrame, by: list[str], rows: int) -> tuple[DataFrame | None,
         .collect()
     )
     if not counts:
-        return None, 0
+        return None, 0, False
     fields = [df.schema[c] for c in by]
-    keys = df.sparkSession.createDataFrame([tuple(r[c] for c in by) for r in counts], T.StructType(fields))
-    return keys, sum(r["_rows"] for r in counts)
+    keys = [tuple(r[c] for c in by) for r in counts]
+    nulls = any(None in key for key in keys)
+    return df.sparkSession.createDataFrame(keys, T.StructType(fields)), sum(r["_rows"] for r in counts), nulls
 
 
-def cut_points(df: DataFrame, order: list[str], rows: int, slices: int):
-    """Splits over the first order column, and over the second within its heavy values.
+def cut_points(df: DataFrame, order: list[str], rows: int, slices: int) -> list[tuple[list[float], list[int]]]:
+    """Per order column: its splits, and the buckets to be cut further by the next column.
 
     Only a sample is brought to the driver: about SAMPLES_PER_SLICE times
-    ``slices`` numbers, at most half a million.
+    ``slices`` rows of a few numbers, half a million at most.
     """
-    axes = order[:2]
+    axes = order[:MAX_AXES]
     fraction = min(1.0, SAMPLES_PER_SLICE * slices / max(rows, 1))
     sample = df.select(*[axis(df, c).alias(f"a{i}") for i, c in enumerate(axes)])
     if fraction < 1.0:
         sample = sample.sample(fraction, seed=17)
-    points = sorted(tuple(r) for r in sample.collect())
-    if not points:
-        return [], [], []
+    points = [tuple(r) for r in sample.collect()]
     step = max(1, len(points) // slices)
-    marks = [p[0] for p in points[step::step]]
-    heavy = [v for v in sorted({a for a, b in zip(marks, marks[1:]) if a == b}) if _isolates(df, order[0], v)]
-    firsts = sorted({v for v in marks if math.isfinite(v)} | {math.nextafter(v, math.inf) for v in heavy})
-    if not heavy or len(axes) < 2:
-        return firsts, [], []
-    own = set(heavy)
-    inner = sorted(p[1] for p in points if p[0] in own)
-    seconds = sorted({v for v in inner[step::step] if math.isfinite(v)})
-    return firsts, [bisect_right(firsts, v) for v in heavy], seconds
+    levels = []
+    for i, name in enumerate(axes):
+        marks = sorted(p[i] for p in points)[step::step]
+        heavy = sorted(v for v, times in Counter(marks).items() if times > 1 and _isolates(df, name, v))
+        splits = sorted({v for v in marks if math.isfinite(v)} | {math.nextafter(v, math.inf) for v in heavy})
+        levels.append((splits, [bisect_right(splits, v) for v in heavy]))
+        if not heavy:
+            break
+        own = set(heavy)
+        points = [p for p in points if p[i] in own]
+    return levels
 
 
 def _isolates(df: DataFrame, name: str, value: float) -> bool:
@@ -108,33 +115,40 @@ def _bucketed(df: DataFrame, value, splits: list[float], out: str) -> DataFrame:
     return cut.transform(df.withColumn("_axis", value)).drop("_axis")
 
 
-def add_slices(df: DataFrame, by: list[str], order: list[str]) -> tuple[DataFrame, bool]:
+@dataclass(frozen=True)
+class Sliced:
+    frame: DataFrame
+    sliced: bool
+    null_keys: bool = False
+
+
+def add_slices(df: DataFrame, by: list[str], order: list[str]) -> Sliced:
     """Add the slice column where a group is too long for one task.
 
-    Without ``by`` the whole table is one group and is always sliced. Returns
-    the frame and whether it has slices. Rows of short groups are in slice 0,
-    rows of sliced groups in slices from 1 on.
+    Without ``by`` the whole table is one group and is always sliced. Rows of
+    short groups are in slice 0, rows of sliced groups in slices from 1 on.
+    ``null_keys`` tells whether a sliced group has a NULL in its key.
     """
     limit = slice_rows(df)
     spark = df.sparkSession
     if by:
-        hot, rows = hot_keys(df, by, limit)
+        hot, rows, null_keys = hot_keys(df, by, limit)
         if hot is None:
-            return df, False
-        long_rows = df.join(F.broadcast(hot), by, "left_semi")
+            return Sliced(df, False)
+        long_rows = match_keys(df, F.broadcast(hot), by, "left_semi")
         slices = min(MAX_SLICES, max(2, math.ceil(rows / limit)))
     else:
-        hot, rows, long_rows = None, df.count(), df
+        hot, rows, null_keys, long_rows = None, df.count(), False, df
         slices = min(MAX_SLICES, max(spark.sparkContext.defaultParallelism, math.ceil(rows / limit)))
-    firsts, heavy, seconds = cut_points(long_rows, order, rows, slices)
-    sliced = _bucketed(df, axis(df, order[0]), firsts, "_first")
-    if heavy:
-        sliced = _bucketed(sliced, axis(df, order[1]), seconds, "_second")
-        inner = F.when(F.col("_first").isin([float(b) for b in heavy]), F.col("_second")).otherwise(F.lit(0.0))
-    else:
-        sliced, inner = sliced.withColumn("_second", F.lit(0.0)), F.lit(0.0)
-    number = (F.lit(1) + F.col("_first") * (len(seconds) + 2) + inner).cast("bigint")
+    sliced, number = df, F.lit(0).cast("bigint")
+    inside = F.lit(True)
+    for i, (splits, heavy) in enumerate(cut_points(long_rows, order, rows, slices)):
+        sliced = _bucketed(sliced, axis(df, order[i]), splits, f"_cut{i}")
+        cut = F.when(inside, F.col(f"_cut{i}").cast("bigint")).otherwise(F.lit(0))
+        number = number * (len(splits) + 2) + cut
+        inside = inside & F.col(f"_cut{i}").isin([float(b) for b in heavy])
+    number = number + 1
     if hot is not None:
-        sliced = sliced.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), by, "left")
+        sliced = match_keys(sliced, F.broadcast(hot.withColumn("_hot", F.lit(True))), by, "left")
         number = F.when(F.col("_hot"), number).otherwise(F.lit(0).cast("bigint"))
-    return sliced.select(*df.columns, number.alias(SLICE)), True
+    return Sliced(sliced.select(*df.columns, number.alias(SLICE)), True, null_keys)

@@ -5,9 +5,12 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+PARTITION_BYTES = 128 * 1024 * 1024
+MAX_PARTITIONS = 50_000
+_BYTES: dict[str, int] = {}
 
 
 def local_session(cpus: int = 8, memory: str = "12g", shared: str | None = None) -> SparkSession:
@@ -29,6 +32,21 @@ def local_session(cpus: int = 8, memory: str = "12g", shared: str | None = None)
     return builder.getOrCreate()
 
 
+def fit_shuffles(spark: SparkSession, folder: str) -> None:
+    """Start shuffles with enough partitions for the tables in ``folder``.
+
+    Adaptive plans merge partitions that turn out small but cannot split one
+    that does not fit into memory, so the start is sized by the bytes on disk.
+    Only file lengths are read, once per folder.
+    """
+    if folder not in _BYTES:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+        _BYTES[folder] = files.agg(F.sum("length")).collect()[0][0] or 0
+    wanted = min(MAX_PARTITIONS, -(-_BYTES[folder] // PARTITION_BYTES))
+    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
+
+
 def pin(spark: SparkSession) -> SparkSession:
     """Fix the settings that results depend on: zone, strict casts, adaptive plans."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -10,12 +10,12 @@ from rillframe.plans import Lineup, last_run, max_run, min_run, sum_run
 from rillframe.plans.slices import SLICE, add_slices
 
 
-def skewed(spark, seed, rows=400):
+def skewed(spark, seed, rows=400, hot=0):
     """A third of the rows under one key, a third of all times the same instant, some NULL keys."""
     rnd = random.Random(seed)
     data = []
     for i in range(rows):
-        key = 0 if rnd.random() < 0.34 else rnd.choice([None, *range(1, 40)])
+        key = hot if rnd.random() < 0.34 else rnd.choice([None, *range(1, 40)])
         at = 500 if rnd.random() < 0.34 else rnd.randint(0, 1000)
         data.append((key, at, i, rnd.randint(-50, 50), rnd.random() < 0.1))
     rnd.shuffle(data)
@@ -33,10 +33,10 @@ def by_id(df, *names):
     return {r.id: tuple(r[n] for n in names) for r in df.collect()}
 
 
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("seed, hot", [(1, 0), (2, None)])
 @pytest.mark.parametrize("by", [[], ["k"]])
-def test_running_values(tiny_slices, seed, by):
-    data, df = skewed(tiny_slices, seed)
+def test_running_values(tiny_slices, seed, hot, by):
+    data, df = skewed(tiny_slices, seed, hot=hot)
     line = Lineup.of(df, by, ["t", "id"])
     assert line.sliced
     some = F.when(F.col("bad"), F.col("v"))
@@ -103,14 +103,14 @@ def test_slices_rise_with_the_order_and_are_small(spark):
     data, df = skewed(spark, 3, rows=4000)
     spark.conf.set("rillframe.sliceRows", "200")
     try:
-        frame, sliced = add_slices(df, [], ["t", "id"])
-        rows = frame.select("t", "id", SLICE).orderBy("t", "id").collect()
+        found = add_slices(df, [], ["t", "id"])
+        rows = found.frame.select("t", "id", SLICE).orderBy("t", "id").collect()
     finally:
         spark.conf.unset("rillframe.sliceRows")
-    found = [r[SLICE] for r in rows]
-    assert sliced and found == sorted(found)
+    slices = [r[SLICE] for r in rows]
+    assert found.sliced and slices == sorted(slices)
     sizes = {}
-    for s in found:
+    for s in slices:
         sizes[s] = sizes.get(s, 0) + 1
     assert max(sizes.values()) < 600, "the instant shared by a third of the rows is cut by the second column"
 
@@ -119,12 +119,12 @@ def test_light_keys_are_not_cut(spark):
     _, df = skewed(spark, 3)
     spark.conf.set("rillframe.sliceRows", "100")
     try:
-        frame, sliced = add_slices(df, ["k"], ["t", "id"])
-        light = frame.filter("k <> 0 or k is null").select(SLICE).distinct().collect()
-        hot = frame.filter("k = 0").select(SLICE).distinct().count()
+        found = add_slices(df, ["k"], ["t", "id"])
+        light = found.frame.filter("k <> 0 or k is null").select(SLICE).distinct().collect()
+        hot = found.frame.filter("k = 0").select(SLICE).distinct().count()
     finally:
         spark.conf.unset("rillframe.sliceRows")
-    assert sliced and [r[0] for r in light] == [0] and hot > 1
+    assert found.sliced and not found.null_keys and [r[0] for r in light] == [0] and hot > 1
 
 
 @pytest.mark.parametrize("kind", ["double", "decimal(20,3)", "date", "timestamp", "timestamp_ntz", "bigint"])
@@ -150,3 +150,23 @@ def test_concat_and_preferred_with_hot_groups(tiny_slices):
     for k, t, i, _, _ in data:
         want.setdefault(-1 if k is None else k, []).append((i % 3 > 0, t, i))
     assert by_id(first, "place") == {i: (p,) for rs in want.values() for p, (_, _, i) in enumerate(sorted(rs))}
+
+
+def test_three_order_columns(spark):
+    """Two columns with heavy values in a row: the third one cuts."""
+    rows = spark.range(3000).select((F.col("id") % 2).alias("a"), F.lit(1.5).alias("b"), F.col("id").alias("c"))
+    spark.conf.set("rillframe.sliceRows", "150")
+    try:
+        found = add_slices(rows, [], ["a", "b", "c"]).frame.groupBy(SLICE).count().collect()
+        placed = Lineup.of(rows, [], ["a", "b", "c"]).numbered("p").rows()
+    finally:
+        spark.conf.unset("rillframe.sliceRows")
+    assert max(r["count"] for r in found) < 500
+    assert placed.filter("p <> a * 1500 + c div 2").count() == 0
+
+
+def test_nan_and_null_order_values(tiny_slices):
+    values = [None, float("-inf"), -1.0, 2.5, 2.5, float("inf"), float("nan")] * 5
+    rows = tiny_slices.createDataFrame([(v, i) for i, v in enumerate(values)], "o double, id bigint")
+    placed = Lineup.of(rows, [], ["o", "id"]).numbered("p").rows().orderBy("o", "id").collect()
+    assert [r.p for r in placed] == list(range(len(values)))
