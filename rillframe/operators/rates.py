@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from rillframe.plans import Lineup, count_run, max_run
+from rillframe.plans import Lineup, last_run, max_run
+from rillframe.plans.slices import slice_rows
 
-# Up to this many rows per group Spark keeps the first rows inside each map
-# task already (spark.sql.optimizer.windowGroupLimitThreshold).
-GROUP_LIMIT = 1000
+# Up to this many rows per group, each map task keeps the first rows itself and
+# the task that merges a hot group gets this many rows per map task.
+GROUP_LIMIT = 100
 
 
 def throttle(df: DataFrame, by: list[str], order: list[str], arrival: Column, n: int, per: int,
@@ -70,16 +71,29 @@ def extrapolate(df: DataFrame, by: list[str], order: list[str], tick: Column, va
 
     Gives ``tick``, the last real value in ``name``, ``since`` (ticks since that
     value) and ``synthetic``. Rows are first reduced to the last one per tick,
-    combined before the shuffle, so the window holds at most one row per tick
-    of the time span however many rows a key has. The gap after a row is
-    expanded from the row itself; the grid is never joined.
+    combined before the shuffle. Every row then fills the gap before it from the
+    row that precedes it; the grid is never joined. A group has at most one row
+    per tick of the time span, so it is checked for long groups only where the
+    span allows them.
     """
-    latest = df.groupBy(*by, tick.cast("bigint").alias("_at")).agg(F.max_by(value, F.struct(*order)).alias(name))
-    following = F.lead("_at").over(Window.partitionBy(*by).orderBy("_at"))
-    spans = latest.withColumn("_until", F.coalesce(following - 1, F.col("_at")))
-    ticks = spans.select(*by, name, "_at", F.explode(F.sequence("_at", "_until")).alias("tick"))
-    since = F.col("tick") - F.col("_at")
-    return ticks.select(*by, "tick", name, since.alias("since"), (since > 0).alias("synthetic"))
+    at = tick.cast("bigint")
+    latest = df.groupBy(*by, at.alias("_at")).agg(F.max_by(value, F.struct(*order)).alias(name))
+    ends = df.agg(F.min(at).alias("first"), F.max(at).alias("last")).collect()[0]
+    real = F.struct(F.col("_at").alias("tick"), F.col(name).alias("value"))
+    if by and ends["first"] is not None and ends["last"] - ends["first"] < slice_rows(df):
+        line = Lineup(latest, by, ["_at"], sliced=False)
+    else:
+        line = Lineup.of(latest, by, ["_at"])
+    rows = line.preceding(_previous=last_run(real)).rows()
+    start = F.coalesce(F.col("_previous.tick") + 1, F.col("_at"))
+    ticks = rows.select("*", F.explode(F.sequence(start, F.col("_at"))).alias("tick"))
+    synthetic = F.col("tick") < F.col("_at")
+    return ticks.select(
+        *by, "tick",
+        F.when(synthetic, F.col("_previous.value")).otherwise(F.col(name)).alias(name),
+        F.when(synthetic, F.col("tick") - F.col("_previous.tick")).otherwise(F.lit(0)).alias("since"),
+        synthetic.alias("synthetic"),
+    )
 
 
 def fill_forward(df: DataFrame, by: list[str], order: list[str], tick: Column, value: Column,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rillframe.plans import Lineup, sum_run
+from rillframe.plans import Lineup, count_run, sum_run
 
 
 def key_limit(df: DataFrame, key: str, limit: int) -> Column:
@@ -85,13 +85,13 @@ def scan(df: DataFrame, by: list[str], order: list[str], value: Column, name: st
     from the first row of the group, so the table is read once; without ``by``
     it is there even if the table has no rows.
     """
-    line = Lineup.of(df, by, order).running(_sum=sum_run(F.coalesce(value, F.lit(0)))).numbered("_place")
-    row = F.struct((F.col("_place") + 1).alias(place), (F.col("_sum") + seed).cast("bigint").alias(name),
+    line = Lineup.of(df, by, order).running(_sum=sum_run(F.coalesce(value, F.lit(0))), _place=count_run())
+    row = F.struct(F.col("_place").alias(place), (F.col("_sum") + seed).cast("bigint").alias(name),
                    *[F.col(c) for c in df.columns if c not in by])
     empty = F.struct(F.lit(0).cast("bigint").alias(place), F.lit(seed).cast("bigint").alias(name),
                      *[F.lit(None).cast(df.schema[c].dataType).alias(c) for c in df.columns if c not in by])
     if by:
-        both = F.when(F.col("_place") == 0, F.array(empty, row)).otherwise(F.array(row))
+        both = F.when(F.col("_place") == 1, F.array(empty, row)).otherwise(F.array(row))
         return line.rows().select(*by, F.explode(both).alias("_row")).select(*by, "_row.*")
     first = df.sparkSession.range(1).select(empty.alias("_row")).select("_row.*")
     return line.rows().select(row.alias("_row")).select("_row.*").unionByName(first)

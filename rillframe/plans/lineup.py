@@ -2,10 +2,10 @@
 
 A table has no order, so every ordered operator names one: ``by`` groups the
 rows (no columns: the whole table) and ``order`` is unique within a group. A
-group too long for one task is cut into slices (see ``slices``): running values
-are computed inside a slice, and one carry row per slice, a prefix over the
-slice totals, is added. Carry rows are keyed like the window's partitions, so
-adding them moves the small side only.
+group too long for one task is cut into slices (see ``slices``). The slices are
+totalled first, combined before the shuffle; a prefix over the totals gives one
+carry row per slice, which goes in front of the rows of its slice. The window
+over a slice then starts from the carry, and no join is needed.
 """
 
 from __future__ import annotations
@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from rillframe.plans.keys import match_keys
 from rillframe.plans.slices import SLICE, add_slices
 
+REAL = "_real"
+
 
 @dataclass(frozen=True)
 class Run:
@@ -25,31 +27,18 @@ class Run:
     kind: str
     value: Column
 
-    def over_rows(self, window) -> Column:
+    def over(self, value: Column, window) -> Column:
         if self.kind == "last":
-            return F.last(self.value, ignorenulls=True).over(window)
-        return _AGGREGATES[self.kind](self.value).over(window)
+            return F.last(value, ignorenulls=True).over(window)
+        return _AGGREGATES[self.kind](value).over(window)
 
     def total(self, order: list[str]) -> Column:
         if self.kind == "last":
-            place = F.struct(*order)
-            return F.max_by(self.value, F.when(self.value.isNotNull(), place))
+            return F.max_by(self.value, F.when(self.value.isNotNull(), F.struct(*order)))
         return _AGGREGATES[self.kind](self.value)
 
-    def carry(self, total: str, window) -> Column:
-        if self.kind == "last":
-            return F.last(total, ignorenulls=True).over(window)
-        return _AGGREGATES["sum" if self.kind == "count" else self.kind](F.col(total)).over(window)
-
-    def join(self, local: Column, carry: Column) -> Column:
-        if self.kind == "last":
-            return F.coalesce(local, carry)
-        if self.kind in ("sum", "count"):
-            return F.coalesce(local + carry, local, carry)
-        return F.greatest(local, carry) if self.kind == "max" else F.least(local, carry)
-
 
-_AGGREGATES = {"sum": F.sum, "count": F.count, "max": F.max, "min": F.min}
+_AGGREGATES = {"sum": F.sum, "max": F.max, "min": F.min}
 
 
 def sum_run(value: Column) -> Run:
@@ -57,7 +46,7 @@ def sum_run(value: Column) -> Run:
 
 
 def count_run() -> Run:
-    return Run("count", F.lit(1))
+    return Run("sum", F.lit(1).cast("bigint"))
 
 
 def max_run(value: Column) -> Run:
@@ -81,12 +70,11 @@ class Lineup:
     by: list[str]
     order: list[str]
     sliced: bool
-    null_keys: bool = False
 
     @classmethod
     def of(cls, df: DataFrame, by: list[str], order: list[str]) -> Lineup:
-        found = add_slices(df, list(by), list(order))
-        return cls(found.frame, list(by), list(order), found.sliced, found.null_keys)
+        frame, sliced = add_slices(df, list(by), list(order))
+        return cls(frame, list(by), list(order), sliced)
 
     @property
     def _parts(self) -> list[str]:
@@ -105,26 +93,34 @@ class Lineup:
 
     def running(self, **runs: Run) -> Lineup:
         """Add one running value per row, the row itself included."""
-        window = Window.partitionBy(*self._parts).orderBy(*self.order).rowsBetween(Window.unboundedPreceding, 0)
-        local = self.frame.select("*", *[run.over_rows(window).alias(name) for name, run in runs.items()])
+        return self._run(0, runs)
+
+    def preceding(self, **runs: Run) -> Lineup:
+        """Add one running value per row over the rows before it."""
+        return self._run(-1, runs)
+
+    def _run(self, end: int, runs: dict[str, Run]) -> Lineup:
+        window = Window.partitionBy(*self._parts).rowsBetween(Window.unboundedPreceding, end)
         if not self.sliced:
-            return replace(self, frame=local)
+            values = {name: run.over(run.value, window.orderBy(*self.order)) for name, run in runs.items()}
+            return replace(self, frame=self.frame.withColumns(values))
+        held = {name: f"_of_{name}" for name in runs}
+        rows = self.frame.withColumns({REAL: F.lit(True)} | {held[n]: run.value for n, run in runs.items()})
+        carried = self._carries(runs).withColumnsRenamed(held).withColumn(REAL, F.lit(False))
+        both = rows.unionByName(carried, allowMissingColumns=True)
+        ordered = window.orderBy(REAL, *self.order)
+        values = {name: run.over(F.col(held[name]), ordered) for name, run in runs.items()}
+        return replace(self, frame=both.withColumns(values).filter(REAL).drop(REAL, *held.values()))
+
+    def _carries(self, runs: dict[str, Run]) -> DataFrame:
+        """What the earlier slices of a group come to, one row per slice."""
         totals = self._long().groupBy(*self._parts).agg(*[run.total(self.order).alias(n) for n, run in runs.items()])
         before = Window.partitionBy(*self.by).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-        carries = totals.select(*self._parts, *[run.carry(n, before).alias(f"_carry_{n}") for n, run in runs.items()])
-        kept = [c for c in local.columns if c not in runs]
-        # the plain join finds both sides partitioned as needed, the NULL-safe one does not
-        matched = match_keys if self.null_keys else DataFrame.join
-        joined = matched(local, carries, self._parts, "left").select(
-            *kept, *[run.join(F.col(n), F.col(f"_carry_{n}")).alias(n) for n, run in runs.items()]
-        )
-        return replace(self, frame=joined)
+        return totals.select(*self._parts, *[run.over(F.col(n), before).alias(n) for n, run in runs.items()])
 
     def numbered(self, name: str) -> Lineup:
         """Add the 0-based place of each row in its group."""
-        return self.running(**{name: count_run()}).map(
-            lambda df: df.withColumn(name, (F.col(name) - 1).cast("bigint"))
-        )
+        return self.running(**{name: count_run()}).map(lambda df: df.withColumn(name, F.col(name) - 1))
 
     def sized(self, name: str) -> Lineup:
         """Add the number of rows in each row's group."""

@@ -15,7 +15,6 @@ from __future__ import annotations
 import math
 from bisect import bisect_right
 from collections import Counter
-from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -27,6 +26,7 @@ SLICE_ROWS = 4_000_000
 MAX_SLICES = 16_384
 MAX_HOT_KEYS = 100_000
 SAMPLES_PER_SLICE = 32
+SAMPLES_PER_KEY = 256
 MAX_AXES = 4
 EXACT = float(2**53)
 
@@ -53,27 +53,28 @@ def axis(df: DataFrame, name: str):
     return F.coalesce(col.cast("double"), F.lit(float("-inf")))
 
 
-def hot_keys(df: DataFrame, by: list[str], rows: int) -> tuple[DataFrame | None, int, bool]:
-    """Keys with more than ``rows`` rows, how many rows they hold, and whether one has a NULL.
+def hot_keys(df: DataFrame, by: list[str], rows: int) -> tuple[DataFrame | None, int]:
+    """Keys with more than about ``rows`` rows, and about how many rows they hold together.
 
-    Counting combines inside each task before the shuffle. At most
-    MAX_HOT_KEYS of the largest keys are returned, so the table is small enough
-    to broadcast; a key left out holds fewer rows than 1/MAX_HOT_KEYS of the
-    table and stays a single group, which changes nothing but the balance.
+    Keys are counted in a sample that holds some 256 rows of any such key; a
+    key judged wrongly costs balance, never a result. At most MAX_HOT_KEYS of
+    the largest keys are returned, so the table is small enough to broadcast; a
+    key left out holds fewer rows than 1/MAX_HOT_KEYS of the table.
     """
+    fraction = min(1.0, SAMPLES_PER_KEY / rows)
+    keys = df.select(*by) if fraction == 1.0 else df.select(*by).sample(fraction, seed=17)
     counts = (
-        df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > rows)
+        keys.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
+        .filter(F.col("_rows") > rows * fraction)
         .orderBy(F.desc("_rows"), *by)
         .limit(MAX_HOT_KEYS)
         .collect()
     )
     if not counts:
-        return None, 0, False
-    fields = [df.schema[c] for c in by]
-    keys = [tuple(r[c] for c in by) for r in counts]
-    nulls = any(None in key for key in keys)
-    return df.sparkSession.createDataFrame(keys, T.StructType(fields)), sum(r["_rows"] for r in counts), nulls
+        return None, 0
+    hot = [tuple(r[c] for c in by) for r in counts]
+    schema = T.StructType([df.schema[c] for c in by])
+    return df.sparkSession.createDataFrame(hot, schema), int(sum(r["_rows"] for r in counts) / fraction)
 
 
 def cut_points(df: DataFrame, order: list[str], rows: int, slices: int) -> list[tuple[list[float], list[int]]]:
@@ -115,30 +116,23 @@ def _bucketed(df: DataFrame, value, splits: list[float], out: str) -> DataFrame:
     return cut.transform(df.withColumn("_axis", value)).drop("_axis")
 
 
-@dataclass(frozen=True)
-class Sliced:
-    frame: DataFrame
-    sliced: bool
-    null_keys: bool = False
-
-
-def add_slices(df: DataFrame, by: list[str], order: list[str]) -> Sliced:
+def add_slices(df: DataFrame, by: list[str], order: list[str]) -> tuple[DataFrame, bool]:
     """Add the slice column where a group is too long for one task.
 
-    Without ``by`` the whole table is one group and is always sliced. Rows of
-    short groups are in slice 0, rows of sliced groups in slices from 1 on.
-    ``null_keys`` tells whether a sliced group has a NULL in its key.
+    Without ``by`` the whole table is one group and is always sliced. Returns
+    the frame and whether it has slices. Rows of short groups are in slice 0,
+    rows of sliced groups in slices from 1 on.
     """
     limit = slice_rows(df)
     spark = df.sparkSession
     if by:
-        hot, rows, null_keys = hot_keys(df, by, limit)
+        hot, rows = hot_keys(df, by, limit)
         if hot is None:
-            return Sliced(df, False)
+            return df, False
         long_rows = match_keys(df, F.broadcast(hot), by, "left_semi")
         slices = min(MAX_SLICES, max(2, math.ceil(rows / limit)))
     else:
-        hot, rows, null_keys, long_rows = None, df.count(), False, df
+        hot, rows, long_rows = None, df.count(), df
         slices = min(MAX_SLICES, max(spark.sparkContext.defaultParallelism, math.ceil(rows / limit)))
     sliced, number = df, F.lit(0).cast("bigint")
     inside = F.lit(True)
@@ -151,4 +145,4 @@ def add_slices(df: DataFrame, by: list[str], order: list[str]) -> Sliced:
     if hot is not None:
         sliced = match_keys(sliced, F.broadcast(hot.withColumn("_hot", F.lit(True))), by, "left")
         number = F.when(F.col("_hot"), number).otherwise(F.lit(0).cast("bigint"))
-    return Sliced(sliced.select(*df.columns, number.alias(SLICE)), True, null_keys)
+    return sliced.select(*df.columns, number.alias(SLICE)), True

@@ -5,7 +5,8 @@ import re
 import pytest
 
 import __spark_entry__ as entry
-from rillframe.operators import basic, rates
+from rillframe.operators import basic
+from rillframe.plans import Lineup
 
 FOLDER = "/root/testdata/sf0.001"
 RUNS_AT_ONCE = {"count_through", "traced", "ingest_files", "ack_sink", "pubsub_stream", "conflate_stream", "scan_stream"}
@@ -58,15 +59,9 @@ def test_small_drop_moves_no_rows(spark):
     assert "Exchange" not in outer
 
 
-def test_sliced_plan_joins_carries_without_moving_rows_again(tiny_slices):
-    tiny_slices.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        rows = tiny_slices.read.parquet(f"{FOLDER}/events.parquet").select("user_id", "ts", "event_id")
-        text = plan(rates.throttle(rows, ["user_id"], ["ts", "event_id"], rows.event_id, 1, 10)).splitlines()
-    finally:
-        tiny_slices.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    joins = [i for i, line in enumerate(text) if "SortMergeJoin" in line]
-    for at in joins:
-        below = next(line for line in text[at + 1:] if re.search("Window|Exchange|Join", line))
-        assert "Exchange" not in below, f"rows move again for the join:\n{below}"
-    assert joins
+def test_sliced_running_values_need_no_join_and_move_rows_once(tiny_slices):
+    rows = tiny_slices.read.parquet(f"{FOLDER}/events.parquet").select("user_id", "ts", "event_id")
+    text = plan(Lineup.of(rows, ["user_id"], ["ts", "event_id"]).numbered("place").rows())
+    assert "SortMergeJoin" not in text and "Exchange SinglePartition" not in text
+    wide = [line for line in text.splitlines() if "Exchange hashpartitioning(user_id" in line and "_slice" in line]
+    assert len(wide) == 2, "the rows, and the totals of their slices"

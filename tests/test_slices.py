@@ -103,12 +103,12 @@ def test_slices_rise_with_the_order_and_are_small(spark):
     data, df = skewed(spark, 3, rows=4000)
     spark.conf.set("rillframe.sliceRows", "200")
     try:
-        found = add_slices(df, [], ["t", "id"])
-        rows = found.frame.select("t", "id", SLICE).orderBy("t", "id").collect()
+        frame, sliced = add_slices(df, [], ["t", "id"])
+        rows = frame.select("t", "id", SLICE).orderBy("t", "id").collect()
     finally:
         spark.conf.unset("rillframe.sliceRows")
     slices = [r[SLICE] for r in rows]
-    assert found.sliced and slices == sorted(slices)
+    assert sliced and slices == sorted(slices)
     sizes = {}
     for s in slices:
         sizes[s] = sizes.get(s, 0) + 1
@@ -119,12 +119,12 @@ def test_light_keys_are_not_cut(spark):
     _, df = skewed(spark, 3)
     spark.conf.set("rillframe.sliceRows", "100")
     try:
-        found = add_slices(df, ["k"], ["t", "id"])
-        light = found.frame.filter("k <> 0 or k is null").select(SLICE).distinct().collect()
-        hot = found.frame.filter("k = 0").select(SLICE).distinct().count()
+        frame, sliced = add_slices(df, ["k"], ["t", "id"])
+        light = frame.filter("k <> 0 or k is null").select(SLICE).distinct().collect()
+        hot = frame.filter("k = 0").select(SLICE).distinct().count()
     finally:
         spark.conf.unset("rillframe.sliceRows")
-    assert found.sliced and not found.null_keys and [r[0] for r in light] == [0] and hot > 1
+    assert sliced and [r[0] for r in light] == [0] and hot > 1
 
 
 @pytest.mark.parametrize("kind", ["double", "decimal(20,3)", "date", "timestamp", "timestamp_ntz", "bigint"])
@@ -157,7 +157,7 @@ def test_three_order_columns(spark):
     rows = spark.range(3000).select((F.col("id") % 2).alias("a"), F.lit(1.5).alias("b"), F.col("id").alias("c"))
     spark.conf.set("rillframe.sliceRows", "150")
     try:
-        found = add_slices(rows, [], ["a", "b", "c"]).frame.groupBy(SLICE).count().collect()
+        found = add_slices(rows, [], ["a", "b", "c"])[0].groupBy(SLICE).count().collect()
         placed = Lineup.of(rows, [], ["a", "b", "c"]).numbered("p").rows()
     finally:
         spark.conf.unset("rillframe.sliceRows")
@@ -170,3 +170,18 @@ def test_nan_and_null_order_values(tiny_slices):
     rows = tiny_slices.createDataFrame([(v, i) for i, v in enumerate(values)], "o double, id bigint")
     placed = Lineup.of(rows, [], ["o", "id"]).numbered("p").rows().orderBy("o", "id").collect()
     assert [r.p for r in placed] == list(range(len(values)))
+
+
+@pytest.mark.parametrize("by", [[], ["k"]])
+def test_grid_over_long_spans(tiny_slices, by):
+    data, df = skewed(tiny_slices, 11, rows=150)
+    want = []
+    for key, rows in groups(data, by).items():
+        last = {}
+        for _, t, i, v, _ in rows:
+            last[t] = v
+        ticks = sorted(last)
+        for a, b in zip(ticks, [*ticks[1:], ticks[-1] + 1]):
+            want += [((key,) if by else ()) + (t, last[a], t - a, t > a) for t in range(a, b)]
+    got = rates.extrapolate(df, by, ["t", "id"], F.col("t"), F.col("v"))
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
