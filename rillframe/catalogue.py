@@ -434,7 +434,7 @@ def oncall_enrich(spark, folder):
 @query
 def map_async(spark, folder):
     rows = events(spark, folder).select("event_id", "v")
-    return enrich.map_async(rows, _reply, "event_id bigint, reply bigint", spark.sparkContext.defaultParallelism)
+    return enrich.map_async(rows, _reply, "event_id bigint, reply bigint")
 
 
 def _reply(frame):

@@ -44,9 +44,9 @@ def drop(df: DataFrame, n: int, order: list[str]) -> DataFrame:
         return df
     if n > FIRST_ROWS:
         return Lineup.of(df, [], order).numbered("_place").rows().filter(F.col("_place") >= n).drop("_place")
-    head = take(df.select(*order), n, order)
-    last = head.agg(F.max(F.struct(*order)).alias("last")).scalar()
-    return df.filter(F.struct(*order) > last)
+    place = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    last = take(df.select(*order), n, order).agg(F.max(place).alias("last")).scalar()
+    return df.filter(place > last)
 
 
 def ends(df: DataFrame, by: list[str], order: list[str], value: str) -> DataFrame:

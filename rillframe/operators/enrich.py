@@ -30,17 +30,21 @@ def on_call(df: DataFrame, roster: DataFrame, when: Column) -> DataFrame:
     return duty.join(F.broadcast(roster), "idx").drop("idx")
 
 
-def map_async(df: DataFrame, call: Callable[[pd.DataFrame], pd.DataFrame], schema: str, parallelism: int) -> DataFrame:
-    """Call an outside service for Arrow batches of rows, in ``parallelism`` tasks.
+def map_async(df: DataFrame, call: Callable[[pd.DataFrame], pd.DataFrame], schema: str,
+              parallelism: int | None = None) -> DataFrame:
+    """Call an outside service for Arrow batches of rows.
 
-    Keep an order column in the schema: a table has no order of its own.
+    ``parallelism`` bounds the calls in flight by spreading the rows over that
+    many tasks; without it rows stay in the partitions they are in. Keep an
+    order column in the schema: a table has no order of its own.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             yield call(frame)
 
-    return df.repartition(parallelism).mapInPandas(run, schema)
+    spread = df.repartition(parallelism) if parallelism else df
+    return spread.mapInPandas(run, schema)
 
 
 def notify(df: DataFrame, email: Column, description: Column, at: Column, instances: Column) -> DataFrame:
