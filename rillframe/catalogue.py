@@ -25,6 +25,13 @@ QUERIES: dict[str, Query] = {}
 IN_ORDER = ["ts", "event_id"]
 ROSTER = [("Ines", "ines@example.org"), ("Omar", "omar@example.org"), ("Wei", "wei@example.org")]
 HOUR = 3_600_000_000
+
+# Limits, shift, sentinel and replacement rows of the queries.
+FLAGGED_ABOVE = 1_000_000  # cents
+SHORT_WORD = 5
+SHIFT = 3
+SENTINEL = -2147483648
+REPLACEMENT = (90, 99)
 BAD = "k = 13"
 
 
@@ -287,7 +294,7 @@ def balance_mxn(spark, folder):
 @query
 def flag_split(spark, folder):
     rows = orders(spark, folder).select("o_orderkey", "cents")
-    dear = F.col("cents") > 1_000_000
+    dear = F.col("cents") > FLAGGED_ABOVE
     out = fanout.copies(rows, {"all": F.lit(True), "flagged": dear})
     return out.withColumn("cents", F.when(F.col("outlet") == "all", F.col("cents")))
 
@@ -296,7 +303,7 @@ def flag_split(spark, folder):
 def word_sink(spark, folder):
     docs = table(spark, folder, "documents").select("lang", "text")
     words = segments.flat_map_merge(docs, text.words(F.col("text")), "word")
-    return fanout.word_sink(words.select("lang", "word"), "word", ["lang"])
+    return fanout.word_sink(words.select("lang", "word"), "word", ["lang"], SHORT_WORD)
 
 
 @query
@@ -355,7 +362,7 @@ def _faulty(spark, folder):
 
 @query
 def recover(spark, folder):
-    out = faults.recover(_faulty(spark, folder), ["user_id"], IN_ORDER, F.expr(BAD), {"v": F.lit(-2147483648)})
+    out = faults.recover(_faulty(spark, folder), ["user_id"], IN_ORDER, F.expr(BAD), {"v": F.lit(SENTINEL)})
     return out.select("user_id", "event_id", "v", "recovered")
 
 
@@ -363,7 +370,7 @@ def recover(spark, folder):
 def recover_with(spark, folder):
     rows = _faulty(spark, folder).drop("ts")
     users = rows.select("user_id").distinct()
-    spare = segments.flat_map_concat(users, F.sequence(F.lit(90), F.lit(99)), "n").select(
+    spare = segments.flat_map_concat(users, F.sequence(*[F.lit(n) for n in REPLACEMENT]), "n").select(
         "user_id", F.col("pos").cast("bigint").alias("event_id"), F.col("n").cast("bigint").alias("v"),
         F.lit(0).alias("k"))
     out = faults.recover_with(rows, ["user_id"], ["event_id"], F.expr(BAD), [spare])
@@ -451,18 +458,18 @@ def notify(spark, folder):
 
 @query
 def mask(spark, folder):
-    return masking.mask(table(spark, folder, "nation").select("n_nationkey", "n_name"), ["n_name"], 3)
+    return masking.mask(table(spark, folder, "nation").select("n_nationkey", "n_name"), ["n_name"], SHIFT)
 
 
 @query
 def mask_documents(spark, folder):
-    masked = masking.mask(table(spark, folder, "documents").select("doc_id", "text"), ["text"], 3)
+    masked = masking.mask(table(spark, folder, "documents").select("doc_id", "text"), ["text"], SHIFT)
     return masked.select("doc_id", F.length("text").cast("bigint").alias("size"), F.md5("text").alias("digest"))
 
 
 @query
 def mask_roundtrip(spark, folder):
-    return masking.audit(table(spark, folder, "documents").select("text"), "text", 3)
+    return masking.audit(table(spark, folder, "documents").select("text"), "text", SHIFT)
 
 
 @query

@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from rillframe.plans import Lineup, count_run, sum_run
 
+# The text of a merged event.
+BEFORE_COUNT = "You have "
+AFTER_COUNT = " events that require your attention"
+
 
 def key_limit(df: DataFrame, key: str, limit: int) -> Column:
     """True while ``key`` has at most ``limit`` distinct values; more fail the job.
@@ -62,7 +66,7 @@ def conflate(df: DataFrame, by: list[str], description: str, instances: Column |
     merged = df.groupBy(*by).agg(
         F.count(F.lit(1)).alias("_events"), F.sum(count).alias("instances"), F.min(description).alias("_own")
     )
-    text = F.concat(F.lit("You have "), F.col("instances"), F.lit(" events that require your attention"))
+    text = F.concat(F.lit(BEFORE_COUNT), F.col("instances"), F.lit(AFTER_COUNT))
     told = F.when(F.col("_events") == 1, F.col("_own")).otherwise(text)
     return merged.select(*by, told.alias("description"), "instances")
 

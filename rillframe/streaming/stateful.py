@@ -57,7 +57,7 @@ class OrderedFold(StatefulProcessor):
         rows = [self.row(*r) for r in self.waiting.get()]
         ready = sorted((r for r in rows if r[self.place[0]] <= passed), key=lambda r: tuple(r[c] for c in self.place))
         later = [r for r in rows if r[self.place[0]] > passed]
-        state = self.current.get() if self.current.exists() else self.fold.start
+        state = self.current.get() or self.fold.start
         emitted: list[tuple] = []
         for row in ready:
             state, out = self.fold.step(tuple(state), row)
@@ -84,11 +84,11 @@ class OrderedFold(StatefulProcessor):
     def _wake(self, micros: int) -> None:
         """One alarm per key, at the first millisecond not before ``micros``."""
         at = -(-micros // 1000)
-        if self.alarm.exists():
-            old = self.alarm.get()[0]
-            if old <= at:
+        old = self.alarm.get()
+        if old is not None:
+            if old[0] <= at:
                 return
-            self.handle.deleteTimer(old)
+            self.handle.deleteTimer(old[0])
         self.handle.registerTimer(at)
         self.alarm.update((at,))
 
