@@ -106,7 +106,8 @@ class Lineup:
             return replace(self, frame=self.frame.withColumns(values))
         held = {name: f"_of_{name}" for name in runs}
         rows = self.frame.withColumns({REAL: F.lit(True)} | {held[n]: run.value for n, run in runs.items()})
-        carried = self._carries(runs).withColumnsRenamed(held).withColumn(REAL, F.lit(False))
+        # carries are spread like the window's partitions, so rows that are spread so already stay
+        carried = self._carries(runs).repartition(*self._parts).withColumnsRenamed(held).withColumn(REAL, F.lit(False))
         both = rows.unionByName(carried, allowMissingColumns=True)
         ordered = window.orderBy(REAL, *self.order)
         values = {name: run.over(F.col(held[name]), ordered) for name, run in runs.items()}

@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from rillframe.operators import basic
-from rillframe.plans import Lineup
+from rillframe.plans import Lineup, max_run
 
 FOLDER = "/root/testdata/sf0.001"
 RUNS_AT_ONCE = {"count_through", "traced", "ingest_files", "ack_sink", "pubsub_stream", "conflate_stream", "scan_stream"}
@@ -64,4 +64,12 @@ def test_sliced_running_values_need_no_join_and_move_rows_once(tiny_slices):
     text = plan(Lineup.of(rows, ["user_id"], ["ts", "event_id"]).numbered("place").rows())
     assert "SortMergeJoin" not in text and "Exchange SinglePartition" not in text
     wide = [line for line in text.splitlines() if "Exchange hashpartitioning(user_id" in line and "_slice" in line]
-    assert len(wide) == 2, "the rows, and the totals of their slices"
+    assert len(wide) == 3, "the rows, the totals of their slices, and the carries"
+
+
+def test_a_second_running_value_leaves_rows_where_they_are(tiny_slices):
+    rows = tiny_slices.read.parquet(f"{FOLDER}/events.parquet").select("user_id", "ts", "event_id")
+    line = Lineup.of(rows, ["user_id"], ["ts", "event_id"]).numbered("place")
+    text = plan(line.running(most=max_run(line.frame.place)).rows()).splitlines()
+    union = next(i for i, below in enumerate(text) if "Union" in below)
+    assert not [line for line in text[:union] if "Exchange" in line]
