@@ -36,6 +36,15 @@ FAULTS = f"""{EV}, marked AS (
   FROM ev)"""
 
 
+PUBSUB = """WITH t AS (
+  SELECT 'nation' AS producer, CAST(n_nationkey AS BIGINT) AS seq, n_name AS msg FROM nation
+  UNION ALL SELECT 'region', CAST(r_regionkey AS BIGINT), r_name FROM region
+  UNION ALL SELECT 'part', p_partkey, p_name FROM part)
+SELECT producer, seq, 'text' AS consumer, msg AS value FROM t
+UNION ALL SELECT producer, seq, 'size', CAST(length(msg) AS VARCHAR) FROM t"""
+
+LANDED = "SELECT o_orderstatus, count(*) AS rows, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM orders GROUP BY o_orderstatus"
+
 CLOSED = f"""{EV}, mark AS (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 1 HOUR AS at_least FROM ev)"""
 
 
@@ -136,18 +145,8 @@ UNION ALL SELECT 'flagged', o_orderkey, CAST(NULL AS BIGINT) FROM o WHERE cents
     "word_sink": """WITH w AS (SELECT lang, unnest(string_split(text, ' ')) AS w FROM documents)
 SELECT lang, count(*) FILTER (WHERE length(w) < 5) AS short_words,
        count(*) FILTER (WHERE w = lower(w)) AS lower_words FROM w GROUP BY lang""",
-    "pubsub": """WITH t AS (
-  SELECT 'nation' AS producer, CAST(n_nationkey AS BIGINT) AS seq, n_name AS msg FROM nation
-  UNION ALL SELECT 'region', CAST(r_regionkey AS BIGINT), r_name FROM region
-  UNION ALL SELECT 'part', p_partkey, p_name FROM part)
-SELECT producer, seq, 'text' AS consumer, msg AS value FROM t
-UNION ALL SELECT producer, seq, 'size', CAST(length(msg) AS VARCHAR) FROM t""",
-    "pubsub_stream": """WITH t AS (
-  SELECT 'nation' AS producer, CAST(n_nationkey AS BIGINT) AS seq, n_name AS msg FROM nation
-  UNION ALL SELECT 'region', CAST(r_regionkey AS BIGINT), r_name FROM region
-  UNION ALL SELECT 'part', p_partkey, p_name FROM part)
-SELECT producer, seq, 'text' AS consumer, msg AS value FROM t
-UNION ALL SELECT producer, seq, 'size', CAST(length(msg) AS VARCHAR) FROM t""",
+    "pubsub": PUBSUB,
+    "pubsub_stream": PUBSUB,
     "throttle": f"""{EV}, a AS (
   SELECT user_id, event_id, ts, epoch_us(ts) AS came,
          row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS i FROM ev)
@@ -192,10 +191,8 @@ FROM duty GROUP BY idx, day""",
        md5(array_to_string(list_transform(string_split(text, ''), lambda c: chr(unicode(c) + 3)), '')) AS digest
 FROM documents""",
     "mask_roundtrip": "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS differing FROM documents",
-    "ingest_files": "SELECT o_orderstatus, count(*) AS rows, CAST(sum(o_orderkey) AS BIGINT) AS keys "
-                    "FROM orders GROUP BY o_orderstatus",
-    "ack_sink": "SELECT o_orderstatus, count(*) AS rows, CAST(sum(o_orderkey) AS BIGINT) AS keys "
-                "FROM orders GROUP BY o_orderstatus",
+    "ingest_files": LANDED,
+    "ack_sink": LANDED,
     "conflate_stream": f"""{CLOSED} SELECT user_id, CAST(day AS VARCHAR) AS day,
        CASE WHEN count(*) = 1 THEN min(event_type)
             ELSE 'You have ' || count(*) || ' events that require your attention' END AS description,

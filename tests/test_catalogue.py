@@ -29,7 +29,7 @@ balance_mxn throttle shed_drop_tail shed_drop_buffer restart_scan""".split()
 
 @pytest.mark.parametrize("name", ORDERED)
 def test_query_matches_sql_when_groups_are_sliced(tiny_slices, con, name):
-    """Every group of more than 4 (or, for long tables, 300) rows is cut, as a huge one would be."""
+    """Every group of more than 4 or 40 rows is cut, as a huge one would be."""
     if name not in ("shed_drop_tail", "shed_drop_buffer", "split_when"):
         tiny_slices.conf.set("rillframe.sliceRows", "40")
     assert spark_rows(QUERIES[name](tiny_slices, FOLDER)) == sql_rows(con, ORACLES[name])
