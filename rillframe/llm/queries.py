@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rillframe.llm import quality
+from rillframe.llm import passages, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,3 +26,11 @@ def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Counts of every text, the fixed rules, and the verdict with cutoffs certified on ``labels``."""
     found = quality.verdicts(table(spark, folder, "documents"), table(spark, folder, "labels"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query
+def op10_passages(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document that windows of 50 words share with a document of smaller id, removed."""
+    found = passages.removals(table(spark, folder, "documents"))
+    words = F.trim(F.regexp_replace(F.coalesce("kept_text", F.lit("")), r"[\x20\x09-\x0D]+", " "))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(words, 256).alias("kept_sha256"))
