@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rillframe.llm import passages, quality
+from rillframe.llm import lexicon, packing, passages, quality, tokenfile
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -34,3 +35,23 @@ def op10_passages(spark: SparkSession, folder: str) -> DataFrame:
     found = passages.removals(table(spark, folder, "documents"))
     words = F.trim(F.regexp_replace(F.coalesce("kept_text", F.lit("")), r"[\x20\x09-\x0D]+", " "))
     return found.select("doc_id", "n_words", "n_removed", F.sha2(words, 256).alias("kept_sha256"))
+
+
+@query
+def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of every document written to indexed shards and read back through the index."""
+    written = tokenfile.write(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return tokenfile.read(written)
+
+
+@query
+def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in sequences of 4096 tokens, each ended by id 1."""
+    return packing.packed(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+
+
+@query
+def op9_lexicon(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document encoded through the lexicon of the table's frequent words, and decoded again."""
+    docs, tokenizer = table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json")
+    return lexicon.digests(docs, tokenizer, lexicon.build(docs, tokenizer))
