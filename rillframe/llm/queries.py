@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rillframe.llm import lexicon, packing, passages, quality, tokenfile
+from rillframe.llm import langid, lexicon, packing, passages, quality, ring, tokenfile
+from rillframe.llm.store import lean
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -55,3 +56,16 @@ def op9_lexicon(spark: SparkSession, folder: str) -> DataFrame:
     """Every document encoded through the lexicon of the table's frequent words, and decoded again."""
     docs, tokenizer = table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json")
     return lexicon.digests(docs, tokenizer, lexicon.build(docs, tokenizer))
+
+
+@query
+def op1_language(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every text, learnt from the texts that are not held out."""
+    found = langid.classified(lean(table(spark, folder, "documents"), "doc_id", "text", "lang"))
+    return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
+@query
+def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in 8 shards of equal row counts."""
+    return ring.shard(table(spark, folder, "documents"), 8)
