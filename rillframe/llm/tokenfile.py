@@ -3,13 +3,13 @@
 Documents are dealt to tasks by ranges of doc_id and sorted there; each task encodes its texts and writes one shard
 to the shared folder. A shard holds, little-endian:
 
-    header   7 numbers of 64 bits: MAGIC, keys n, ids m, index levels v, bits of all levels b, two spare
-    ids      m numbers of 32 bits, documents one after another in ascending doc_id order
+    header   7 numbers of 64 bits: MAGIC, keys n, ids m, index levels v, bits of all levels b, bytes of an id w, one spare
+    ids      m numbers of w bytes (2 if every id of the vocabulary fits, else 4), documents in ascending doc_id order
     levels   v numbers of 64 bits: bits of each index level
     bits     b bits, levels one after another, padded to 64 bits each
     prints   n numbers of 32 bits: fingerprint of the key in each slot
     bounds   n pairs of 64 bits: first id and number of ids of the document in each slot
-    keys     n numbers of 64 bits: the keys in the order of their documents
+    keys     n numbers of 64 bits: the doc_ids in the order of the documents; parts are padded to 8 bytes
 
 The index is a minimal perfect hash: a key is tried in one level after another and owns the first set bit it hits;
 that bit's rank is its slot (n keys, n slots, no key stored for a look-up). The fingerprint tells unknown keys
@@ -103,24 +103,31 @@ class Index:
         return out
 
 
-def write_shard(path: str, doc_ids: np.ndarray, ids: list[np.ndarray]) -> int:
+def write_shard(path: str, doc_ids: np.ndarray, ids: list[np.ndarray], width: int = 4) -> int:
     """Write documents that are in ascending order of id; the number of ids."""
     keys, sizes = keys_of(doc_ids), np.array([len(x) for x in ids], np.int64)
     index = Index.build(keys, np.stack([np.cumsum(sizes) - sizes, sizes], 1) if len(ids) else np.zeros((0, 2), np.int64))
-    header = np.array([MAGIC, len(keys), sizes.sum(), len(index.sizes), index.sizes.sum(), 0, 0], np.int64)
-    pad = np.zeros(int(sizes.sum()) % 2, "<u4")
-    pad_prints = np.zeros(len(keys) % 2, "<u4")
-    put(path, (np.ascontiguousarray(x).data.cast("B") if x.size else b"" for x in
-               [header, *ids, pad, index.sizes, index.bits, index.prints, pad_prints, index.bounds, doc_ids]))
+    header = np.array([MAGIC, len(keys), sizes.sum(), len(index.sizes), index.sizes.sum(), width, 0], np.int64)
+    kind = np.dtype(f"<u{width}")
+    parts = [[header], (x.astype(kind) for x in ids), [index.sizes], [index.bits], [index.prints], [index.bounds], [doc_ids]]
+    put(path, (piece for part in parts for piece in _padded(part)))
     return int(sizes.sum())
 
 
+def _padded(arrays) -> Iterator[bytes]:
+    size = 0
+    for x in arrays:
+        size += x.nbytes
+        yield x.tobytes()
+    yield bytes(-size % 8)
+
+
 class Shard:
     """A shard as it lies in the file; nothing is read before it is asked for."""
 
     def __init__(self, path: str):
         buffer = get(path)
-        magic, n, m, levels, bits, _, _ = np.frombuffer(buffer, np.int64, 7).tolist()
+        magic, n, m, levels, bits, width, _ = np.frombuffer(buffer, np.int64, 7).tolist()
         if magic != MAGIC:
             raise ValueError(f"{path} is no shard")
         at = 56
@@ -128,10 +135,10 @@ class Shard:
         def part(kind, count: int) -> np.ndarray:
             nonlocal at
             found = np.frombuffer(buffer, kind, count, at) if count else np.zeros(0, kind)
-            at += -(-count * np.dtype(kind).itemsize // 8) * 8
+            at += -(-found.nbytes // 8) * 8
             return found
 
-        self.ids = part("<u4", m)
+        self.ids = part(f"<u{width}", m)
         self.index = Index(part(np.int64, levels), part(U, bits // 64), part(np.uint32, n), part(np.int64, 2 * n).reshape(-1, 2))
         self.doc_ids = part(np.int64, n)
 
@@ -140,7 +147,7 @@ class Shard:
         start, size = self.index.find(keys_of(np.array([key], np.int64)))[0]
         if start < 0:
             raise KeyError(key)
-        return self.ids[start:start + size]
+        return self.ids[start:start + size].astype(np.uint32)
 
 
 def write(docs: DataFrame, tokenizer: str, end_id: int, folder: str | None = None) -> DataFrame:
@@ -153,14 +160,15 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, folder: str | None = Non
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        shard, encode, end = TaskContext.get().partitionId(), encoder(tokenizer).encode, np.array([end_id], "<u4")
+        shard, own, end = TaskContext.get().partitionId(), encoder(tokenizer), np.array([end_id])
+        width = 2 if max(own.library.get_vocab_size(with_added_tokens=True), end_id + 1) <= 1 << 16 else 4
         keys, ids = [], []
         for batch in slices(batches):
             keys.append(batch.column("_key").to_numpy())
-            ids += [np.concatenate([x, end]).astype("<u4") for x in encode(batch.column("text").to_pylist())]
+            ids += [np.append(x, end).astype(f"<u{width}") for x in own.encode(batch.column("text").to_pylist())]
         if keys:
             doc_ids, path = np.concatenate(keys), f"{folder}/shard-{shard:08d}.ids"
-            total = write_shard(path, doc_ids, ids)
+            total = write_shard(path, doc_ids, ids, width)
             row = {"shard": shard, "path": path, "docs": len(ids), "ids": total, "last_key": int(doc_ids[-1])}
             yield pa.RecordBatch.from_pylist([row], schema=pa.schema([("shard", pa.int32()), ("path", pa.string()), ("docs", pa.int64()), ("ids", pa.int64()), ("last_key", pa.int64())]))
 
@@ -183,7 +191,7 @@ def read(manifest: DataFrame) -> DataFrame:
                 bounds = shard.index.find(keys_of(shard.doc_ids))
                 if (bounds < 0).any():
                     raise ValueError(f"{row['path']}: a key is not found")
-                crcs = [zlib.crc32(shard.ids[a:a + n].tobytes()) for a, n in bounds.tolist()]
+                crcs = [zlib.crc32(shard.ids[a:a + n].astype("<u4").tobytes()) for a, n in bounds.tolist()]
                 keys = pa.array(shard.doc_ids, mask=shard.doc_ids == NULL_ID)
                 yield pa.RecordBatch.from_arrays([keys, pa.array(bounds[:, 0] + row["before"]), pa.array(bounds[:, 1]), pa.array(crcs, pa.int64())], schema=schema)
 
