@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rillframe.llm import langid, lexicon, packing, passages, quality, ring, tokenfile
+from rillframe.llm import langid, lexicon, neardup, packing, passages, quality, ring, tokenfile
 from rillframe.llm.store import lean
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +69,9 @@ def op1_language(spark: SparkSession, folder: str) -> DataFrame:
 def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in 8 shards of equal row counts."""
     return ring.shard(table(spark, folder, "documents"), 8)
+
+
+@query
+def op2_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of documents that share 80 % of their 2-word shingles, by the smallest id of each."""
+    return neardup.grouped(table(spark, folder, "documents"), size=2, percent=80).drop("key")

@@ -14,7 +14,7 @@ from rillframe.session import settled, shared_dir
 
 TASK_BYTES = 32 * 1024 * 1024
 
-__all__ = ["settled", "shared_dir", "new_folder", "put", "get", "parts_for", "lean"]
+__all__ = ["settled", "shared_dir", "new_folder", "put", "get", "parts_for", "lean", "few"]
 
 
 def new_folder(spark: SparkSession, kind: str) -> str:
@@ -55,3 +55,8 @@ def parts_for(df: DataFrame, column: str = "text", per_task: int = TASK_BYTES) -
 def lean(df: DataFrame, *columns: str) -> DataFrame:
     """Only the named columns, whatever else the table has."""
     return df.select(*[F.col(f"`{c}`") for c in columns])
+
+
+def few(df: DataFrame, rows: int = 500_000) -> DataFrame:
+    """``df``, a written table of a few numbers a row, marked for broadcast if it has ``rows`` at most."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
