@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rillframe.llm import langid, lexicon, neardup, packing, passages, quality, ring, tokenfile
+from rillframe.llm import langid, lexicon, neardup, packing, passages, quality, ring, suffixes, tokenfile
 from rillframe.llm.store import lean
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,10 @@ def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
 def op2_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of documents that share 80 % of their 2-word shingles, by the smallest id of each."""
     return neardup.grouped(table(spark, folder, "documents"), size=2, percent=80).drop("key")
+
+
+@query
+def op6_repeated_bytes(spark: SparkSession, folder: str) -> DataFrame:
+    """Every byte removed that a 400-byte string covers which starts elsewhere too."""
+    found = suffixes.removals(lean(table(spark, folder, "documents"), "doc_id", "text"), 400)
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
