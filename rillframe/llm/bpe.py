@@ -18,7 +18,7 @@ from tokenizers import Tokenizer
 
 from rillframe.llm.words import BASE, U, Rolling, mix
 
-CACHE = 600_000
+CACHE = 2_000_000
 LETTER, NUMBER, GAP, OTHER, ODD = 1, 2, 3, 4, 5
 LATIN = 0x250
 #: The split patterns known here, as their files write them.
@@ -114,6 +114,44 @@ def split(texts: list[str], lower: bool, added: list[str]) -> Split:
     return Split(text, starts, ends, Rolling(LETTERS[points]).spans(starts, ends), np.searchsorted(starts, edges), whole)
 
 
+class Places:
+    """Numbers from 0 for 64-bit hashes in the order they are added, found by open addressing; about 30 bytes each."""
+
+    def __init__(self):
+        self.count = 0
+        self.keys, self.numbers = np.zeros(1 << 16, U), np.full(1 << 16, -1, np.int32)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The number of each hash, -1 for one that was not added."""
+        found, rest, slot = np.full(len(keys), -1, np.int64), np.arange(len(keys)), keys & U(len(self.keys) - 1)
+        while len(rest):
+            number = self.numbers[slot]
+            same = (self.keys[slot] == keys[rest]) & (number >= 0)
+            found[rest[same]] = number[same]
+            on = ~same & (number >= 0)
+            rest, slot = rest[on], (slot[on] + U(1)) & U(len(self.keys) - 1)
+        return found
+
+    def add(self, keys: np.ndarray) -> None:
+        """Add distinct hashes that are not there yet."""
+        while 2 * (self.count + len(keys)) > len(self.keys):
+            held = np.flatnonzero(self.numbers >= 0)
+            old, numbers = self.keys[held], self.numbers[held]
+            self.keys, self.numbers = np.zeros(2 * len(self.keys), U), np.full(2 * len(self.keys), -1, np.int32)
+            self._put(old, numbers)
+        self._put(keys, np.arange(self.count, self.count + len(keys), dtype=np.int32))
+        self.count += len(keys)
+
+    def _put(self, keys: np.ndarray, numbers: np.ndarray) -> None:
+        slot = keys & U(len(self.keys) - 1)
+        while len(keys):
+            free = self.numbers[slot] < 0
+            self.numbers[slot[free]] = numbers[free]  # of several that come to a slot the last one stays
+            won = free & (self.numbers[slot] == numbers)
+            self.keys[slot[won]] = keys[won]
+            keys, numbers, slot = keys[~won], numbers[~won], (slot[~won] + U(1)) & U(len(self.keys) - 1)
+
+
 class Encoder:
     """Encodes with a tokenizer file; one for each worker process, see ``encoder``."""
 
@@ -136,7 +174,7 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.places: dict[int, int] = {}
+        self.places = Places()
         self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
         self.bounds = np.zeros((1 << 16, 2), np.int64)
 
@@ -149,29 +187,28 @@ class Encoder:
         found = self.model.encode([self.shown(w) for w in words], is_pretokenized=True, add_special_tokens=False)
         return np.array(found.ids, np.uint32), np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(words) + 1))
 
-    def learn(self, hashes: list[int], words: list[str]) -> None:
+    def learn(self, hashes: np.ndarray, words: list[str]) -> None:
         for k in range(0, len(words), 5_000):
             ids, edges = self.merged(words[k:k + 5_000])
             if self.used + len(ids) > len(self.ids):
                 self.ids = np.resize(self.ids, 2 * (self.used + len(ids)))
             self.ids[self.used:self.used + len(ids)] = ids
-            at = len(self.places)
+            at = self.places.count
             if at + len(edges) > len(self.bounds):
                 self.bounds = np.resize(self.bounds, (2 * (at + len(edges)), 2))
             self.bounds[at:at + len(edges) - 1] = np.stack([edges[:-1], edges[1:]], 1) + self.used
-            self.places.update(zip(hashes[k:k + 5_000], range(at, at + len(edges) - 1)))
+            self.places.add(hashes[k:k + 5_000])
             self.used += len(ids)
 
     def known(self, block: Split) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words of a block, and where each word's ids begin."""
         unique, at, which = np.unique(block.hashes, return_index=True, return_inverse=True)
-        keys = unique.tolist()
-        if len(self.places) + len(keys) > CACHE:
+        if self.places.count + len(unique) > CACHE:
             self.forget()
-        new = [i for i, k in enumerate(keys) if k not in self.places]
+        new = np.flatnonzero(self.places.find(unique) < 0)
         spans = zip(block.starts[at[new]].tolist(), block.ends[at[new]].tolist())
-        self.learn([keys[i] for i in new], [block.text[a:b] for a, b in spans])
-        place = np.fromiter(map(self.places.__getitem__, keys), np.int64, len(keys))
+        self.learn(unique[new], [block.text[a:b] for a, b in spans])
+        place = self.places.find(unique)
         return gather(self.ids, self.bounds[place, 0][which], self.bounds[place, 1][which])
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:

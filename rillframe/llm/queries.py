@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rillframe.llm import langid, lexicon, neardup, packing, passages, quality, ring, suffixes, tokenfile
+from rillframe.llm import langid, lexicon, nearest, neardup, packing, passages, quality, ring, suffixes, tokenfile
 from rillframe.llm.store import lean
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +82,9 @@ def op6_repeated_bytes(spark: SparkSession, folder: str) -> DataFrame:
     """Every byte removed that a 400-byte string covers which starts elsewhere too."""
     found = suffixes.removals(lean(table(spark, folder, "documents"), "doc_id", "text"), 400)
     return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op5_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    """The five nearest vectors of every vector whose id is divisible by 50."""
+    return nearest.search(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, 5)
