@@ -240,5 +240,5 @@ def grouped(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
 
 def deduplicated(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` that are the first of their group; all columns."""
-    kept = settled(grouped(docs, size, percent).where("kept").select("key").distinct()).withColumnRenamed("key", "_key")
-    return docs.withColumn("_key", F.xxhash64("doc_id", "text")).join(kept, "_key", "left_semi").drop("_key")
+    kept = settled(grouped(docs, size, percent).where("kept").select(F.col("key").alias("_key")).distinct())
+    return docs.withColumn("_key", F.xxhash64("doc_id", "text")).join(few(kept), "_key", "left_semi").drop("_key")

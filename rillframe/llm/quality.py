@@ -77,23 +77,26 @@ def _measured(batch: pa.RecordBatch) -> list[np.ndarray]:
     ]
 
 
-def measure(docs: DataFrame) -> DataFrame:
-    """The columns of ``docs`` without ``text``, and the counts of COUNTS for each whole text (null: none).
+def measure(docs: DataFrame, with_text: bool = False) -> DataFrame:
+    """The columns of ``docs``, ``text`` only if wanted, and the counts of COUNTS for each whole text (null: none).
 
     Words are [^ \\t-\\r]+. word_chars: code points in words. n_symbols: characters of #*$%&|<>. n_lines: lines with a
     word; n_dup_lines: those equal to an earlier line. n_repeat_words: words in 3-word windows that the text has
     twice or more. n_capitals: A-Z. A column of ``docs`` named like a count is replaced by it.
     """
     kept = [f for f in docs.schema.fields if f.name != "text" and f.name not in COUNTS]
+    names = [f.name for f in kept]
+    if with_text:
+        kept = kept + [docs.schema["text"]]
     schema = T.StructType(kept + [T.StructField(c, T.LongType()) for c in COUNTS])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            columns = [batch.column(i) for i in range(batch.num_columns - 1)]
+            columns = [batch.column(i) for i in range(len(kept))]
             found = [pa.array(x.astype(np.int64)) for x in _measured(batch)]
             yield pa.RecordBatch.from_arrays(columns + found, names=[f.name for f in kept] + list(COUNTS))
 
-    return lean(docs, *[f.name for f in kept], "text").mapInArrow(run, schema)
+    return lean(docs, *names, "text").mapInArrow(run, schema)
 
 
 def certified(good: int, wrong: int, risk: float, doubt: float) -> bool:
@@ -171,3 +174,9 @@ def verdicts(docs: DataFrame, labels: DataFrame, stratum: str = "lang", **option
     """``docs`` without texts, with counts, base_failed and kept; texts are read once."""
     measured = settled(measure(docs))
     return judge(measured, settled(cutoffs(measured, labels, stratum, **options)), stratum)
+
+
+def passing(docs: DataFrame, labels: DataFrame, stratum: str = "lang", **options) -> DataFrame:
+    """The rows of ``docs`` that are kept, all columns as they are. Texts are read twice and not moved."""
+    cuts = settled(cutoffs(settled(measure(docs)), labels, stratum, **options))
+    return lean(judge(measure(docs, with_text=True), cuts, stratum).where("kept"), *docs.columns)
