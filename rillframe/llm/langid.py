@@ -5,7 +5,8 @@ A text is the multiset of its letter n-grams (1 to 3 letters, lower case, words
 Document frequencies count every labelled text given to ``fit``. The centroids of a language come from spherical
 k-means over at most about ``SAMPLE`` of its texts, chosen by hash: that bound is a parameter, as is ``CENTROIDS``.
 The distance of a text is 1 - cosine to the nearest centroid of all; the language of that centroid is the answer.
-A text is rejected if it is further away than any text of that language's sample was from it, by ``slack`` or more.
+A text is rejected if it is further away than all but ``ODD`` of that language's sample were, by more than ``slack``,
+or further than ``LIMIT``.
 
 A text that is null or has no letter is UNKNOWN with score 0, and rejected; so is every text if no labelled one has
 letters. Whole texts are read. Rows that repeat are each judged. Ties go to the first centroid in order of language.
@@ -29,6 +30,7 @@ SIZE = 1 << 14
 SAMPLE = 1000
 CENTROIDS = 4
 ROUNDS = 12
+ODD, LIMIT = 0.005, 0.9
 UNKNOWN = "und"
 ROWS = 64  # texts counted at a time, each into SIZE numbers
 RESULTS = {"lang_pred": T.StringType(), "score": T.DoubleType(), "distance": T.DoubleType(), "rejected": T.BooleanType()}
@@ -113,7 +115,7 @@ def kmeans(points: np.ndarray, k: int, rounds: int, support: float = 0.1) -> np.
     return centroids[shares >= min(support, shares.max())]
 
 
-def fit(labelled: DataFrame, centroids: int = CENTROIDS, sample: int = SAMPLE, slack: float = 0.1) -> Model:
+def fit(labelled: DataFrame, centroids: int = CENTROIDS, sample: int = SAMPLE, slack: float = 0.25) -> Model:
     """A model from ``text`` and ``lang`` of labelled rows; rows where either is null do not count.
 
     To the driver come SIZE document frequencies, a count for each language, and the centroids.
@@ -155,7 +157,7 @@ def fit(labelled: DataFrame, centroids: int = CENTROIDS, sample: int = SAMPLE, s
             points[i, np.frombuffer(f, np.int32)] = np.frombuffer(w, np.float32)
         made = kmeans(points, centroids, ROUNDS)
         near = points @ made.T
-        reach = float(1 - near.max(1).min()) + slack
+        reach = min(float(np.quantile(1 - near.max(1), 1 - ODD)) + slack, LIMIT)
         return pd.DataFrame({"lang": frame["lang"].iloc[0], "part": range(len(made)), "vector": [c.astype(np.float32).tobytes() for c in made], "reach": reach})
 
     made = chosen.mapInArrow(vectored, "lang string, feature binary, weight binary").groupBy("lang").applyInPandas(clustered, "lang string, part int, vector binary, reach double")
