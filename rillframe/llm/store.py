@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rillframe.session import settled, shared_dir
 
 TASK_BYTES = 32 * 1024 * 1024
+BATCH_SETTING, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
 
 __all__ = ["settled", "shared_dir", "new_folder", "put", "get", "parts_for", "lean", "few"]
 
@@ -53,7 +54,14 @@ def parts_for(df: DataFrame, column: str = "text", per_task: int = TASK_BYTES) -
 
 
 def lean(df: DataFrame, *columns: str) -> DataFrame:
-    """Only the named columns, whatever else the table has."""
+    """Only the named columns, whatever else the table has.
+
+    Texts are long, and a batch for Python lies outside the heap in whole: where the session still has Spark's own
+    10,000 rows for a batch, it gets BATCH_ROWS.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_SETTING) == "10000":
+        conf.set(BATCH_SETTING, str(BATCH_ROWS))
     return df.select(*[F.col(f"`{c}`") for c in columns])
 
 

@@ -36,7 +36,7 @@ CODES = mix(np.arange(1, 257, dtype=U) * BASE)
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE**i and BASE**-i for i below n at least."""
     if not _POWERS or len(_POWERS[0]) < n:
-        size = max(n, 1 << 21)
+        size = max(n, 1 << 19)
         _POWERS[:] = [np.concatenate([np.ones(1, U), np.cumprod(np.full(size, b, U))]) for b in (BASE, BASE_INVERSE)]
     return _POWERS[0], _POWERS[1]
 
