@@ -116,8 +116,13 @@ def deferred_scalar(spark, folder):
 @query
 def random_source(spark, folder):
     drawn = basic.random_draws(events(spark, folder), "event_id", 100, seed=7)
+    drawn = basic.random_draws(drawn, "event_id", 100, seed=7, name="again")
+    drawn = basic.random_draws(drawn, "event_id", 100, seed=8, name="other")
+    # enough different draws, a mean near the middle, and another seed draws otherwise
+    spread = (F.count_distinct("draw") >= 60) & F.avg("draw").between(35, 64) & (F.count_if(F.col("draw") == F.col("other")) * 10 < F.count(F.lit(1)))
     return drawn.groupBy("event_type").agg(
-        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("draw").between(0, 99)).alias("in_range")
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("draw").between(0, 99)).alias("in_range"),
+        F.count_if(F.col("draw") == F.col("again")).alias("again"), spread.alias("spread"),
     )
 
 
@@ -441,7 +446,7 @@ def oncall_enrich(spark, folder):
 @query
 def map_async(spark, folder):
     rows = events(spark, folder).select("event_id", "v")
-    return enrich.map_async(rows, _reply, "event_id bigint, reply bigint")
+    return enrich.map_async(rows, _reply, "event_id bigint, reply bigint", parallelism=4)
 
 
 def _reply(frame):
@@ -450,12 +455,39 @@ def _reply(frame):
 
 @query
 def notify(spark, folder):
-    errors = events(spark, folder).filter("event_type = 'error'")
-    told = enrich.notify(errors, F.lit(ROSTER[0][1]), F.concat(F.lit("event "), F.col("event_id")),
+    told = enrich.notify(events(spark, folder), F.lit(ROSTER[0][1]), F.concat(F.lit("event "), F.col("event_id")),
                          F.col("ts"), F.lit(1).cast("bigint"))
     return told.select("email", "event.description", values.micros(F.col("event.date")).alias("at"), "event.instances")
 
 
+@query
+def conflate_notify(spark, folder):
+    bursts = segments.conflate(events(spark, folder), ["user_id", "day"], "event_type", at=F.col("ts"),
+                               merge=lambda n: F.concat(n, F.lit(" events for user "), F.col("user_id")))
+    told = enrich.notify(bursts, F.lit(ROSTER[0][1]), F.col("description"), F.col("date"), F.col("instances"))
+    return told.select("email", "event.description", values.micros(F.col("event.date")).alias("at"), "event.instances")
+
+
+@query
+def scan_max(spark, folder):
+    rows = events(spark, folder).select("user_id", "ts", "event_id", "v")
+    out = segments.scan(rows, ["user_id"], IN_ORDER, F.col("v"), "highest", seed=None, kind="max")
+    return out.select("user_id", "place", "event_id", "highest")
+
+
+@query
+def scan_by_text(spark, folder):
+    docs = table(spark, folder, "documents").select("source", "text", "doc_id")
+    out = segments.scan(docs, ["source"], ["text", "doc_id"], F.length("text"))
+    return out.select("source", "place", "doc_id", "running")
+
+
+@query
+def group_limited(spark, folder):
+    docs = table(spark, folder, "documents")
+    return segments.group_fold(docs, "lang", 100, rows=F.count(F.lit(1)), longest=F.max(F.length("text")).cast("bigint"))
+
+
 @query
 def mask(spark, folder):
     return masking.mask(table(spark, folder, "nation").select("n_nationkey", "n_name"), ["n_name"], SHIFT)

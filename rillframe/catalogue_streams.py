@@ -1,6 +1,7 @@
 """Queries that run as streams over the given tables until nothing is left to read.
 
-Every one writes below the shared folder, with a checkpoint of its own.
+Every one writes below the shared folder, with a checkpoint of its own. Results are complete when the input ends: rows
+may come in any order and in any number of micro-batches.
 """
 
 from __future__ import annotations
@@ -14,36 +15,27 @@ from rillframe.functions import values
 from rillframe.session import STATE_STORE, shared_dir
 from rillframe.sources import topics
 from rillframe.sources.tables import SCHEMAS, table
-from rillframe.streaming import folds, ingest, sinks
-from rillframe.streaming.stateful import fold_stream
-
-DELAY = "1 hour"
+from rillframe.operators import segments
+from rillframe.streaming import closed, ingest, sinks
 
 
 def _stream(spark, folder, name):
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-    return ingest.landing(spark, folder, SCHEMAS[name], names=f"{name}.parquet")
+    return ingest.table_files(spark, f"{folder}/{name}.parquet", SCHEMAS[name])
 
 
 def _place(spark):
     return f"{shared_dir(spark)}/streams/{uuid.uuid4().hex}"
 
 
-def _landed(spark, stream):
-    place = _place(spark)
-    sinks.land(stream, f"{place}/rows", f"{place}/checkpoint")
-    return spark.read.schema(stream.schema).parquet(f"{place}/rows")
-
-
-def _timed_events(spark, folder):
+def _events(spark, folder):
     rows = _stream(spark, folder, "events")
-    rows = rows.select("event_id", "ts", "user_id", "event_type", values.cents(F.col("value")).alias("v"))
-    return ingest.timed(rows, "ts", DELAY)
+    return rows.select("event_id", "ts", "user_id", "event_type", values.cents(F.col("value")).alias("v"))
 
 
 @query
 def ingest_files(spark, folder):
-    landed = _landed(spark, _stream(spark, folder, "orders").select("o_orderkey", "o_orderstatus"))
+    landed = sinks.landed(_stream(spark, folder, "orders").select("o_orderkey", "o_orderstatus"), _place(spark))
     return landed.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("rows"), F.sum("o_orderkey").alias("keys"))
 
 
@@ -73,13 +65,14 @@ def pubsub_stream(spark, folder):
 
 @query
 def conflate_stream(spark, folder):
-    merged = folds.conflate(_timed_events(spark, folder), ["user_id"], "ts", "1 day", "event_type")
-    out = merged.select("user_id", F.to_date("window.start").cast("string").alias("day"), "description", "instances")
-    return _landed(spark, out)
+    days = _events(spark, folder).withColumn("day", values.day(F.col("ts")))
+    bursts = closed.Bursts(_place(spark), ["user_id", "day"], "event_type")
+    bursts.run(days)
+    return bursts.result(spark).select("user_id", F.col("day").cast("string").alias("day"), "description", "instances")
 
 
 @query
 def scan_stream(spark, folder):
-    rows = _timed_events(spark, folder).select("user_id", "ts", "event_id", "v")
-    out = fold_stream(rows, ["user_id"], "ts", "event_id", folds.scan("v", "event_id"))
-    return _landed(spark, out).withColumnRenamed("id", "event_id")
+    rows = _events(spark, folder).select("user_id", "ts", "event_id", "v")
+    landed = sinks.landed(rows, _place(spark))
+    return segments.scan(landed, ["user_id"], ["ts", "event_id"], F.col("v")).select("user_id", "place", "event_id", "running")

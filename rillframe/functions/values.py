@@ -11,8 +11,9 @@ def cents(amount: Column) -> Column:
 
 
 def micros(ts: Column) -> Column:
-    """Microseconds since 1970 of a timestamp with or without zone (session zone UTC)."""
-    return F.unix_micros(ts.cast("timestamp"))
+    """Microseconds since 1970 of a timestamp without zone, read as UTC whatever the session's zone is."""
+    of_day = (F.hour(ts) * 60 + F.minute(ts)).cast("bigint") * 60_000_000 + (F.extract(F.lit("SECOND"), ts) * 1_000_000).cast("bigint")
+    return F.unix_date(ts.cast("date")).cast("bigint") * 86_400_000_000 + of_day
 
 
 def day(ts: Column) -> Column:

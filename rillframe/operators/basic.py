@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from rillframe.functions.values import draw
 
 from rillframe.plans import Lineup, match_keys
+from rillframe.plans.lineup import KINDS
 from rillframe.session import settled
 
 FIRST_ROWS = 100_000
@@ -35,18 +36,24 @@ def take(df: DataFrame, n: int, order: list[str]) -> DataFrame:
 
 
 def drop(df: DataFrame, n: int, order: list[str]) -> DataFrame:
-    """All rows but the first n.
+    """All rows but the first n: exactly n go, NULLs come first, of equal rows any may go.
 
     For a small n the n-th place is looked up first and the table is filtered
-    against it, so no row moves. Beyond that the rows are numbered.
+    against it, so no row moves; rows that share that place are counted. Beyond
+    that the rows are numbered.
     """
     if n <= 0:
         return df
     if n > FIRST_ROWS:
         return Lineup.of(df, [], order).numbered("_place").rows().filter(F.col("_place") >= n).drop("_place")
-    place = F.col(order[0]) if len(order) == 1 else F.struct(*order)
-    last = take(df.select(*order), n, order).agg(F.max(place).alias("last")).scalar()
-    return df.filter(place > last)
+    place = F.struct(*order)  # compares NULLs as the sort does
+    first = take(df.select(*order), n, order)
+    last = first.agg(F.max(place).alias("last")).scalar()
+    ties = df.filter(place == last)
+    gone = first.agg(F.count_if(place == last).alias("n")).collect()[0]["n"]
+    spare = ties.count() - gone
+    rest = df.filter(place > last)
+    return rest.unionByName(ties.limit(spare)) if spare > 0 else rest
 
 
 def ends(df: DataFrame, by: list[str], order: list[str], value: str) -> DataFrame:
@@ -57,9 +64,14 @@ def ends(df: DataFrame, by: list[str], order: list[str], value: str) -> DataFram
     return df.groupBy(*by).agg(firsts, lasts)
 
 
-def fold(df: DataFrame, seed, value: Column, name: str, by: list[str] = ()) -> DataFrame:
-    """A seeded sum: a table without rows gives the seed."""
-    return df.groupBy(*by).agg((F.coalesce(F.sum(value), F.lit(0)) + F.lit(seed)).cast("bigint").alias(name))
+def fold(df: DataFrame, seed, value: Column, name: str, by: list[str] = (), kind: str = "sum") -> DataFrame:
+    """A seeded sum, max, min or count: a table without rows gives the seed."""
+    total = KINDS[kind](value)
+    if kind in ("max", "min"):
+        total = (F.greatest if kind == "max" else F.least)(total, F.lit(seed))
+    else:
+        total = F.coalesce(total, F.lit(0)) + F.lit(seed)
+    return df.groupBy(*by).agg(total.cast("bigint").alias(name))
 
 
 def reduce(df: DataFrame, by: list[str] = (), strict: bool = False, **totals: Column) -> DataFrame:

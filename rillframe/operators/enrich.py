@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-ROSTER_ROWS = 10_000
-
 
 def duty_roster(spark, people: list[tuple[str, str]]) -> DataFrame:
-    """A table (idx, engineer, email) from a short list."""
-    if len(people) > ROSTER_ROWS:
-        raise ValueError(f"a roster has at most {ROSTER_ROWS} people")
+    """A table (idx, engineer, email) from a list."""
     rows = [(i, name, email) for i, (name, email) in enumerate(people)]
     return spark.createDataFrame(rows, "idx int, engineer string, email string")
 
@@ -21,30 +19,36 @@ def duty_roster(spark, people: list[tuple[str, str]]) -> DataFrame:
 def on_call(df: DataFrame, roster: DataFrame, when: Column) -> DataFrame:
     """Add the engineer on duty: the epoch day modulo the size of the roster.
 
-    The roster is broadcast only after a look that it is short.
+    A roster of any length; the planner chooses the join by its size.
     """
-    size = roster.limit(ROSTER_ROWS + 1).count()
-    if not 0 < size <= ROSTER_ROWS:
-        raise ValueError(f"a roster has 1 to {ROSTER_ROWS} people")
+    size = roster.count()
+    if not size:
+        raise ValueError("a roster has one person at least")
     duty = df.withColumn("idx", F.pmod(F.unix_date(F.to_date(when)), F.lit(size)))
-    return duty.join(F.broadcast(roster), "idx").drop("idx")
+    return duty.join(roster, "idx").drop("idx")
 
 
 def map_async(df: DataFrame, call: Callable[[pd.DataFrame], pd.DataFrame], schema: str,
-              parallelism: int | None = None) -> DataFrame:
-    """Call an outside service for Arrow batches of rows.
+              parallelism: int | None = None, rows: int = 1000) -> DataFrame:
+    """Call an outside service for pieces of a task's rows, several calls in flight, replies in order.
 
-    ``parallelism`` bounds the calls in flight by spreading the rows over that
-    many tasks; without it rows stay in the partitions they are in. Keep an
-    order column in the schema: a table has no order of its own.
+    ``parallelism`` bounds the calls that a task waits for at a time (one
+    without it); rows stay in the partitions they are in. A piece has ``rows``
+    rows at most, so a task holds parallelism x rows of them.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            yield call(frame)
-
-    spread = df.repartition(parallelism) if parallelism else df
-    return spread.mapInPandas(run, schema)
+        waiting: deque = deque()
+        with ThreadPoolExecutor(parallelism or 1) as pool:
+            for frame in frames:
+                for k in range(0, len(frame), rows):
+                    if len(waiting) >= (parallelism or 1):
+                        yield waiting.popleft().result()
+                    waiting.append(pool.submit(call, frame.iloc[k:k + rows]))
+            while waiting:
+                yield waiting.popleft().result()
+
+    return df.mapInPandas(run, schema)
 
 
 def notify(df: DataFrame, email: Column, description: Column, at: Column, instances: Column) -> DataFrame:

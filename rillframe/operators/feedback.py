@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
@@ -14,7 +15,8 @@ def iterate(seed: DataFrame, step: Callable[[DataFrame, int], DataFrame], key: l
 
     ``step`` gets the rows that were new in the round before. Every round is
     written to the shared folder, so lineage does not grow and a lost executor
-    costs one round at most. ``round`` is 0 for the seed.
+    costs one round at most. ``round`` is 0 for the seed. Where the bound ends
+    the loop while rows are still new, a warning says that there may be more.
     """
     fresh = settled(seed.dropDuplicates(key).withColumn("round", F.lit(0)))
     reached = fresh
@@ -22,8 +24,9 @@ def iterate(seed: DataFrame, step: Callable[[DataFrame, int], DataFrame], key: l
         found = step(fresh, number).select(*key).distinct()
         fresh = settled(found.join(reached.select(*key), key, "left_anti").withColumn("round", F.lit(number)))
         if fresh.isEmpty():
-            break
+            return reached
         reached = reached.unionByName(fresh)
+    warnings.warn(f"stopped after {max_rounds} rounds with new rows in the last one", stacklevel=2)
     return reached
 
 

@@ -10,6 +10,7 @@ from rillframe.plans.slices import slice_rows
 # Up to this many rows per group, each map task keeps the first rows itself and
 # the task that merges a hot group gets this many rows per map task.
 GROUP_LIMIT = 100
+GAP = 10_000
 
 
 def throttle(df: DataFrame, by: list[str], order: list[str], arrival: Column, n: int, per: int,
@@ -17,13 +18,16 @@ def throttle(df: DataFrame, by: list[str], order: list[str], arrival: Column, n:
     """Release at most n rows per ``per`` micros, evenly spaced and in order.
 
     Row i leaves at max(arrival i, release i-1 + c) with c = per / n, which is
-    i*c plus the running maximum of arrival j - j*c.
+    i*c plus the running maximum of arrival j - j*c. All is counted in n-ths of
+    a micro, and a release is rounded up to whole micros at the end only.
     """
-    gap = per // n
+    part = lambda x: x.cast("decimal(20,0)") * F.lit(n).cast("decimal(18,0)")
+    spent = F.col("_i").cast("decimal(18,0)") * F.lit(per).cast("decimal(20,0)")
     line = Lineup.of(df, by, order).numbered("_i")
-    line = line.running(_lead=max_run(arrival - F.col("_i") * gap))
-    released = (F.col("_i") * gap + F.col("_lead")).cast("bigint")
-    return line.rows().withColumn(name, released).drop("_i", "_lead")
+    line = line.running(_lead=max_run(part(arrival) - spent))
+    released = F.expr(f"`_at` div {n}") + (F.expr(f"`_at` % {n}") > 0).cast("bigint")
+    rows = line.rows().withColumn("_at", spent + F.col("_lead"))
+    return rows.withColumn(name, released.cast("bigint")).drop("_i", "_lead", "_at")
 
 
 def _nearest(df: DataFrame, by: list[str], order: list[str], n: int, last: bool) -> DataFrame:
@@ -74,9 +78,10 @@ def extrapolate(df: DataFrame, by: list[str], order: list[str], tick: Column, va
     combined before the shuffle. Every row then fills the gap before it from the
     row that precedes it; the grid is never joined. A group has at most one row
     per tick of the time span, so it is checked for long groups only where the
-    span allows them.
+    span allows them. A NULL tick has no place on the grid and fails the job. A
+    long gap is opened in two steps, so no array holds more than GAP ticks.
     """
-    at = tick.cast("bigint")
+    at = F.when(tick.isNull(), F.raise_error(F.lit("a tick is NULL")).cast("bigint")).otherwise(tick.cast("bigint"))
     latest = df.groupBy(*by, at.alias("_at")).agg(F.max_by(value, F.struct(*order)).alias(name))
     ends = df.agg(F.min(at).alias("first"), F.max(at).alias("last")).collect()[0]
     real = F.struct(F.col("_at").alias("tick"), F.col(name).alias("value"))
@@ -86,7 +91,9 @@ def extrapolate(df: DataFrame, by: list[str], order: list[str], tick: Column, va
         line = Lineup.of(latest, by, ["_at"])
     rows = line.preceding(_previous=last_run(real)).rows()
     start = F.coalesce(F.col("_previous.tick") + 1, F.col("_at"))
-    ticks = rows.select("*", F.explode(F.sequence(start, F.col("_at"))).alias("tick"))
+    blocks = rows.select("*", F.explode(F.sequence(start, F.col("_at"), F.lit(GAP).cast("bigint"))).alias("_block"))
+    block = F.sequence(F.col("_block"), F.least(F.col("_block") + GAP - 1, F.col("_at")))
+    ticks = blocks.select("*", F.explode(block).alias("tick"))
     synthetic = F.col("tick") < F.col("_at")
     return ticks.select(
         *by, "tick",

@@ -45,9 +45,6 @@ UNION ALL SELECT producer, seq, 'size', CAST(length(msg) AS VARCHAR) FROM t"""
 
 LANDED = "SELECT o_orderstatus, count(*) AS rows, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM orders GROUP BY o_orderstatus"
 
-CLOSED = f"""{EV}, mark AS (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 1 HOUR AS at_least FROM ev)"""
-
-
 def _kept(condition: str) -> str:
     return f"{PLACED} SELECT user_id, CAST(day AS VARCHAR) AS day, event_id FROM placed WHERE {condition}"
 
@@ -73,7 +70,8 @@ FROM numbered WHERE rn > 1000 GROUP BY o_orderstatus""",
 FROM ev GROUP BY event_type""",
     "deferred_scalar": f"""{PRICED} SELECT o_orderkey, cents FROM o
 WHERE CAST(cents AS HUGEINT) * (SELECT count(*) FROM o) > (SELECT sum(cents) FROM o)""",
-    "random_source": f"{EV} SELECT event_type, count(*) AS rows, count(*) AS in_range FROM ev GROUP BY event_type",
+    "random_source": f"""{EV} SELECT event_type, count(*) AS rows, count(*) AS in_range, count(*) AS again, true AS spread
+FROM ev GROUP BY event_type""",
     "take_until": f"""{EV}, cuts AS (SELECT event_type, min(ts) AS cut FROM ev WHERE k = 13 GROUP BY event_type)
 SELECT ev.event_type, count(*) AS rows FROM ev LEFT JOIN cuts ON cuts.event_type = ev.event_type
 WHERE cut IS NULL OR ts < cut GROUP BY ev.event_type""",
@@ -184,7 +182,18 @@ SELECT CASE idx WHEN 0 THEN 'Ines' WHEN 1 THEN 'Omar' ELSE 'Wei' END AS engineer
 FROM duty GROUP BY idx, day""",
     "map_async": f"{EV} SELECT event_id, v * 2 AS reply FROM ev",
     "notify": f"""{EV} SELECT 'ines@example.org' AS email, 'event ' || event_id AS description, epoch_us(ts) AS "at",
-       CAST(1 AS BIGINT) AS instances FROM ev WHERE event_type = 'error'""",
+       CAST(1 AS BIGINT) AS instances FROM ev""",
+    "conflate_notify": f"""{EV} SELECT 'ines@example.org' AS email,
+       CASE WHEN count(*) = 1 THEN min(event_type) ELSE count(*) || ' events for user ' || user_id END AS description,
+       epoch_us(max(ts)) AS "at", count(*) AS instances FROM ev GROUP BY user_id, day""",
+    "scan_max": f"""{EV} SELECT user_id, row_number() OVER w AS place, event_id, max(v) OVER w AS highest FROM ev
+WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)
+UNION ALL SELECT DISTINCT user_id, CAST(0 AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT) FROM ev""",
+    "group_limited": "SELECT lang, count(*) AS rows, max(length(text)) AS longest FROM documents GROUP BY lang",
+    "scan_by_text": """SELECT source, row_number() OVER w AS place, doc_id,
+       CAST(sum(length(text)) OVER w AS BIGINT) AS running FROM documents
+WINDOW w AS (PARTITION BY source ORDER BY text, doc_id ROWS UNBOUNDED PRECEDING)
+UNION ALL SELECT DISTINCT source, CAST(0 AS BIGINT), CAST(NULL AS BIGINT), CAST(0 AS BIGINT) FROM documents""",
     "mask": """SELECT n_nationkey,
        array_to_string(list_transform(string_split(n_name, ''), lambda c: chr(unicode(c) + 3)), '') AS n_name FROM nation""",
     "mask_documents": """SELECT doc_id, length(text) AS size,
@@ -193,15 +202,6 @@ FROM documents""",
     "mask_roundtrip": "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS differing FROM documents",
     "ingest_files": LANDED,
     "ack_sink": LANDED,
-    "conflate_stream": f"""{CLOSED} SELECT user_id, CAST(day AS VARCHAR) AS day,
-       CASE WHEN count(*) = 1 THEN min(event_type)
-            ELSE 'You have ' || count(*) || ' events that require your attention' END AS description,
-       count(*) AS instances
-FROM ev WHERE day + INTERVAL 1 DAY <= (SELECT at_least FROM mark) GROUP BY user_id, day""",
-    "scan_stream": f"""{CLOSED}, passed AS (SELECT * FROM ev WHERE ts <= (SELECT at_least FROM mark))
-SELECT user_id, row_number() OVER w AS place, event_id, CAST(sum(v) OVER w AS BIGINT) AS running FROM passed
-WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)
-UNION ALL SELECT DISTINCT user_id, CAST(0 AS BIGINT), CAST(NULL AS BIGINT), CAST(0 AS BIGINT) FROM passed""",
     "hop_distance": """WITH RECURSIVE edges AS (SELECT DISTINCT l_partkey AS p, l_suppkey AS s FROM lineitem),
 walk(kind, node, hops) AS (
   SELECT 'l_suppkey', CAST(0 AS BIGINT), CAST(0 AS BIGINT)
@@ -212,3 +212,5 @@ walk(kind, node, hops) AS (
   WHERE w.hops < 4)
 SELECT kind, node, min(hops) AS hops FROM walk GROUP BY kind, node""",
 }
+
+ORACLES |= {"conflate_stream": ORACLES["conflate"], "scan_stream": ORACLES["scan_user"]}

@@ -39,6 +39,8 @@ class Run:
 
 
 _AGGREGATES = {"sum": F.sum, "max": F.max, "min": F.min}
+#: Aggregates that combine before a shuffle, by name.
+KINDS = _AGGREGATES | {"count": F.count}
 
 
 def sum_run(value: Column) -> Run:
@@ -131,10 +133,10 @@ class Lineup:
         local = self.frame.withColumn(name, F.count(F.lit(1)).over(Window.partitionBy(*self._parts)))
         if not self.sliced:
             return replace(self, frame=local)
-        # one row per sliced group, at most MAX_HOT_KEYS of them
+        # one row per group that has slices, or per part of one after ``within``: the planner looks at the size
         whole = self._long().groupBy(*self.by).agg(F.count(F.lit(1)).alias("_whole"))
         size = F.when(F.col(SLICE) > 0, F.col("_whole")).otherwise(F.col(name))
-        joined = match_keys(local, F.broadcast(whole), self.by, "left").withColumn(name, size).drop("_whole")
+        joined = match_keys(local, whole, self.by, "left").withColumn(name, size).drop("_whole")
         return replace(self, frame=joined)
 
     def _long(self) -> DataFrame:

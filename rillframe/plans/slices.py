@@ -19,15 +19,17 @@ from collections import Counter
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from rillframe.functions.values import micros
 from rillframe.plans.keys import match_keys
 
 SLICE = "_slice"
 SLICE_ROWS = 4_000_000
-MAX_SLICES = 16_384
 MAX_HOT_KEYS = 100_000
+MAX_SAMPLE = 1 << 19
 SAMPLES_PER_SLICE = 32
 SAMPLES_PER_KEY = 256
-MAX_AXES = 4
+TEXT_BYTES = 6  # bytes of a text in one axis: whole numbers that a double holds exactly
+TEXT_AXES = 8
 EXACT = float(2**53)
 
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DateType, T.TimestampType, T.TimestampNTZType)
@@ -38,19 +40,28 @@ def slice_rows(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("rillframe.sliceRows", str(SLICE_ROWS)))
 
 
-def axis(df: DataFrame, name: str):
-    """The order column as a double that rises with it; NULL sorts first, NaN last."""
+def axes(df: DataFrame, name: str) -> list:
+    """The order column as doubles that rise with it, the first one first; NULL sorts first, NaN last.
+
+    A text is cut by its leading bytes, a few in each axis. Times without zone need none here: they are counted from
+    their own days, so a session zone with daylight saving changes nothing.
+    """
     kind = df.schema[name].dataType
     col = F.col(name)
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        data = col.cast("binary")
+        parts = [F.substring(data, 1 + TEXT_BYTES * i, TEXT_BYTES) for i in range(TEXT_AXES)]
+        numbers = [F.conv(F.rpad(F.hex(p), 2 * TEXT_BYTES, "0"), 16, 10) for p in parts]
+        return [F.coalesce(n.cast("double"), F.lit(float("-inf"))) for n in numbers]
     if isinstance(kind, T.DateType):
         col = F.unix_date(col)
     elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        col = F.unix_micros(col.cast("timestamp"))
+        col = micros(col) if isinstance(kind, T.TimestampNTZType) else F.unix_micros(col)
     elif isinstance(kind, _REAL):
         col = F.nanvl(col, F.lit(float("inf")))
     elif not isinstance(kind, (T.NumericType, T.BooleanType)):
-        raise TypeError(f"order column {name} must be a number, date or timestamp, not {kind.simpleString()}")
-    return F.coalesce(col.cast("double"), F.lit(float("-inf")))
+        raise TypeError(f"order column {name} must be a number, text, date or timestamp, not {kind.simpleString()}")
+    return [F.coalesce(col.cast("double"), F.lit(float("-inf")))]
 
 
 def hot_keys(df: DataFrame, by: list[str], rows: int) -> tuple[DataFrame | None, int]:
@@ -83,15 +94,15 @@ def cut_points(df: DataFrame, order: list[str], rows: int, slices: int) -> list[
     Only a sample is brought to the driver: about SAMPLES_PER_SLICE times
     ``slices`` rows of a few numbers, half a million at most.
     """
-    axes = order[:MAX_AXES]
-    fraction = min(1.0, SAMPLES_PER_SLICE * slices / max(rows, 1))
-    sample = df.select(*[axis(df, c).alias(f"a{i}") for i, c in enumerate(axes)])
+    listed = listed_axes(df, order)
+    fraction = min(1.0, min(MAX_SAMPLE, SAMPLES_PER_SLICE * slices) / max(rows, 1))
+    sample = df.select(*[value.alias(f"a{i}") for i, (_, value) in enumerate(listed)])
     if fraction < 1.0:
         sample = sample.sample(fraction, seed=17)
     points = [tuple(r) for r in sample.collect()]
     step = max(1, len(points) // slices)
     levels = []
-    for i, name in enumerate(axes):
+    for i, (name, _) in enumerate(listed):
         marks = sorted(p[i] for p in points)[step::step]
         heavy = sorted(v for v, times in Counter(marks).items() if times > 1 and _isolates(df, name, v))
         splits = sorted({v for v in marks if math.isfinite(v)} | {math.nextafter(v, math.inf) for v in heavy})
@@ -103,9 +114,22 @@ def cut_points(df: DataFrame, order: list[str], rows: int, slices: int) -> list[
     return levels
 
 
+def listed_axes(df: DataFrame, order: list[str]) -> list[tuple]:
+    """Every axis with its column's name. Behind a text only what its leading bytes leave open is not cut further."""
+    listed = []
+    for name in order:
+        own = axes(df, name)
+        listed += [(name, value) for value in own]
+        if len(own) > 1:
+            break
+    return listed
+
+
 def _isolates(df: DataFrame, name: str, value: float) -> bool:
     """Whether one double stands for exactly one value of the column."""
     kind = df.schema[name].dataType
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return math.isfinite(value)  # for these bytes; the next axis has the bytes behind them
     return math.isfinite(value) and (isinstance(kind, _REAL) or (isinstance(kind, _WHOLE) and abs(value) < EXACT))
 
 
@@ -130,14 +154,14 @@ def add_slices(df: DataFrame, by: list[str], order: list[str]) -> tuple[DataFram
         if hot is None:
             return df, False
         long_rows = match_keys(df, F.broadcast(hot), by, "left_semi")
-        slices = min(MAX_SLICES, max(2, math.ceil(rows / limit)))
+        slices = max(2, math.ceil(rows / limit))
     else:
         hot, rows, long_rows = None, df.count(), df
-        slices = min(MAX_SLICES, max(spark.sparkContext.defaultParallelism, math.ceil(rows / limit)))
+        slices = max(spark.sparkContext.defaultParallelism, math.ceil(rows / limit))
     sliced, number = df, F.lit(0).cast("bigint")
     inside = F.lit(True)
     for i, (splits, heavy) in enumerate(cut_points(long_rows, order, rows, slices)):
-        sliced = _bucketed(sliced, axis(df, order[i]), splits, f"_cut{i}")
+        sliced = _bucketed(sliced, listed_axes(df, order)[i][1], splits, f"_cut{i}")
         cut = F.when(inside, F.col(f"_cut{i}").cast("bigint")).otherwise(F.lit(0))
         number = number * (len(splits) + 2) + cut
         inside = inside & F.col(f"_cut{i}").isin([float(b) for b in heavy])

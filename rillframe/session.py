@@ -11,6 +11,7 @@ STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreP
 PARTITION_BYTES = 128 * 1024 * 1024
 MAX_PARTITIONS = 50_000
 _BYTES: dict[str, int] = {}
+_SETTLED: list[str] = []
 
 
 def local_session(cpus: int = 8, memory: str = "12g", shared: str | None = None) -> SparkSession:
@@ -45,6 +46,8 @@ def fit_shuffles(spark: SparkSession, folder: str) -> None:
     wanted = min(MAX_PARTITIONS, -(-_BYTES[folder] // PARTITION_BYTES))
     if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
+    else:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
 
 
 def pin(spark: SparkSession) -> SparkSession:
@@ -72,6 +75,19 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def exists(spark: SparkSession, address: str) -> bool:
+    """Whether a file or folder is there, on whatever file system the address names."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(address)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+def forget(spark: SparkSession) -> None:
+    """Delete what this process has settled so far; results that still read it must be written before."""
+    while _SETTLED:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_SETTLED.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def settled(df: DataFrame) -> DataFrame:
     """Cut the lineage of ``df``: write it once to the shared folder and read it back.
 
@@ -80,4 +96,5 @@ def settled(df: DataFrame) -> DataFrame:
     """
     path = f"{shared_dir(df.sparkSession)}/settled/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _SETTLED.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

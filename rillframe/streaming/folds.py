@@ -63,14 +63,16 @@ def batches(size: int, unique: str, end: Callable[[Row], int] | None = None) ->
 
 
 def throttle(n: int, per: int, unique: str) -> Fold:
-    """Release at most n rows per ``per`` micros, evenly spaced."""
-    gap = per // n
+    """Release at most n rows per ``per`` micros, evenly spaced; whole micros and n-ths of one are kept apart."""
 
     def step(state, row):
-        release = row["at"] if state[0] is None else max(row["at"], state[0] + gap)
-        return (release,), [(row[unique], release)]
+        at = (row["at"], 0)
+        if state[0] is not None:
+            whole, part = state[0] + per // n, state[1] + per % n
+            at = max(at, (whole + part // n, part % n))
+        return at, [(row[unique], at[0] + (at[1] > 0))]
 
-    return Fold("release bigint", (None,), step, "id bigint, release bigint")
+    return Fold("release bigint, part bigint", (None, None), step, "id bigint, release bigint")
 
 
 def shed(n: int, policy: str, unique: str, end: Callable[[Row], int]) -> Fold:
@@ -109,7 +111,7 @@ def restart_scan(bad: str, value: str, unique: str) -> Fold:
         epoch, total = state
         if row[bad]:
             return (epoch + 1, 0), []
-        total += row[value]
+        total += row[value] or 0
         return (epoch, total), [(row[unique], epoch, total)]
 
     return Fold("epoch bigint, total bigint", (0, 0), step, "id bigint, epoch bigint, running bigint")
@@ -120,7 +122,7 @@ def extrapolate(tick: str, value: str, counting: bool = True) -> Fold:
 
     def step(state, row):
         at, last = state
-        if at is None or row[tick] == at:
+        if at is None or row[tick] == at or last is None:
             return (row[tick], row[value]), []
         filled = [(at + i, last + i * counting, i > 0) for i in range(row[tick] - at)]
         return (row[tick], row[value]), filled

@@ -30,6 +30,15 @@ def landing(spark: SparkSession, folder: str, schema: str, files_per_batch: int
     return reader.option("pathGlobFilter", names).parquet(folder)
 
 
+def table_files(spark: SparkSession, path: str, schema: str, files_per_batch: int = 1000) -> DataFrame:
+    """A table as a stream of its files, whether it is one file or a folder of them; it must be there."""
+    files = spark.read.schema(schema).parquet(path).inputFiles()
+    name = path.rstrip("/").rpartition("/")
+    if len(files) == 1 and files[0].rstrip("/").rpartition("/")[2] == name[2]:
+        return landing(spark, name[0], schema, files_per_batch, names=name[2])
+    return landing(spark, path, schema, files_per_batch)
+
+
 def timed(df: DataFrame, column: str, delay: str) -> DataFrame:
     """Event time for watermarks, which need a timestamp with zone."""
     return df.withColumn(column, F.col(column).cast("timestamp")).withWatermark(column, delay)

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-COMMIT = "batch_id bigint, rows bigint"
+from rillframe.session import exists
+
+COMMIT = "rows bigint"
 
 
 def _nothing(*_) -> None:
@@ -29,17 +31,17 @@ class AcknowledgedSink:
         self.on_complete, self.on_failure = on_complete, on_failure
 
     def start(self, spark: SparkSession) -> None:
-        spark.createDataFrame([], COMMIT).write.mode("append").parquet(self.commits)
         self.on_init()
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if not self.committed_ids(spark).filter(F.col("batch_id") == batch_id).isEmpty():
+        done = f"{self.commits}/batch_id={batch_id}"
+        if exists(spark, f"{done}/_SUCCESS"):  # one look, however many batches there were
             return
         path = f"{self.data}/batch_id={batch_id}"
         batch.write.mode("overwrite").parquet(path)
         rows = spark.read.schema(batch.schema).parquet(path).count()
-        spark.createDataFrame([(batch_id, rows)], COMMIT).coalesce(1).write.mode("append").parquet(self.commits)
+        spark.createDataFrame([(rows,)], COMMIT).coalesce(1).write.mode("overwrite").parquet(done)
         self.on_ack(batch_id, rows)
 
     def run(self, stream: DataFrame) -> None:
@@ -55,9 +57,12 @@ class AcknowledgedSink:
         self.on_complete()
 
     def committed_ids(self, spark: SparkSession) -> DataFrame:
-        return spark.read.schema(COMMIT).parquet(self.commits)
+        return spark.read.schema(f"{COMMIT}, batch_id bigint").parquet(self.commits)
 
     def committed(self, spark: SparkSession, schema: str) -> DataFrame:
+        """Rows of confirmed batches; none, if no batch came."""
+        if not exists(spark, self.commits):
+            return spark.createDataFrame([], f"{schema}, batch_id bigint")
         rows = spark.read.schema(f"{schema}, batch_id bigint").parquet(self.data)
         ids = self.committed_ids(spark).select("batch_id").distinct()
         return rows.join(ids, "batch_id", "left_semi")
@@ -83,6 +88,15 @@ def land(stream: DataFrame, folder: str, checkpoint: str) -> None:
      .trigger(availableNow=True).start().awaitTermination())
 
 
+def landed(stream: DataFrame, folder: str) -> DataFrame:
+    """All rows that are available now, landed exactly once below ``folder``; no rows, if none came."""
+    land(stream, f"{folder}/rows", f"{folder}/checkpoint")
+    spark = stream.sparkSession
+    if not exists(spark, f"{folder}/rows"):
+        return spark.createDataFrame([], stream.schema)
+    return spark.read.schema(stream.schema).parquet(f"{folder}/rows")
+
+
 def each(stream: DataFrame, consumer: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     """Run a consumer per micro-batch until stopped."""
     return stream.writeStream.foreachBatch(consumer).option("checkpointLocation", checkpoint).start()

@@ -1,6 +1,7 @@
 """Small inputs with results worked out by hand."""
 
 import datetime as dt
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,9 @@ from rillframe.operators import basic, combine, enrich, fanout, faults, feedback
 from rillframe.sources.tables import empty, single, whole_range
 
 
+TABLES = "/root/testdata/sf0.001"
+
+
 def ints(spark, first, last):
     return whole_range(spark, first, last)
 
@@ -18,6 +22,15 @@ def column(df, name, *order):
     return [r[0] for r in df.orderBy(*order).select(name).collect()]
 
 
+def nations(spark):
+    return [r.n_name for r in spark.read.parquet(f"{TABLES}/nation.parquet").orderBy("n_nationkey").collect()]
+
+
+def documents(spark):
+    rows = spark.read.parquet(f"{TABLES}/documents.parquet").where("doc_id < 5").orderBy("doc_id").collect()
+    return [r.text for r in rows]
+
+
 def words(spark, *items):
     return spark.createDataFrame(list(enumerate(items)), "seq bigint, word string")
 
@@ -37,8 +50,10 @@ def test_map_chain(spark):
 
 
 def test_filter_and_take(spark):
-    names = words(spark, "Anna", "Bernard", "Carl", "Dolores", "Eve", "Ferdinand")
-    assert column(basic.take(names.filter(F.length("word") > 5), 2, ["seq"]), "word", "seq") == ["Bernard", "Dolores"]
+    given = nations(spark)
+    long = [n for n in given if len(n) > 8]
+    found = basic.take(words(spark, *given).filter(F.length("word") > 8), 3, ["seq"])
+    assert column(found, "word", "seq") == long[:3]
     doubled = ints(spark, 1, 10).select("seq", values.doubled(F.col("x")).alias("x"))
     assert column(basic.take(doubled, 5, ["seq"]), "x", "seq") == [2, 4, 6, 8, 10]
 
@@ -104,8 +119,9 @@ def test_word_count(spark, line, count):
 
 
 def test_fold_word_count(spark):
-    lines = words(spark, "rivers run deep", "streams never rest", "all of it is water")
-    assert basic.fold(lines, 0, text.word_count(F.col("word")), "n").collect()[0].n == 11
+    given = documents(spark)
+    want = sum(len(t.rstrip(" ").split(" ")) for t in given)
+    assert basic.fold(words(spark, *given), 0, text.word_count(F.col("word")), "n").collect()[0].n == want
 
 
 SHIFTED = ["plain", "", "café ł", "퟼", "\U0001f600 x", "￿", "\x03\x01", "a\x00b", None]
@@ -198,36 +214,38 @@ def test_flag(spark):
 
 
 def test_word_sink(spark):
-    got = fanout.word_sink(words(spark, "Lake", "is", "lasting", "fish", "the", "sea"), "word").collect()[0]
-    assert (got.short_words, got.lower_words) == (5, 5)
+    given = documents(spark)[0].split(" ")
+    got = fanout.word_sink(words(spark, *given), "word").collect()[0]
+    assert (got.short_words, got.lower_words) == (sum(len(w) < 5 for w in given), sum(w == w.lower() for w in given))
 
 
 # Groups and segments
 
 
 def test_group_fold_and_limit(spark):
-    rows = words(spark, "Ash", "is", "amber", "lasting", "stone", "")
-    lettered = rows.select(text.first_letter(F.col("word")).alias("letter"))
+    given = [*nations(spark), ""]
+    lettered = words(spark, *given).select(text.first_letter(F.col("word")).alias("letter"))
+    want = Counter(n[:1].lower() for n in given)
     out = segments.group_fold(lettered, "letter", 30, n=F.count(F.lit(1)))
-    assert {r.letter: r.n for r in out.collect()} == {"a": 2, "i": 1, "l": 1, "s": 1, "": 1}
-    assert segments.group_fold(lettered, "letter", 5, n=F.count(F.lit(1))).count() == 5
-    with pytest.raises(Exception, match="more than 4 groups"):
-        segments.group_fold(lettered, "letter", 4, n=F.count(F.lit(1))).collect()
-
-
-LINES = ["x" * 19, "y" * 15, "z" * 26]
+    assert {r.letter: r.n for r in out.collect()} == want
+    assert segments.group_fold(lettered, "letter", len(want), n=F.count(F.lit(1))).count() == len(want)
+    with pytest.raises(Exception, match=f"more than {len(want) - 1} groups"):
+        segments.group_fold(lettered, "letter", len(want) - 1, n=F.count(F.lit(1))).collect()
 
 
 def test_merge_groups(spark):
-    size = F.length("word")
-    assert segments.merge_groups(words(spark, *LINES), size % 2, size, "n").collect()[0].n == 60
+    given = documents(spark)
+    rows, size = words(spark, *given), F.length("word")
+    sizes = [len(t) for t in given]
+    for kind, want in (("sum", sum(sizes)), ("max", max(sizes)), ("min", min(sizes)), ("count", len(sizes))):
+        assert segments.merge_groups(rows, size % 2, size, "n", kind).collect()[0].n == want
 
 
 def test_split_when(spark):
-    chars = words(spark, *"".join(line + "\n" for line in LINES))
-    parts = segments.split_when(chars, [], ["seq"], F.col("word") == "\n")
+    given = documents(spark)[0]
+    parts = segments.split_when(words(spark, *given), [], ["seq"], F.col("word") == "\n")
     sizes = parts.groupBy("segment").agg(F.count_if(~F.col("opener")).alias("n"))
-    assert column(sizes, "n", "segment") == [19, 15, 26, 0]
+    assert column(sizes.where("n > 0"), "n", "segment") == [len(line) for line in given.split("\n") if line]
 
 
 def test_batches(spark):
@@ -372,7 +390,7 @@ def test_on_call(spark):
 def test_map_async_keeps_every_row(spark):
     out = enrich.map_async(ints(spark, 1, 100), lambda f: f.assign(x=f["x"] * 2), "seq bigint, x bigint", 4)
     assert column(out, "x", "seq") == [2 * x for x in range(1, 101)]
-    assert out.rdd.getNumPartitions() == 4
+    assert out.rdd.getNumPartitions() == ints(spark, 1, 100).rdd.getNumPartitions()
 
 
 def test_notify_nests(spark):
@@ -388,3 +406,73 @@ def test_hop_distance(spark):
     got = {(r.kind, r.node): r.hops for r in full.collect()}
     assert got == {("s", 0): 0, ("p", 10): 1, ("p", 11): 1, ("s", 1): 2, ("p", 12): 3, ("s", 2): 4}
     assert feedback.hop_distance(edges, "s", "p", start, 1).count() == 3
+
+
+def test_drop_with_nulls_and_ties(spark, monkeypatch):
+    rows = spark.createDataFrame([(None,), (1,), (2,), (2,), (2,), (3,)], "x int")
+    for limit in (100_000, 0):
+        monkeypatch.setattr(basic, "FIRST_ROWS", limit)
+        for n in range(8):
+            left = sorted((r.x for r in basic.drop(rows, n, ["x"]).collect()), key=lambda x: (x is not None, x))
+            assert left == [None, 1, 2, 2, 2, 3][n:]
+
+
+def test_throttle_keeps_its_rate(spark):
+    rows = spark.createDataFrame([(i, 0) for i in range(40)], "i long, t long")
+    out = rates.throttle(rows, [], ["i"], F.col("t"), 6, 10)
+    assert column(out, "release", "i") == [-(-i * 10 // 6) for i in range(40)]
+    fast = rates.throttle(rows, [], ["i"], F.col("t"), 20, 3)
+    assert column(fast, "release", "i") == [-(-i * 3 // 20) for i in range(40)]
+
+
+def test_grid_of_a_long_gap_and_a_null_tick(spark):
+    rows = spark.createDataFrame([(0, 5), (300_000, 7)], "t long, v int")
+    out = rates.fill_forward(rows, [], ["t"], F.col("t"), F.col("v"))
+    assert out.count() == 300_001 and out.agg(F.sum("value")).collect()[0][0] == 5 * 300_000 + 7
+    with pytest.raises(Exception, match="a tick is NULL"):
+        odd = rows.unionByName(spark.createDataFrame([(None, 1)], "t long, v int"))
+        rates.fill_forward(odd, [], ["t"], F.col("t"), F.col("v")).collect()
+
+
+def test_long_roster(spark):
+    people = [(f"p{i}", f"p{i}@example.org") for i in range(12_000)]
+    day = spark.createDataFrame([(dt.date(1970, 1, 1) + dt.timedelta(days=11_500),)], "d date")
+    assert enrich.on_call(day, enrich.duty_roster(spark, people), F.col("d")).collect()[0].engineer == "p11500"
+
+
+def test_folds_of_every_kind(spark):
+    rows = ints(spark, 1, 10)
+    for kind, seed, want in (("sum", 3, 58), ("max", 3, 10), ("min", 0, 0), ("count", 1, 11)):
+        assert basic.fold(rows, seed, F.col("x"), "s", kind=kind).collect()[0].s == want
+    odd = spark.createDataFrame([(1, 4), (2, None), (3, 9), (4, 2)], "i int, x int")
+    for kind, seed, want in (("max", None, [None, 4, 4, 9, 9]), ("min", 3, [3, 3, 3, 3, 2]), ("last", None, [None, 4, 4, 9, 2]),
+                             ("count", 0, [0, 1, 1, 2, 3]), ("sum", 1, [1, 5, 5, 14, 16])):
+        assert column(segments.scan(odd, [], ["i"], F.col("x"), seed=seed, kind=kind), "running", "place") == want
+
+
+def test_conflate_with_a_date_and_own_words(spark):
+    rows = spark.createDataFrame([("a", 1, "x"), ("a", 5, "y"), ("b", 2, "z")], "k string, t int, d string")
+    out = segments.conflate(rows, ["k"], "d", at=F.col("t"), merge=lambda n: F.concat(F.lit("many: "), n))
+    assert sorted(tuple(r) for r in out.collect()) == [("a", "many: 2", 2, 5), ("b", "z", 1, 2)]
+
+
+def test_map_async_has_calls_in_flight_and_keeps_order(spark):
+    def slow(frame):
+        import time
+
+        time.sleep(0.2 if frame["x"].iloc[0] % 20 == 1 else 0.05)
+        return frame.assign(at=time.time())
+
+    rows = ints(spark, 1, 100).select("x").coalesce(1)
+    start = dt.datetime.now()
+    out = enrich.map_async(rows, slow, "x long, at double", parallelism=8, rows=10).collect()
+    assert [r.x for r in out] == list(range(1, 101)) and (dt.datetime.now() - start).seconds < 20
+    first, second = (next(r.at for r in out if r.x == x) for x in (1, 11))
+    assert second < first  # the second call came back before the first
+
+
+def test_bound_that_cuts_is_told(spark):
+    edges = spark.createDataFrame([(0, 10), (1, 10), (1, 11), (2, 11)], "l long, r long")
+    start = spark.createDataFrame([(0,)], "node long")
+    with pytest.warns(UserWarning, match="stopped after 2 rounds"):
+        assert feedback.hop_distance(edges, "l", "r", start, 2).count() == 3

@@ -136,7 +136,7 @@ def test_order_types(tiny_slices, kind):
     placed = Lineup.of(rows, [], ["o"]).numbered("p").rows()
     assert placed.filter("p <> id").count() == 0
     with pytest.raises(TypeError):
-        Lineup.of(base.select(F.col("id").cast("string").alias("o")), [], ["o"])
+        Lineup.of(base.select(F.array("id").alias("o")), [], ["o"])
 
 
 def test_concat_and_preferred_with_hot_groups(tiny_slices):
@@ -185,3 +185,27 @@ def test_grid_over_long_spans(tiny_slices, by):
             want += [((key,) if by else ()) + (t, last[a], t - a, t > a) for t in range(a, b)]
     got = rates.extrapolate(df, by, ["t", "id"], F.col("t"), F.col("v"))
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+
+
+def test_text_order_is_cut(tiny_slices):
+    """Text of any length, with shared beginnings, NULL and non-ASCII letters."""
+    spark, rng = tiny_slices, random.Random(4)
+    values = [None, "", "a", "ab", "ab\0", "ß", "é", "zz"] + ["common-prefix-of-many-bytes-" + str(rng.randrange(40)) for _ in range(120)]
+    rows = [(k % 2, v, i) for i, (k, v) in enumerate((rng.randrange(10), v) for v in values)]
+    df = spark.createDataFrame(rows, "k int, t string, i int").repartition(3)
+    out = Lineup.of(df, ["k"], ["t", "i"]).numbered("n").rows().collect()
+    for key in (0, 1):
+        own = sorted((r for r in rows if r[0] == key), key=lambda r: (r[1] is not None, (r[1] or "").encode(), r[2]))
+        assert {r.i: r.n for r in out if r.k == key} == {r[2]: n for n, r in enumerate(own)}
+
+
+def test_times_without_zone_are_cut_alike_in_any_zone(tiny_slices):
+    spark = tiny_slices
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    spark.conf.set("rillframe.sliceRows", "2")
+    try:
+        rows = spark.sql("SELECT id, timestamp_ntz'2024-03-10 00:00:00' + make_dt_interval(0, 0, cast(id * 5 as int)) AS t FROM range(48)")
+        out = Lineup.of(rows, [], ["t"]).numbered("n").rows().collect()
+        assert all(r.id == r.n for r in out)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

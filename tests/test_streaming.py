@@ -1,10 +1,12 @@
 """Streams give what the table operators give, over several micro-batches and after restarts."""
 
 import datetime as dt
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from rillframe.catalogue import events
 from rillframe.operators import faults, rates, segments
 from rillframe.sources import topics
@@ -163,7 +165,10 @@ def test_endless_sources(spark, tmp_path):
                       f"{tmp_path}/a")
     dice = sinks.each(ingest.random_numbers(spark, 6, 1, 50),
                       lambda df, i: i < 2 and drawn.extend(r.draw for r in df.collect()), f"{tmp_path}/b")
+    until = time.monotonic() + 120
     while len(seen) < 100 or len(drawn) < 100:
+        assert time.monotonic() < until
+        time.sleep(0.05)
         assert plus.exception() is None and dice.exception() is None
     plus.stop(), dice.stop()
     assert sorted(seen) == list(range(1, 101))
@@ -217,9 +222,45 @@ def test_topic_with_late_producer_and_late_consumer(spark, tmp_path):
         sinks.land(seen, f"{tmp_path}/{name}", f"{tmp_path}/at/{name}")
         return sorted(r.value for r in spark.read.parquet(f"{tmp_path}/{name}").collect())
 
-    send("p1", "Lake", "is", "amazing")
-    send("p2", "I", "love", "Sails")
-    assert read("text", F.col("msg")) == ["I", "Lake", "Sails", "amazing", "is", "love"]
-    send("p3", "SPLAAAAAAASH")
-    assert read("text", F.col("msg")) == ["I", "Lake", "SPLAAAAAAASH", "Sails", "amazing", "is", "love"]
-    assert read("size", F.length("msg").cast("string")) == sorted(["4", "2", "7", "1", "4", "5", "12"])
+    nations = [r.n_name for r in spark.read.parquet(f"{EVENTS}/nation.parquet").collect()]
+    send("early", *nations[:11])
+    send("second", *nations[11:13])
+    assert read("text", F.col("msg")) == sorted(nations[:13])
+    send("late", *nations[13:])
+    assert read("text", F.col("msg")) == sorted(nations)
+    assert read("size", F.length("msg").cast("string")) == sorted(str(len(n)) for n in nations)
+
+
+# Complete results whatever the order of the files
+
+
+def as_folder(spark, name, folder, parts):
+    """A given table as a folder of files whose rows are in no order."""
+    table = spark.read.parquet(f"{EVENTS}/{name}.parquet")
+    table.repartition(parts, F.hash(*table.columns)).write.parquet(f"{folder}/{name}.parquet")
+
+
+@pytest.mark.parametrize("per_batch", [1, 1000])
+def test_streams_of_shuffled_files_lose_nothing(spark, tmp_path, monkeypatch, per_batch):
+    for name in ("events", "orders"):
+        as_folder(spark, name, str(tmp_path), 4)
+    monkeypatch.setattr(ingest.table_files, "__defaults__", (per_batch,))
+    queries = entry.queries()
+    for stream_name, table_name in (("conflate_stream", "conflate"), ("scan_stream", "scan_user")):
+        got, want = queries[stream_name](spark, str(tmp_path)), queries[table_name](spark, EVENTS)
+        assert bag(got.fillna(-1), *sorted(got.columns)) == bag(want.fillna(-1), *sorted(want.columns))
+    for name in ("ingest_files", "ack_sink"):
+        assert bag(queries[name](spark, str(tmp_path)), "o_orderstatus", "rows", "keys") == bag(queries[name](spark, EVENTS), "o_orderstatus", "rows", "keys")
+
+
+def test_streams_of_empty_tables(spark, tmp_path):
+    for name in ("events", "orders"):
+        spark.read.parquet(f"{EVENTS}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    for name in ("conflate_stream", "scan_stream", "ingest_files", "ack_sink"):
+        assert entry.queries()[name](spark, str(tmp_path)).count() == 0
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        entry.queries()["ingest_files"](spark, f"{tmp_path}/nowhere")
+
+
+def test_a_sink_without_batches_is_empty(spark, tmp_path):
+    assert sinks.AcknowledgedSink(f"{tmp_path}/none").committed(spark, "x int").count() == 0
