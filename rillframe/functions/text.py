@@ -87,15 +87,19 @@ def _shift_units(text: Column, shift: int) -> Column:
 def shift_text(text: Column, shift: int) -> Column:
     """Shift every UTF-16 unit, without wrapping inside an alphabet.
 
-    Nearly all texts go through one ``translate``. Texts with characters beyond
+    Plain ASCII goes through a short ``translate``, nearly all other texts
+    through a long one. Texts with characters beyond
     one unit, or whose shifted unit is no character, are shifted unit by unit;
     the result is NULL where the shifted units form no valid text.
     """
     if shift % UNITS == 0:
         return text
     source, target = _alphabet(shift % UNITS)
+    short = [(s, t) for s, t in zip(source, target) if ord(s) < 128]
+    plain = (F.octet_length(text) == F.length(text)) if len(short) == 128 else F.lit(False)
     return (
         F.when(text.isNull(), F.lit(None).cast("string"))
+        .when(plain, F.translate(text, "".join(s for s, _ in short), "".join(t for _, t in short)))
         .when(_has_odd(text, shift % UNITS), _shift_units(text, shift))
         .otherwise(F.translate(text, source, target))
     )

@@ -106,6 +106,14 @@ def reject_nulls(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.filter(whole)
 
 
+def reject_ties(df: DataFrame, by: list[str], order: list[str]) -> DataFrame:
+    """Fail the job if two rows of a group share a place: ordered operators need an order that is unique."""
+    places = df.groupBy(*by, *order).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > 1)
+    found = places.limit(1).agg(F.count(F.lit(1)).alias("n")).scalar()
+    text = F.lit(f"{', '.join(order)} is not unique")
+    return df.filter(F.when(found > 0, F.raise_error(text)).otherwise(F.lit(True)))
+
+
 def random_draws(df: DataFrame, key: str, bound: int, seed: int, name: str = "draw") -> DataFrame:
     """Pseudo-random whole numbers in [0, bound), one per row, repeatable."""
     return df.withColumn(name, draw(F.col(key), bound, seed))

@@ -95,6 +95,13 @@ def test_reject_nulls(spark):
         basic.reject_nulls(rows, ["x", "s"]).collect()
 
 
+def test_reject_ties(spark):
+    rows = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1)], "k string, t int")
+    assert basic.reject_ties(rows, ["k"], ["t"]).count() == 3
+    with pytest.raises(Exception, match="t is not unique"):
+        basic.reject_ties(rows, [], ["t"]).collect()
+
+
 def test_cut_at(spark):
     rows = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1), (None, 5)], "k string, t int")
     limits = spark.createDataFrame([("a", 2), (None, 5)], "k string, cut int")
