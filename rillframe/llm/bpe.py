@@ -18,7 +18,7 @@ from tokenizers import Tokenizer
 
 from rillframe.llm.words import BASE, U, Rolling, mix
 
-CACHE = 2_000_000
+CACHE = 1_400_000
 LETTER, NUMBER, GAP, OTHER, ODD = 1, 2, 3, 4, 5
 LATIN = 0x250
 #: The split patterns known here, as their files write them.
@@ -115,7 +115,7 @@ def split(texts: list[str], lower: bool, added: list[str]) -> Split:
 
 
 class Places:
-    """Numbers from 0 for 64-bit hashes in the order they are added, found by open addressing; about 30 bytes each."""
+    """Numbers from 0 for 64-bit hashes in the order they are added, found by open addressing; 16 to 33 bytes each."""
 
     def __init__(self):
         self.count = 0
@@ -134,7 +134,7 @@ class Places:
 
     def add(self, keys: np.ndarray) -> None:
         """Add distinct hashes that are not there yet."""
-        while 2 * (self.count + len(keys)) > len(self.keys):
+        while 4 * (self.count + len(keys)) > 3 * len(self.keys):
             held = np.flatnonzero(self.numbers >= 0)
             old, numbers = self.keys[held], self.numbers[held]
             self.keys, self.numbers = np.zeros(2 * len(self.keys), U), np.full(2 * len(self.keys), -1, np.int32)
@@ -176,7 +176,7 @@ class Encoder:
     def forget(self) -> None:
         self.places = Places()
         self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
-        self.bounds = np.zeros((1 << 16, 2), np.int64)
+        self.begins = np.zeros(1 << 16, np.int32)  # where each number's ids begin; they end where the next one's do
 
     def shown(self, word: str) -> str:
         """A word in the alphabet of the vocabulary."""
@@ -194,9 +194,9 @@ class Encoder:
                 self.ids = np.resize(self.ids, 2 * (self.used + len(ids)))
             self.ids[self.used:self.used + len(ids)] = ids
             at = self.places.count
-            if at + len(edges) > len(self.bounds):
-                self.bounds = np.resize(self.bounds, (2 * (at + len(edges)), 2))
-            self.bounds[at:at + len(edges) - 1] = np.stack([edges[:-1], edges[1:]], 1) + self.used
+            if at + len(edges) > len(self.begins):
+                self.begins = np.resize(self.begins, 2 * (at + len(edges)))
+            self.begins[at:at + len(edges)] = edges + self.used
             self.places.add(hashes[k:k + 5_000])
             self.used += len(ids)
 
@@ -209,7 +209,7 @@ class Encoder:
         spans = zip(block.starts[at[new]].tolist(), block.ends[at[new]].tolist())
         self.learn(unique[new], [block.text[a:b] for a, b in spans])
         place = self.places.find(unique)
-        return gather(self.ids, self.bounds[place, 0][which], self.bounds[place, 1][which])
+        return gather(self.ids, self.begins[place][which].astype(np.int64), self.begins[place + 1][which].astype(np.int64))
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text, little-endian 32-bit numbers; a null text is empty."""

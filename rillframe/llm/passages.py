@@ -27,7 +27,8 @@ from rillframe.llm.store import lean, parts_for, settled
 from rillframe.llm.words import CODES, U, Rolling, Texts, mix, slices, windows
 
 LENGTH = 50
-BLOCK_BYTES = 16 << 20  # text whose windows are gathered before they are sent
+BLOCK_BYTES = 4 << 20  # text whose windows are gathered before they are sent
+TURNS = 8  # parts of a range that its task compares one after another
 RANGES = 32  # hash ranges at least; more for more than 32 MB of text each
 LAST = np.iinfo(np.int64).max  # a null doc_id in comparisons
 PACKED = "range int, docs binary, counts binary, hashes binary, known boolean"
@@ -89,22 +90,29 @@ def _sent(length: int, ranges: int):
     return run
 
 
-def _unpacked(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    docs = [np.repeat(np.frombuffer(d, np.int64), np.frombuffer(c, np.uint32)) for d, c in zip(frame["docs"], frame["counts"])]
-    hashes = [np.frombuffer(h, U) for h in frame["hashes"]]
-    return (np.concatenate(docs), np.concatenate(hashes)) if docs else (np.zeros(0, np.int64), np.zeros(0, U))
+def _unpacked(frame: pd.DataFrame, turn: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Document and hash of each window in packed rows; of one turn, if it is given."""
+    docs, hashes = [np.zeros(0, np.int64)], [np.zeros(0, U)]
+    for ids, counts, data in zip(frame["docs"], frame["counts"], frame["hashes"]):
+        own, data = np.repeat(np.frombuffer(ids, np.int64), np.frombuffer(counts, np.uint32)), np.frombuffer(data, U)
+        keep = slice(None) if turn is None else data % U(TURNS) == U(turn)
+        docs.append(own[keep])
+        hashes.append(data[keep])
+    return np.concatenate(docs), np.concatenate(hashes)
 
 
 def _compared(frame: pd.DataFrame) -> pd.DataFrame:
     """One range: the hashes of each document that a document with a smaller id has too."""
-    docs, hashes = _unpacked(frame[~frame["known"]])
-    order = np.argsort(hashes, kind="stable")
-    docs, hashes = docs[order], hashes[order]
-    new = np.flatnonzero(np.diff(hashes, prepend=~hashes[:1])) if len(hashes) else np.zeros(0, np.int64)
-    first = np.repeat(np.minimum.reduceat(docs, new), np.diff(new, append=len(hashes))) if len(new) else docs
-    later = docs > first
-    more_docs, more_hashes = _unpacked(frame[frame["known"]])
-    docs, hashes = np.concatenate([docs[later], more_docs]), np.concatenate([hashes[later], more_hashes])
+    found = [_unpacked(frame[frame["known"]])]
+    for turn in range(TURNS):
+        docs, hashes = _unpacked(frame[~frame["known"]], turn)
+        order = np.argsort(hashes, kind="stable")
+        docs, hashes = docs[order], hashes[order]
+        new = np.flatnonzero(np.diff(hashes, prepend=~hashes[:1])) if len(hashes) else np.zeros(0, np.int64)
+        if len(new):
+            later = docs > np.repeat(np.minimum.reduceat(docs, new), np.diff(new, append=len(hashes)))
+            found.append((docs[later], hashes[later]))
+    docs, hashes = (np.concatenate(x) for x in zip(*found))
     order = np.argsort(docs, kind="stable")
     docs, hashes = docs[order], hashes[order]
     edges = np.flatnonzero(np.diff(docs, prepend=~docs[:1], append=~docs[-1:])) if len(docs) else []
