@@ -134,14 +134,14 @@ def ranked(index: DataFrame, visits: DataFrame, k: int) -> DataFrame:
     deal = lambda c, n: F.pmod(F.xxhash64(c), n).cast("int")
     left = index.join(blocks, "cell").withColumn("i", deal("class", "down")).withColumn("j", every("across")).select("cell", "i", "j", "class", "first", "vector")
     right = visits.join(blocks, "cell").withColumn("j", deal("query", "across")).withColumn("i", every("down"))
-    right = right.select(F.col("cell").alias("visited"), F.col("i").alias("at_i"), F.col("j").alias("at_j"), "query", "vector")
+    right = right.select(F.col("cell").alias("visited"), F.col("i").alias("at_i"), F.col("j").alias("at_j"), "query", F.col("vector").alias("asked"))
 
     def best(own: pd.DataFrame, guests: pd.DataFrame) -> pd.DataFrame:
         found: list[tuple] = []
         if len(own) and len(guests):
             vectors = np.stack(own["vector"].to_numpy())
             length, classes, first = np.sqrt((vectors * vectors).sum(1)), own["class"].to_numpy(), own["first"].to_numpy()
-            for vector in guests["vector"]:
+            for vector in guests["asked"]:
                 # sums by row, not a matrix product, so that a pair has the same score in every block
                 score = np.clip((vectors * vector).sum(1) / (length * np.sqrt((vector * vector).sum())), -1, 1)
                 top = np.lexsort((first, -score))[:k + 1]
