@@ -22,7 +22,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected documents go: no letters, or far from every centroid that the labelled documents give."""
+    """Rejected documents go: no letters, or far from every centroid that the labelled documents give, if any is labelled."""
     return lean(langid.predict(docs, langid.fit(docs)).where("NOT rejected"), *docs.columns)
 
 

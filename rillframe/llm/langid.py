@@ -6,10 +6,11 @@ Document frequencies count every labelled text given to ``fit``. The centroids o
 k-means over at most about ``SAMPLE`` of its texts, chosen by hash: that bound is a parameter, as is ``CENTROIDS``.
 The distance of a text is 1 - cosine to the nearest centroid of all; the language of that centroid is the answer.
 A text is rejected if it is further away than all but ``ODD`` of that language's sample were, by more than ``slack``,
-or further than ``LIMIT``.
+or further than ``LIMIT``. The sample's distances are to centroids of the other folds of it: a text that has made a
+centroid lies closer than texts to come. A language with less than ``FEW`` texts has no such quantile, only ``LIMIT``.
 
-A text that is null or has no letter is UNKNOWN with score 0, and rejected; so is every text if no labelled one has
-letters. Whole texts are read. Rows that repeat are each judged. Ties go to the first centroid in order of language.
+A text that is null or has no letter is UNKNOWN with score 0, and rejected. If no labelled text has letters every text
+is UNKNOWN with score 0, and those with letters are not rejected: nothing is known that they could be far from. Whole texts are read. Rows that repeat are each judged. Ties go to the first centroid in order of language.
 Only ``text`` is read for a prediction; other columns pass, those named like a result are replaced.
 """
 
@@ -30,7 +31,9 @@ SIZE = 1 << 14
 SAMPLE = 1000
 CENTROIDS = 4
 ROUNDS = 12
+FOLDS = 5
 ODD, LIMIT = 0.005, 0.9
+FEW = round(1 / ODD)  # texts that a quantile of 1 - ODD takes
 UNKNOWN = "und"
 ROWS = 64  # texts counted at a time, each into SIZE numbers
 RESULTS = {"lang_pred": T.StringType(), "score": T.DoubleType(), "distance": T.DoubleType(), "rejected": T.BooleanType()}
@@ -115,6 +118,16 @@ def kmeans(points: np.ndarray, k: int, rounds: int, support: float = 0.1) -> np.
     return centroids[shares >= min(support, shares.max())]
 
 
+def reach_of(points: np.ndarray, centroids: int, slack: float) -> float:
+    """How far texts of a language may be: a quantile over texts that the centroids they are held against have not seen."""
+    if len(points) < FEW:
+        return LIMIT
+    distances, fold = np.zeros(len(points)), np.arange(len(points)) % FOLDS
+    for k in range(FOLDS):
+        distances[fold == k] = 1 - (points[fold == k] @ kmeans(points[fold != k], centroids, ROUNDS).T).max(1)
+    return min(float(np.quantile(distances, 1 - ODD)) + slack, LIMIT)
+
+
 def fit(labelled: DataFrame, centroids: int = CENTROIDS, sample: int = SAMPLE, slack: float = 0.25) -> Model:
     """A model from ``text`` and ``lang`` of labelled rows; rows where either is null do not count.
 
@@ -156,8 +169,7 @@ def fit(labelled: DataFrame, centroids: int = CENTROIDS, sample: int = SAMPLE, s
         for i, (f, w) in enumerate(zip(frame["feature"], frame["weight"])):
             points[i, np.frombuffer(f, np.int32)] = np.frombuffer(w, np.float32)
         made = kmeans(points, centroids, ROUNDS)
-        near = points @ made.T
-        reach = min(float(np.quantile(1 - near.max(1), 1 - ODD)) + slack, LIMIT)
+        reach = reach_of(points, centroids, slack)
         return pd.DataFrame({"lang": frame["lang"].iloc[0], "part": range(len(made)), "vector": [c.astype(np.float32).tobytes() for c in made], "reach": reach})
 
     made = chosen.mapInArrow(vectored, "lang string, feature binary, weight binary").groupBy("lang").applyInPandas(clustered, "lang string, part int, vector binary, reach double")
@@ -172,9 +184,10 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _texts(batches):
-            best, score = model.nearest([t or "" for t in batch.column("text").to_pylist()])
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            best, score = model.nearest(texts)
             lang = [model.langs[b] if b >= 0 else UNKNOWN for b in best.tolist()]
-            out = [b < 0 or 1 - s > model.reach[b] for b, s in zip(best.tolist(), score.tolist())]
+            out = [1 - s > model.reach[b] if b >= 0 else bool(model.langs) or not any(c.isalpha() for c in t.lower()) for b, s, t in zip(best.tolist(), score.tolist(), texts)]
             made = [pa.array(lang, pa.string()), pa.array(score), pa.array(1 - score), pa.array(out, pa.bool_())]
             yield pa.RecordBatch.from_arrays([batch.column(f.name) for f in plain] + made, names=[*(f.name for f in plain), *RESULTS])
 

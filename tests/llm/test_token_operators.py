@@ -164,6 +164,29 @@ def test_languages(mixed, spark):
     assert {r.lang_pred for r in langid.predict(docs, nothing).collect()} == {"und"} and langid.predict(empty, model).count() == 0
 
 
+@pytest.mark.parametrize("known", [0, 1, 3, 6])
+def test_language_of_few_labels_is_not_rejected(spark, known):
+    """All but a few Spanish texts have no label: they are found, and stay."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    labelled = {r.doc_id for r in docs.where("lang = 'es'").orderBy("doc_id").limit(known).collect()}
+    given = docs.withColumn("lang", F.when((F.col("lang") != "es") | F.col("doc_id").isin(labelled), F.col("lang")))
+    if not known:
+        given = given.withColumn("lang", F.lit(None).cast("string"))
+    hidden = docs.where("lang = 'es'").where(~F.col("doc_id").isin(labelled))
+    found = langid.predict(hidden, langid.fit(given)).collect()
+    assert len(found) == 106 - known and {r.lang_pred for r in found} == {"es" if known else "und"}
+    assert not any(r.rejected for r in found)
+    assert langid.predict(spark.createDataFrame([("12 34",), (None,)], "text string"), langid.fit(given)).where("rejected").count() == 2
+
+
+def test_reach_is_of_texts_that_made_no_centroid():
+    points = np.random.default_rng(5).random((200, 2000)).astype(np.float32) ** 9
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    seen = 1 - (points @ langid.kmeans(points, 4, langid.ROUNDS).T).max(1)
+    assert langid.reach_of(points, 4, 0.0) > np.quantile(seen, 1 - langid.ODD) + 0.01
+    assert langid.reach_of(points[:langid.FEW - 1], 4, 0.0) == langid.LIMIT
+
+
 def test_ring(mixed, spark):
     rows, docs, empty = mixed
     found = ring.shard(docs, 8).collect()
