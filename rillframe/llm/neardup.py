@@ -227,18 +227,35 @@ def _rest(docs: DataFrame, posts: DataFrame, chosen: DataFrame, groups: DataFram
     return confirmed(near, sets_of(docs, size, classes.select("class", "key").join(involved, "class")), percent)
 
 
-def grouped(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, key, n_shingles, component_id, kept) of every row; component_id is the smallest doc_id reachable."""
+def _members(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """(doc_id, key, n_shingles, group) and more of every row; the group of an empty text is null."""
     marked = settled(signed(docs, size))
     groups = components(links_of(docs, marked, size, percent))
     rows = marked.drop("signature").join(groups.select(F.col("id").alias("class"), "component"), "class", "left")
-    rows = rows.withColumn("group", F.coalesce("component", "class"))
+    return rows.withColumn("group", F.coalesce("component", "class"))
+
+
+def grouped(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """(doc_id, key, n_shingles, component_id, kept) of every row; component_id is the smallest doc_id reachable."""
+    rows = _members(docs, size, percent)
     first = rows.where("group IS NOT NULL").groupBy("group").agg(F.min("doc_id").alias("first"))
     found = rows.join(first, "group", "left").withColumn("component_id", F.when(F.col("group").isNull(), F.col("doc_id")).otherwise(F.col("first")))
     return found.select("doc_id", "key", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def deduplicated(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that are the first of their group; all columns."""
-    kept = settled(grouped(docs, size, percent).where("kept").select(F.col("key").alias("_key")).distinct())
-    return docs.withColumn("_key", F.xxhash64("doc_id", "text")).join(few(kept), "_key", "left_semi").drop("_key")
+    """The rows of ``docs`` that are the first of their group, one of each group; all columns.
+
+    First is the row of the least doc_id, nulls last, of equal ids that of the least key; of rows equal in doc_id and
+    text any. Rows without words are in no group and all stay.
+    """
+    keys = _members(docs, size, percent).groupBy("group", "key").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key", "n")).alias("first")
+    chosen = settled(keys.where("group IS NOT NULL").groupBy("group").agg(first).select(F.col("first.key").alias("_key"), F.col("first.n").alias("n"))
+                     .union(keys.where("group IS NULL").select("key", F.lit(1).cast("long"))))
+    keyed = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
+    found = keyed.join(few(chosen.where("n = 1").select("_key")), "_key", "left_semi")
+    repeated = chosen.where("n > 1").select("_key")
+    if not repeated.isEmpty():  # only rows that repeat as a whole are shuffled
+        found = found.unionByName(keyed.join(few(repeated), "_key", "left_semi").dropDuplicates(["_key"]))
+    return found.select(*[F.col(f"`{c}`") for c in docs.columns])

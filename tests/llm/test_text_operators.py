@@ -141,6 +141,30 @@ def test_first_of_each_group_stays(mixed):
     assert found.columns == docs.columns and {r.doc_id for r in found.collect()} == want
 
 
+def test_one_row_of_each_group_stays(mixed, spark):
+    """Rows that repeat, similar rows of one id, and groups without any id."""
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, text), (1, text), (1, text + " x"), (2, text + " y"), (None, text), (3, "a b c d e f"), (3, "a b c d e f"), (3, "other words of an id seen before"),
+            (None, "no id at all here"), (None, "no id at all here"), (5, None), (5, None), (None, " "), (6, "")]
+    found = neardup.deduplicated(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 5, 80).collect()
+    got = Counter((r.doc_id, r.text) for r in found)
+    one = [x for x in got if x[0] == 1]
+    assert len(one) == 1 and got[one[0]] == 1 and one[0][1] in (text, text + " x")
+    assert got == Counter([one[0], *rows[6:9], *rows[10:]])
+    given, docs, _ = mixed
+    groups = brute.groups(pairs(given), 5, 80)
+    empty = sum(n == 0 for _, n, _ in groups)
+    # ids of the least of a group are its name, but for groups without any id
+    named = {c for _, n, c in groups if n and c is not None}
+    nameless = {t for (_, t), (_, n, c) in zip(pairs(given), groups) if n and c is None}
+    assert not nameless and len({(c, brute.shingles(t, 5)) for (i, t), (_, n, c) in zip(pairs(given), groups) if n and i == c}) >= len(named)
+    seen = neardup.deduplicated(docs, 5, 80).collect()
+    assert sum(not brute.words(r.text) for r in seen) == empty
+    kept = [(r.doc_id, r.text) for r in seen if brute.words(r.text)]
+    assert all(c == i for i, _, c in brute.groups(kept, 5, 80)) and {i for i, _ in kept} == named
+    assert len(set(map(lambda x: brute.shingles(x[1], 5), kept))) == len(kept)
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(0, 60)] + [(500, k) for k in range(501, 560)] + [(9000, 700), (9000, 800)] + [(7777, 7777)]
     found = {r.id: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
