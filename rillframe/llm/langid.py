@@ -3,7 +3,8 @@
 A text is the multiset of its letter n-grams (1 to 3 letters, lower case, words bounded by a blank), hashed to
 ``SIZE`` features, weighted by 1 + log of the count and by inverse document frequency, scaled to length 1.
 Document frequencies count every labelled text given to ``fit``. The centroids of a language come from spherical
-k-means over at most about ``SAMPLE`` of its texts, chosen by hash: that bound is a parameter, as is ``CENTROIDS``.
+k-means over about ``SAMPLE`` of its different texts, chosen by hash, each once: that bound is a parameter, as is
+``CENTROIDS``.
 The distance of a text is 1 - cosine to the nearest centroid of all; the language of that centroid is the answer.
 A text is rejected if it is further away than all but ``ODD`` of that language's sample were, by more than ``slack``,
 or further than ``LIMIT``. The sample's distances are to centroids of the other folds of it: a text that has made a
@@ -149,10 +150,10 @@ def fit(labelled: DataFrame, centroids: int = CENTROIDS, sample: int = SAMPLE, s
     frequency = np.zeros(SIZE)
     frequency[list(found)] = list(found.values())
     idf = np.log((1 + count) / (1 + frequency)) + 0.1  # what all texts have still counts a little
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    sizes = {r["lang"]: r["count"] for r in rows.select("lang", F.xxhash64("text").alias("text")).distinct().groupBy("lang").count().collect()}
     share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, sample / n))]) if sizes else F.lit(None)
     draw = F.pmod(F.xxhash64("text", F.lit(1)), F.lit(1 << 20)) / F.lit(1 << 20)
-    chosen = rows.where(draw < share[F.col("lang")]) if sizes else rows
+    chosen = rows.where(draw < share[F.col("lang")]).dropDuplicates(["lang", "text"]) if sizes else rows
 
     def vectored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _texts(batches):

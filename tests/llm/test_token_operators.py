@@ -187,6 +187,24 @@ def test_reach_is_of_texts_that_made_no_centroid():
     assert langid.reach_of(points[:langid.FEW - 1], 4, 0.0) == langid.LIMIT
 
 
+def test_copies_are_one_text_of_the_sample(spark, monkeypatch):
+    """A third of the rows are copies of a text; whether or not it is drawn, no fit has more than the different texts."""
+    texts = [f"text number {i} with words of its own {i * 7919 % 997}" for i in range(40)]
+    rows = spark.createDataFrame([(t, "en") for t in texts + texts[:1] * 300], "text string, lang string").repartition(5)
+    once = spark.createDataFrame([(t, "en") for t in texts], "text string, lang string")
+    real = langid.kmeans
+
+    def bounded(points, *more):
+        if len(points) > 40:
+            raise ValueError(f"{len(points)} texts")
+        return real(points, *more)
+
+    monkeypatch.setattr(langid, "kmeans", bounded)
+    assert langid.fit(rows, sample=1000).reach[0] == langid.fit(once, sample=1000).reach[0] == langid.LIMIT
+    drawn = [langid.fit(once.withColumn("text", F.concat("text", F.lit(f" {k}"))).union(rows), sample=40) for k in range(2)]
+    assert all(m.langs and set(m.langs) == {"en"} for m in drawn)
+
+
 def test_ring(mixed, spark):
     rows, docs, empty = mixed
     found = ring.shard(docs, 8).collect()
