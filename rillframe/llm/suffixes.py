@@ -1,8 +1,8 @@
-"""Repeated byte strings of a fixed length, found by ordering suffixes to that depth, most significant digit first.
+"""Repeated byte strings of a fixed length, found by grouping suffixes by hashes, a minimizer first.
 
-Every suffix of every text is a candidate, cut at ``length`` bytes (its window). Windows are ordered by digits of
-growing width, and a group that has one member after a digit is done, as in a radix sort that stops at a depth; the
-groups left after the last digit are exactly the repeated windows.
+Every suffix of every text is a candidate, cut at ``length`` bytes (its window). Windows are not ordered: in place of
+their leading bytes the digits are hashes, and windows are grouped by equality of them. A group that has one member
+after a digit is done; the groups left after the last digit are exactly the repeated windows.
 
 * First digit: the window's least ``GRAM``-byte string, by hash, the first of equals, and where it stands. Equal
   windows have equal ones. Neighbouring windows mostly share it, so a text's windows come in runs of about 185, and
