@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from rillframe.functions.values import draw
 
@@ -35,12 +35,21 @@ def take(df: DataFrame, n: int, order: list[str]) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+def _has_order(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return all(_has_order(f.dataType) for f in kind.fields)
+    return _has_order(kind.elementType) if isinstance(kind, T.ArrayType) else isinstance(kind, T.AtomicType | T.NullType) and not isinstance(kind, T.VariantType)
+
+
 def drop(df: DataFrame, n: int, order: list[str]) -> DataFrame:
-    """All rows but the first n: exactly n go, NULLs come first, of equal rows any may go.
+    """All rows but the first n: exactly n go, NULLs come first, of rows that share a place the least in all columns.
 
     For a small n the n-th place is looked up first and the table is filtered
-    against it, so no row moves; rows that share that place are counted. Beyond
-    that the rows are numbered.
+    against it, so no row moves; rows that share that place are counted, and
+    dropped from in the same way by all columns. Rows that are equal in every
+    column are made again as often as they stay, so no task gets them all; only
+    where a column has no order (a map) they go through one. Beyond a small n
+    the rows are numbered.
     """
     if n <= 0:
         return df
@@ -53,7 +62,19 @@ def drop(df: DataFrame, n: int, order: list[str]) -> DataFrame:
     gone = first.agg(F.count_if(place == last).alias("n")).collect()[0]["n"]
     spare = ties.count() - gone
     rest = df.filter(place > last)
-    return rest.unionByName(ties.limit(spare)) if spare > 0 else rest
+    if spare <= 0:
+        return rest
+    ordered = [f.name for f in df.schema.fields if _has_order(f.dataType)]
+    more = [c for c in ordered if c not in order]
+    if more and gone:
+        left = drop(ties, gone, [*order, *more])
+    elif not gone:
+        left = ties
+    elif len(ordered) < len(df.columns):
+        left = ties.limit(spare)
+    else:
+        left = df.sparkSession.range(spare).select().crossJoin(F.broadcast(ties.limit(1)))
+    return rest.unionByName(left)
 
 
 def ends(df: DataFrame, by: list[str], order: list[str], value: str) -> DataFrame:

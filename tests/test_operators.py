@@ -483,3 +483,18 @@ def test_bound_that_cuts_is_told(spark):
     start = spark.createDataFrame([(0,)], "node long")
     with pytest.warns(UserWarning, match="stopped after 2 rounds"):
         assert feedback.hop_distance(edges, "l", "r", start, 2).count() == 3
+
+
+def test_drop_among_many_ties(spark):
+    """An order value that most rows share: exactly n go, the same ones however the rows lie, and no task gets them all."""
+    rows = [(1, i % 50, "x") for i in range(3000)] + [(0, 7, "y"), (2, 7, None)]
+    df = spark.createDataFrame(rows, "o int, v int, s string")
+    for n in (1, 2, 31, 62, 3001):
+        want = Counter(sorted(rows, key=lambda r: r[:2])[n:])
+        for parts in (1, 5):
+            found = basic.drop(df.repartition(parts), n, ["o"])
+            assert found.columns == df.columns and Counter(map(tuple, found.collect())) == want
+    same = spark.createDataFrame([(1,)] * 2000, "o int").repartition(6)
+    left = basic.drop(same, 10, ["o"])
+    assert left.count() == 1990
+    assert max(r["count"] for r in left.groupBy(F.spark_partition_id()).count().collect()) < 1000
