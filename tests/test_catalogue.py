@@ -1,3 +1,8 @@
+import shutil
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 import __spark_entry__ as entry
@@ -37,3 +42,18 @@ def test_query_matches_sql_when_groups_are_sliced(tiny_slices, con, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("pipeline", [True, False])
+def test_entry_without_the_text_package(tmp_path, pipeline):
+    """The queries of the other operators load where the text package is not there, with or without the pipeline's file."""
+    root = Path(entry.__file__).parent
+    shutil.copytree(root / "rillframe", tmp_path / "rillframe", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    for name in ["__spark_entry__.py", "bench.py", *["corpus_pipeline.py"] * (pipeline and (root / "corpus_pipeline.py").exists())]:
+        shutil.copy(root / name, tmp_path / name)
+    code = "import __spark_entry__ as e, bench; print(*sorted(e.queries())); assert set(e.oracle_sql()) <= set(e.queries())"
+    said = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True)
+    assert said.returncode == 0, said.stderr
+    from rillframe.catalogue import QUERIES as own
+
+    assert said.stdout.split() == sorted(own)
