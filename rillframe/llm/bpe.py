@@ -3,9 +3,9 @@
 ``split`` finds, for many texts at once, the words that a tokenizer's own pattern would hand to its BPE model; equal
 words of a block are merged once. It knows the two public patterns used here (byte-level, and lower case with word
 ends) for texts of Latin letters and ASCII white space. Any other text (other scripts, control characters, strings
-of added tokens), and every text under another pattern, goes to the library as a whole, so ids are always the
-library's. Words are remembered by their 64-bit hash, ``CACHE`` at most, then forgotten all at once: memory does
-not grow with the texts.
+of added tokens), and every text under another pattern, goes to the library as a whole. Remembered words are found by their
+hash and compared letter by letter with the word that the hash stands for, so ids are always the library's. ``CACHE`` words at most are remembered, then forgotten all at once:
+memory does not grow with the texts.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ import unicodedata
 import numpy as np
 from tokenizers import Tokenizer
 
-from rillframe.llm.words import BASE, U, Rolling, mix
+from rillframe.llm.words import U, differ, distinct, spans
 
 CACHE = 1_400_000
 LETTER, NUMBER, GAP, OTHER, ODD = 1, 2, 3, 4, 5
@@ -36,7 +36,6 @@ def _kind(c: int) -> int:
 
 
 KINDS = np.array([_kind(c) for c in range(LATIN)] + [ODD], np.uint8)
-LETTERS = mix(np.arange(1, LATIN + 2, dtype=U) * BASE)
 
 
 def byte_alphabet() -> list[str]:
@@ -47,13 +46,19 @@ def byte_alphabet() -> list[str]:
 
 
 class Split:
-    """Words of a block of texts: ``text`` and their spans in it, their hashes, and each row's first word.
+    """Words of a block of texts.
 
-    ``whole`` are the rows that only the library may split; they have no words here.
+    ``text`` and the code points of it, LATIN for all from there on; spans of the words and each row's first word; where
+    each different word stands first (``at``), and ``which`` of them each word is. ``whole`` are the rows that only the
+    library may split; they have no words here.
     """
 
-    def __init__(self, text: str, starts, ends, hashes, edges, whole):
-        self.text, self.starts, self.ends, self.hashes, self.edges, self.whole = text, starts, ends, hashes, edges, whole
+    def __init__(self, text: str, points, starts, ends, edges, whole):
+        keep = ~whole[np.searchsorted(edges, starts, side="right") - 1]
+        self.text, self.points, self.whole = text, points.astype(np.uint16), whole
+        self.starts, self.ends = starts[keep], ends[keep]
+        self.edges = np.searchsorted(self.starts, edges)
+        self.at, self.which = distinct(self.points, self.starts, self.ends)
 
 
 def split(texts: list[str], lower: bool, added: list[str]) -> Split:
@@ -69,7 +74,7 @@ def split(texts: list[str], lower: bool, added: list[str]) -> Split:
         whole |= np.array([any(a in t for a in added) for t in texts], bool)
     n = len(points)
     if not n:
-        return Split(text, *[np.zeros(0, np.int64)] * 2, np.zeros(0, U), np.zeros(len(edges), np.int64), whole)
+        return Split(text, points, *[np.zeros(0, np.int64)] * 2, edges, whole)
 
     bound = np.zeros(n + 1, bool)
     bound[edges] = True
@@ -109,9 +114,7 @@ def split(texts: list[str], lower: bool, added: list[str]) -> Split:
             begins[at] = True
         starts = np.flatnonzero(begins)
         ends = np.append(starts[1:], n)
-    keep = ~whole[np.searchsorted(edges, starts, side="right") - 1]
-    starts, ends = starts[keep], ends[keep]
-    return Split(text, starts, ends, Rolling(LETTERS[points]).spans(starts, ends), np.searchsorted(starts, edges), whole)
+    return Split(text, points, starts, ends, edges, whole)
 
 
 class Places:
@@ -177,6 +180,8 @@ class Encoder:
         self.places = Places()
         self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
         self.begins = np.zeros(1 << 16, np.int32)  # where each number's ids begin; they end where the next one's do
+        self.letters = np.zeros(1 << 18, np.uint16)  # the remembered words one after another
+        self.spelled = np.zeros(1 << 16, np.int32)  # where each number's word begins in them
 
     def shown(self, word: str) -> str:
         """A word in the alphabet of the vocabulary."""
@@ -187,29 +192,53 @@ class Encoder:
         found = self.model.encode([self.shown(w) for w in words], is_pretokenized=True, add_special_tokens=False)
         return np.array(found.ids, np.uint32), np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(words) + 1))
 
-    def learn(self, hashes: np.ndarray, words: list[str]) -> None:
-        for k in range(0, len(words), 5_000):
-            ids, edges = self.merged(words[k:k + 5_000])
-            if self.used + len(ids) > len(self.ids):
-                self.ids = np.resize(self.ids, 2 * (self.used + len(ids)))
-            self.ids[self.used:self.used + len(ids)] = ids
+    def learn(self, block: Split, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+        for k in range(0, len(hashes), 5_000):
+            a, b = starts[k:k + 5_000], ends[k:k + 5_000]
+            ids, edges = self.merged([block.text[x:y] for x, y in zip(a.tolist(), b.tolist())])
+            letters, bounds = gather(block.points, a, b)
             at = self.places.count
-            if at + len(edges) > len(self.begins):
-                self.begins = np.resize(self.begins, 2 * (at + len(edges)))
-            self.begins[at:at + len(edges)] = edges + self.used
+            end = int(self.spelled[at])
+            self.ids = _room(self.ids, self.used + len(ids))
+            self.letters = _room(self.letters, end + len(letters))
+            self.begins, self.spelled = _room(self.begins, at + len(edges)), _room(self.spelled, at + len(edges))
+            self.ids[self.used:self.used + len(ids)] = ids
+            self.letters[end:end + len(letters)] = letters
+            self.begins[at:at + len(edges)], self.spelled[at:at + len(edges)] = edges + self.used, bounds + end
             self.places.add(hashes[k:k + 5_000])
             self.used += len(ids)
 
-    def known(self, block: Split) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all words of a block, and where each word's ids begin."""
-        unique, at, which = np.unique(block.hashes, return_index=True, return_inverse=True)
-        if self.places.count + len(unique) > CACHE:
+    def strange(self, place: np.ndarray, block: Split, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Which words are not the remembered word that has their hash."""
+        held = np.flatnonzero(place >= 0)
+        place, starts, sizes = place[held], starts[held], (ends - starts)[held]
+        begins = self.spelled[place].astype(np.int64)
+        odd = self.spelled[place + 1] - begins != sizes
+        odd[~odd] = differ(block.points, starts[~odd], self.letters, begins[~odd], sizes[~odd])
+        return held[odd]
+
+    def known(self, block: Split, some=slice(None)) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and where in them those of the different words of a block, or of ``some`` of them, begin and end."""
+        at = block.at[some]
+        starts, ends = block.starts[at], block.ends[at]
+        hashes = spans(block.points, starts, ends)
+        place = self.places.find(hashes)
+        odd = self.strange(place, block, starts, ends)
+        if len(odd) or self.places.count + len(hashes) > CACHE:
             self.forget()
-        new = np.flatnonzero(self.places.find(unique) < 0)
-        spans = zip(block.starts[at[new]].tolist(), block.ends[at[new]].tolist())
-        self.learn(unique[new], [block.text[a:b] for a, b in spans])
-        place = self.places.find(unique)
-        return gather(self.ids, self.begins[place][which].astype(np.int64), self.begins[place + 1][which].astype(np.int64))
+            place[:] = -1
+        new = np.flatnonzero(place < 0)
+        if len(new):
+            first = new[np.unique(hashes[new], return_index=True)[1]]
+            self.learn(block, hashes[first], starts[first], ends[first])
+            place[new] = self.places.find(hashes[new])
+        values, begins, stops = self.ids, self.begins[place].astype(np.int64), self.begins[place + 1].astype(np.int64)
+        if len(odd) or len(new) and len(first) < len(new):  # two words of this block may share a hash
+            odd = self.strange(place, block, starts, ends)
+            more, edges = self.merged([block.text[a:b] for a, b in zip(starts[odd].tolist(), ends[odd].tolist())])
+            begins[odd], stops[odd] = edges[:-1] + len(values), edges[1:] + len(values)
+            values = np.concatenate([values, more])
+        return values, begins, stops
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text, little-endian 32-bit numbers; a null text is empty."""
@@ -217,7 +246,8 @@ class Encoder:
         if self.lower is None:
             return [np.array(e.ids, "<u4") for e in self.library.encode_batch(texts, add_special_tokens=False)]
         block = split(texts, self.lower, self.added)
-        ids, edges = self.known(block)
+        values, begins, ends = self.known(block)
+        ids, edges = gather(values, begins[block.which], ends[block.which])
         cuts = edges[block.edges].tolist()
         rows = [ids[a:b] for a, b in zip(cuts, cuts[1:])]
         rest = np.flatnonzero(block.whole).tolist()
@@ -232,6 +262,11 @@ def gather(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np
     return values[np.arange(edges[-1]) + np.repeat(starts - edges[:-1], ends - starts)], edges
 
 
+def _room(values: np.ndarray, size: int) -> np.ndarray:
+    """The same values with room for ``size`` at least."""
+    return values if size <= len(values) else np.concatenate([values, np.zeros(2 * size - len(values), values.dtype)])
+
+
 _ENCODERS: dict[str, Encoder] = {}
 
 

@@ -18,13 +18,14 @@ word's ids begin; the ids, 32 bits each.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from rillframe.llm.bpe import LATIN, Encoder, Split, encoder, gather, split
+from rillframe.llm.bpe import LATIN, Encoder, encoder, gather, split
 from rillframe.llm.store import get, lean, new_folder, put, settled
 from rillframe.llm.words import slices
 
@@ -37,19 +38,16 @@ def counts(docs: DataFrame, tokenizer: str) -> DataFrame:
     """(word, count) over all texts, counted in each task first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, tally, words = encoder(tokenizer), {}, {}
+        own, tally = encoder(tokenizer), Counter()
         for batch in slices(batches):
             block = split([t or "" for t in batch.column("text").to_pylist()], bool(own.lower), own.added)
-            unique, at, n = np.unique(block.hashes, return_index=True, return_counts=True)
-            for key, k, a, b in zip(unique.tolist(), n.tolist(), block.starts[at].tolist(), block.ends[at].tolist()):
-                if key in tally:
-                    tally[key] += k
-                else:
-                    tally[key], words[key] = k, block.text[a:b]
+            n = np.bincount(block.which, minlength=len(block.at))
+            for k, a, b in zip(n.tolist(), block.starts[block.at].tolist(), block.ends[block.at].tolist()):
+                tally[block.text[a:b]] += k
             if len(tally) > TALLY:
-                yield pa.RecordBatch.from_pydict({"word": list(words.values()), "n": list(tally.values())})
-                tally, words = {}, {}
-        yield pa.RecordBatch.from_arrays([pa.array(words.values(), pa.string()), pa.array(tally.values(), pa.int64())], names=["word", "n"])
+                yield pa.RecordBatch.from_pydict({"word": list(tally), "n": list(tally.values())})
+                tally = Counter()
+        yield pa.RecordBatch.from_arrays([pa.array(tally.keys(), pa.string()), pa.array(tally.values(), pa.int64())], names=["word", "n"])
 
     return lean(docs, "text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("count"))
 
@@ -202,18 +200,15 @@ def encode(texts: list[str | None], tokenizer: str, path: str) -> list[np.ndarra
     if own.lower is None:
         return own.encode(texts)
     block = split(texts, own.lower, own.added)
-    points = np.minimum(np.frombuffer(block.text.encode("utf-32-le", "surrogatepass"), np.uint32), LATIN - 1)
-    _, at, which = np.unique(block.hashes, return_index=True, return_inverse=True)
-    number = lexicon.numbers(points, block.starts[at], block.ends[at])
+    number = lexicon.numbers(np.minimum(block.points, LATIN - 1), block.starts[block.at], block.ends[block.at])
     seen, other = number >= 0, np.flatnonzero(number < 0)
-    values, begin, end = lexicon.ids, np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+    values, begin, end = lexicon.ids, np.zeros(len(number), np.int64), np.zeros(len(number), np.int64)
     begin[seen], end[seen] = lexicon.bounds[number[seen]], lexicon.bounds[number[seen] + 1]
     if len(other):
-        rest = Split(block.text, block.starts[at[other]], block.ends[at[other]], block.hashes[at[other]], None, None)
-        more, edges = own.known(rest)
+        more, edges = gather(*own.known(block, other))
         values = np.concatenate([values, more])
         begin[other], end[other] = edges[:-1] + len(lexicon.ids), edges[1:] + len(lexicon.ids)
-    ids, edges = gather(values, begin[which], end[which])
+    ids, edges = gather(values, begin[block.which], end[block.which])
     cuts = edges[block.edges].tolist()
     rows = [ids[a:b] for a, b in zip(cuts, cuts[1:])]
     left = np.flatnonzero(block.whole).tolist()

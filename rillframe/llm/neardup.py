@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from rillframe.llm.links import components
 from rillframe.llm.store import few, lean, settled
-from rillframe.llm.words import BASE, CODES, U, Rolling, Texts, mix, slices, windows
+from rillframe.llm.words import BASE, CODES, U, Texts, mix, slices, spans, windows
 
 COORDINATES, MATCHES = 64, 36
 PREFIX = COORDINATES - MATCHES + 1
@@ -47,10 +47,10 @@ def shingles(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     """The distinct shingle hashes of each text, one text after another, and where each begins."""
     texts = Texts(column)
     starts, ends, edges = texts.words()
-    words = Rolling(CODES[LOWER[texts.data]]).spans(starts, ends)
+    words = spans(LOWER[texts.data], starts, ends)
     hashes, _, rows = windows(words, edges, size)
     short = np.flatnonzero((np.diff(edges) > 0) & (np.diff(edges) < size))
-    whole = Rolling(words).spans(edges[short], edges[short + 1])
+    whole = spans(words, edges[short], edges[short + 1])
     hashes, rows = np.concatenate([hashes, whole]), np.concatenate([rows, short])
     _, first = np.unique(mix(hashes + rows.astype(U) * CODES[0]), return_index=True)
     order = first[np.lexsort((hashes[first], rows[first]))]

@@ -7,7 +7,8 @@ block of texts. The ranges say which windows also start in a document with a sma
 their documents, where the windows merge into maximal removal intervals. Windows are judged on the input, not on
 what is left.
 
-A hash has 64 bits: among n different windows about n * n / 2**65 pairs meet by chance (5e-4 for 1.3e8 windows).
+A word is a 64-bit hash, a window a polynomial of its words' hashes modulo the prime 2**61 - 1: two different windows
+meet at ``length`` of 2**61 bases at most, among n windows at most about n * n * length / 2**62 pairs are expected to.
 Null texts have no words; texts shorter than a window lose none. Rows with equal doc_id are one document: none of
 them removes from another. A null doc_id comes after all others. Columns of the input that are named like a result
 are replaced, others pass.
@@ -24,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from rillframe.llm.store import lean, parts_for, settled
-from rillframe.llm.words import CODES, U, Rolling, Texts, mix, slices, windows
+from rillframe.llm.words import CODES, U, Texts, mix, slices, spans, windows
 
 LENGTH = 50
 BLOCK_BYTES = 4 << 20  # text whose windows are gathered before they are sent
@@ -40,7 +41,7 @@ def _hashed(batch: pa.RecordBatch, length: int) -> tuple:
     """Word spans with their row edges; hash, first word and row of each window."""
     texts = Texts(batch.column("text"))
     starts, ends, edges = texts.words()
-    return texts, starts, ends, edges, *windows(Rolling(CODES[texts.data]).spans(starts, ends), edges, length)
+    return texts, starts, ends, edges, *windows(spans(texts.data, starts, ends), edges, length)
 
 
 def _ids(batch: pa.RecordBatch) -> np.ndarray:

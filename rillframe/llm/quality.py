@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from rillframe.llm.store import lean, settled
-from rillframe.llm.words import CODES, U, Rolling, Texts, mix, owners, slices, windows
+from rillframe.llm.words import Texts, distinct, owners, slices
 
 SYMBOLS = np.isin(np.arange(256), list(b"#*$%&|<>"))
 CAPITALS = np.isin(np.arange(256), list(range(65, 91)))
@@ -42,17 +42,28 @@ def _share(part: str, whole: str) -> Column:
     return F.when(F.col(whole) > 0, F.least(F.col(part) / F.col(whole), F.lit(1.0))).otherwise(F.lit(0.0))
 
 
+def _paired(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """A number for each pair of numbers, the same for equal pairs only; small if it has to be."""
+    if len(one) and (int(one.max()) + 1) * (int(two.max()) + 1) >= 1 << 62:
+        one = np.unique(one, return_inverse=True)[1]
+    return one * (int(two.max()) + 1 if len(two) else 1) + two
+
+
 def _measured(batch: pa.RecordBatch) -> list[np.ndarray]:
     texts = Texts(batch.column("text"))
     starts, ends, edges = texts.words()
-    rolling = Rolling(CODES[texts.data])
     inside = np.zeros(len(texts.data) + 1, np.int8)
     inside[starts] += 1
     inside[ends] -= 1
     in_word = np.cumsum(inside[:-1]).astype(bool) if len(starts) else np.zeros(len(texts.data), bool)
 
-    hashes, at, rows = windows(rolling.spans(starts, ends), edges, 3)
-    _, where, count = np.unique(mix(hashes + rows.astype(U) * CODES[0]), return_inverse=True, return_counts=True)
+    rows = owners(edges)
+    at = np.flatnonzero(np.arange(len(starts)) + 3 <= edges[1:][rows]) if len(starts) else np.zeros(0, np.int64)
+    number = distinct(texts.data, starts, ends)[1]
+    triple = number[at]
+    for more in (number[np.minimum(at + 1, len(starts) - 1)], number[np.minimum(at + 2, len(starts) - 1)], rows[at]) if len(at) else ():
+        triple = _paired(triple, more)
+    _, where, count = np.unique(triple, return_inverse=True, return_counts=True)
     covered = np.zeros(len(starts) + 3, bool)
     hit = at[count[where] > 1]
     for k in range(3):
@@ -62,7 +73,7 @@ def _measured(batch: pa.RecordBatch) -> list[np.ndarray]:
     line_at, line_to, line_edges = texts.parts(texts.data != 10)
     worded = np.searchsorted(starts, line_to) > np.searchsorted(starts, line_at)
     line_rows = owners(line_edges)[worded]
-    lines = mix(rolling.spans(line_at[worded], line_to[worded]) + line_rows.astype(U) * CODES[0])
+    lines = _paired(distinct(texts.data, line_at[worded], line_to[worded])[1], line_rows)
     _, first = np.unique(lines, return_index=True)
     all_lines = np.bincount(line_rows, minlength=texts.rows)
     new_lines = np.bincount(line_rows[first], minlength=texts.rows)

@@ -13,8 +13,8 @@ after a digit is done; the groups left after the last digit are exactly the repe
   bytes around the least string that all windows of a part of the run share; parts alone in it are done.
 * The last digit is the window itself, for the suffixes of the parts that are left.
 
-Digits are 64-bit hashes of the bytes, so two different windows are taken for equal once in 2**64 pairs that reach
-the last digit together. Matches never cross texts. A null text is empty; a text shorter than a window loses nothing;
+Digits are Rabin-Karp hashes modulo the prime 2**61 - 1, so two different windows are taken for equal at ``length`` of
+2**61 bases at most (about 1e-16) if they reach the last digit together. Matches never cross texts. A null text is empty; a text shorter than a window loses nothing;
 rows that repeat remove each other. Columns of the input named like a result are replaced, others pass.
 """
 
@@ -31,6 +31,7 @@ from rillframe.llm.words import CODES, U, Rolling, Texts, mix, owners, slices
 
 LENGTH = 400
 GRAM = 32
+FACTORS = dict(zip((1, 2, 4, 8, 16), mix(np.arange(1, 6, dtype=U)) | U(1)))
 PARTS = 4  # parts of a run by how far its windows begin before the digit
 RUNS = "key long, at long, count int, ahead int, digit long, whole long, " + ", ".join(f"part{j} long" for j in range(PARTS))
 SPAN = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
@@ -48,6 +49,15 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(backward[:count], forward[width - 1:width - 1 + count])
 
 
+def _grams(data: np.ndarray) -> np.ndarray:
+    """A number for each string of GRAM bytes, made by doubling; what shares one is told apart by later digits."""
+    made, width = CODES[data], 1
+    while width < GRAM:
+        made = made[:-width] * FACTORS[width] + made[width:]
+        width *= 2
+    return mix(made)
+
+
 def _runs(texts: Texts, length: int) -> list[np.ndarray] | None:
     """Row, first byte, windows, distance to the digit, digit, whole, and parts (with a mask) of each run."""
     size = len(texts.data)
@@ -55,9 +65,8 @@ def _runs(texts: Texts, length: int) -> list[np.ndarray] | None:
     if not len(fits):
         return None
     rolling = Rolling(CODES[texts.data])
-    at = np.arange(size - GRAM + 1)
-    grams = rolling.spans(at, at + GRAM)
-    anchors = _least((grams & ~U(0xFFFFFFFF)) | at.astype(U), length - GRAM + 1) & U(0xFFFFFFFF)
+    grams = _grams(texts.data)
+    anchors = _least((grams & ~U(0xFFFFFFFF)) | np.arange(len(grams), dtype=U), length - GRAM + 1) & U(0xFFFFFFFF)
     valid = np.zeros(size + 1, np.int8)
     valid[texts.edges[fits]] += 1
     valid[texts.edges[fits + 1] - length + 1] -= 1

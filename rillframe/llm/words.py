@@ -1,9 +1,15 @@
-"""Vector work on the texts of an Arrow batch: word spans, rolling hashes, sums per document.
+"""Vector work on the texts of an Arrow batch: word spans, hashes, sums per document.
 
 A batch of texts is one array of UTF-8 bytes with row bounds, as Arrow holds it, so nothing here loops over
-documents or words. Hashes are polynomials modulo 2**64 over 64-bit symbol codes with an odd base, taken from
-prefix sums and mixed at the end. Memory in a task is about 100 bytes for each text byte of a slice; a slice
-holds ``SLICE_BYTES``, or one text if that is longer.
+documents or words. There are two kinds of hash:
+
+* ``spans``: of spans that do not overlap, such as words and lines. Each symbol is mixed with its place in the span,
+  and the mixed numbers are summed modulo 2**64.
+* ``Rolling``: of any spans, such as all windows. A Rabin-Karp polynomial modulo the prime 2**61 - 1 at one base, from
+  prefix sums: two different spans of n symbols have one hash for n of 2**61 bases at most.
+
+Within a slice ``distinct`` finds equal spans by their symbols. Memory in a task is about 150 bytes
+for each text byte of a slice; a slice holds ``SLICE_BYTES``, or one text if that is longer.
 """
 
 from __future__ import annotations
@@ -16,8 +22,11 @@ import pyarrow.compute as pc
 
 SLICE_BYTES = 1 << 18
 U = np.uint64
-BASE = U(0x9E3779B97F4A7C15 | 3)  # odd, 7 modulo 8
-BASE_INVERSE = U(pow(int(BASE), -1, 1 << 64))
+BASE = U(0x9E3779B97F4A7C15 | 3)  # odd
+PLACE = U(0xD1B54A32D192ED03)
+PRIME = U((1 << 61) - 1)
+LOW30, LOW31 = U((1 << 30) - 1), U((1 << 31) - 1)
+POINT = int(BASE) % int(PRIME)  # where the polynomials are taken
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 _POWERS: list[np.ndarray] = []
@@ -25,32 +34,111 @@ _POWERS: list[np.ndarray] = []
 
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread every bit of the numbers over all others; a permutation of 64-bit numbers."""
-    x = (x ^ (x >> U(33))) * U(0xFF51AFD7ED558CCD)
-    x = (x ^ (x >> U(29))) * U(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> U(32))
+    x = x ^ (x >> U(33))
+    x *= U(0xFF51AFD7ED558CCD)
+    x ^= x >> U(29)
+    x *= U(0xC4CEB9FE1A85EC53)
+    x ^= x >> U(32)
+    return x
 
 
 CODES = mix(np.arange(1, 257, dtype=U) * BASE)
 
 
+def reduced(x: np.ndarray) -> np.ndarray:
+    """The numbers modulo PRIME."""
+    high = x >> U(61)
+    high += x & PRIME
+    high -= PRIME * (high >= PRIME)
+    return high
+
+
+def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products of numbers below PRIME modulo PRIME, from halves of 31 bits."""
+    a1, a0, b1, b0 = a >> U(31), a & LOW31, b >> U(31), b & LOW31
+    middle = a1 * b0
+    middle += a0 * b1
+    a1 *= b1
+    a1 <<= U(1)
+    a0 *= b0
+    a1 += a0
+    a1 += middle >> U(30)
+    middle &= LOW30
+    middle <<= U(31)
+    a1 += middle
+    return reduced(a1)
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE**i and BASE**-i for i below n at least."""
+    """POINT**i and POINT**-i modulo PRIME for i below n at least."""
     if not _POWERS or len(_POWERS[0]) < n:
-        size = max(n, 1 << 19)
-        _POWERS[:] = [np.concatenate([np.ones(1, U), np.cumprod(np.full(size, b, U))]) for b in (BASE, BASE_INVERSE)]
+        made, size = [], max(n, 1 << 16)
+        for base in (POINT, pow(POINT, -1, int(PRIME))):
+            found = np.ones(size, U)
+            done = 1
+            while done < size:
+                more = min(done, size - done)
+                found[done:done + more] = times(found[:more], U(pow(base, done, int(PRIME))))
+                done += more
+            made.append(found)
+        _POWERS[:] = made
     return _POWERS[0], _POWERS[1]
 
 
+def _sums(x: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(x) + 1, x.dtype)
+    np.cumsum(x, out=out[1:])
+    return out
+
+
 class Rolling:
     """Hashes of any span of a symbol sequence, from one pass over it."""
 
     def __init__(self, codes: np.ndarray):
         up, self.down = powers(len(codes) + 1)
-        self.sums = np.zeros(len(codes) + 1, U)
-        np.cumsum(codes * up[:len(codes)], out=self.sums[1:])
+        terms = times(reduced(codes), up[:len(codes)])
+        self.low, self.high = _sums(terms & LOW31), _sums(terms >> U(31))
 
     def spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix((self.sums[end] - self.sums[start]) * self.down[start] + (end - start).astype(U))
+        high = reduced(self.high[end] - self.high[start])
+        total = reduced(reduced(self.low[end] - self.low[start]) + ((high & LOW30) << U(31)) + (high >> U(30)))
+        return mix(times(total, self.down[start]) + (end - start).astype(U) * BASE)
+
+
+def spans(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of spans that rise and do not overlap, each symbol mixed with its place."""
+    if not len(starts):
+        return np.zeros(0, U)
+    first, last = starts[0], ends[-1]
+    values = codes[first:last].astype(U)
+    values *= BASE
+    values += np.arange(last - first, dtype=U) * PLACE
+    values -= np.repeat((starts - first).astype(U) * PLACE, np.diff(starts, append=last))
+    sums = _sums(mix(values))
+    return mix(sums[ends - first] - sums[starts - first] + (ends - starts).astype(U) * BASE)
+
+
+def distinct(symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of spans that rise and do not overlap: where each different one stands first, and which of them each is.
+
+    Spans are compared by their symbols, whatever their hashes.
+    """
+    if not len(starts):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    bounds = np.stack([starts, ends], 1).ravel() * symbols.dtype.itemsize  # spans and the gaps between them
+    listed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(symbols))])
+    which = listed.take(pa.array(np.arange(0, len(bounds) - 1, 2))).dictionary_encode().indices.to_numpy().astype(np.int64)
+    at = np.zeros(int(which.max()) + 1, np.int64)
+    at[which[::-1]] = np.arange(len(which))[::-1]
+    return at, which
+
+
+def differ(one: np.ndarray, a: np.ndarray, two: np.ndarray, b: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Which of the spans of ``sizes`` symbols, at a in one sequence and at b in another, are not equal."""
+    edges = np.concatenate([[0], np.cumsum(sizes)])
+    place = np.arange(edges[-1]) - np.repeat(edges[:-1], sizes)
+    sums = _sums((one[np.repeat(a, sizes) + place] != two[np.repeat(b, sizes) + place]).astype(np.int64))
+    return sums[edges[1:]] != sums[edges[:-1]]
 
 
 def slices(batches: Iterator[pa.RecordBatch], limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

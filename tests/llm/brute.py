@@ -17,6 +17,11 @@ SCHEMA = T.StructType([
 _PASSAGE = " ".join(f"Wort{i * i % 97} über{i}" for i in range(60))
 
 
+#: Two words of the letters a and b, each by the parity of the bits of its place: polynomials modulo 2**64 give them one hash.
+EVEN = "".join("ab"[i.bit_count() % 2] for i in range(4096))
+ODD = EVEN.translate({97: 98, 98: 97})
+
+
 def _row(doc_id, text, lang="en"):
     return (doc_id, text, lang, "s", len(text or ""), "k", "c", "y", "w")
 
@@ -30,6 +35,9 @@ def awkward():
         _row(12, _PASSAGE + "\n" + _PASSAGE, None), _row(None, "x " + _PASSAGE), _row(None, None), _row(13, "same\nsame\nother\n\nsame"),
         _row(14, "日本 語の テキスト <|endoftext|> ẞ İ   \x1c x"), _row(15, "a b c a b c a b c"), _row(16, "aaaa" * 300), _row(17, "aaaa" * 300 + "b"),
         _row(18, "it's they're 'x' l'eau d'un 12's 3.14 %%% <b>"), _row(19, "é" * 250), _row(20, "ÀB cd " * 90, "fr"), _row(20, "another text of the same id", "fr"),
+        *[_row(30 + k, f"{word[:1024]} {_PASSAGE} {' '.join(f'p{i}' for i in range(49))} {word[:1024]}") for k, word in enumerate((EVEN, ODD))],
+        *[_row(32 + k, " ".join(f"u{word[i]}" for i in range(64))) for k, word in enumerate((EVEN, ODD))],
+        _row(34, EVEN), _row(35, ODD), _row(36, f"{EVEN}\n{ODD}\n{EVEN}\nx"), _row(37, f"{ODD[:1024]}\n{EVEN[:1024]}"),
     ]
 
 

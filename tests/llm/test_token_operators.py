@@ -39,6 +39,16 @@ def test_small_cache_changes_nothing(monkeypatch):
         assert own.encode([t])[0].tolist() == library(BYTE).encode(t, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_words_that_share_a_hash(monkeypatch, path):
+    """Ids are the library's even where many words have one hash, in a block and over blocks."""
+    monkeypatch.setattr(bpe, "spans", lambda symbols, starts, ends: (symbols[starts] % 3).astype(np.uint64))
+    own, texts = bpe.Encoder(path), ["some words that are here", "other words stand there, some again", "some words that are here", brute.EVEN, brute.ODD, ""]
+    want = [library(path).encode(t, add_special_tokens=False).ids for t in texts]
+    assert [x.tolist() for x in own.encode(texts)] == want
+    assert [own.encode([t])[0].tolist() for t in texts] == want
+
+
 def test_places():
     made, keys = bpe.Places(), np.random.default_rng(1).integers(1, 1 << 62, 200_000).astype(np.uint64)
     keys = np.unique(np.concatenate([keys, np.arange(50, dtype=np.uint64) << np.uint64(40)]))
