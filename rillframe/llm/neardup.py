@@ -10,13 +10,15 @@ Jaccard similarity reaches ``percent``; links are confirmed on the full sets. St
    with ``MATCHES`` equal coordinates share one of the rarest COORDINATES - MATCHES + 1 pairs of each (prefix); the
    other, longer lists are skipped and their collisions counted from the signatures.
 3. Each class is held against the most central class of its lists that matches, its hub. That settles a large group
-   of copies in as many pairs as it has members. Members whose set is too far from the hub's are held against all
-   other members of the hub in blocks; a block sends on only links that join groups of it.
-4. What is left are pairs in a list that have different hubs and are not connected so far; each is counted and, above
-   the threshold, confirmed.
+   of copies in as many pairs as it has members.
+4. What is left are the lists whose classes are not all connected by then (open lists). Classes of a list of ``PAIRS``
+   at most are paired. The longer open lists with the same most central class are put together; of such a circle all
+   classes outside its largest group are held against all its classes, in blocks that ship each class a few times,
+   whatever the number of pairs, and send on only links that join groups of the block.
 
 No list, group or number of partners is cut. A link is missed only if its signatures agree in fewer than MATCHES of
-COORDINATES coordinates: at similarity 0.8 one in 50,000, fewer above. Hashes of shingles have 64 bits.
+COORDINATES coordinates: at similarity 0.8 one in 50,000, fewer above. Shingles are 61-bit hashes: two different
+shingles meet at ``size`` of 2**61 bases at most.
 
 Rows with a null text are empty. Rows that repeat a doc_id are one node of the result, null ids are left out of minima
 and belong to whatever their text belongs to; where all ids are null so is component_id. Other columns pass.
@@ -32,12 +34,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from rillframe.llm.links import components
-from rillframe.llm.store import few, lean, settled
+from rillframe.llm.store import few, free, lean, settled
 from rillframe.llm.words import BASE, CODES, U, Texts, mix, slices, spans, windows
 
 COORDINATES, MATCHES = 64, 36
 PREFIX = COORDINATES - MATCHES + 1
-BLOCK = 1 << 21  # shingles of one side of a block
+BLOCK = 1 << 18  # shingles of one side of a block
+PAIRS = 4  # classes of a list that are paired as rows
 LOWER = np.arange(256, dtype=np.uint8) + 32 * np.isin(np.arange(256), np.arange(65, 91)).astype(np.uint8)
 FACTORS = mix(np.arange(1, COORDINATES + 1, dtype=U) * BASE) | U(1)
 MASKS = mix(FACTORS)
@@ -151,16 +154,19 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _joined(frame: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """Links of a block between its pivots and all its classes, as few as connect the same classes."""
+    """Links of a block between its pivots and all its classes, as few as connect the same groups."""
     frame = frame.sort_values(["class", "pivot"]).drop_duplicates("class", keep="last").reset_index(drop=True)
+    signatures = np.stack(frame["signature"].to_numpy())
     sets = [np.frombuffer(s, U) for s in frame["set"]]
     sizes = np.array([len(s) for s in sets])
     values, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
     order = np.argsort(values, kind="stable")
     values, owner = values[order], owner[order]
-    group = np.where(frame["linked"], -1, np.arange(len(sets)))  # all that are linked to the hub are one group
+    group = pd.factorize(frame["group"])[0]
     links = []
     for p in np.flatnonzero(frame["pivot"]).tolist():
+        if not (((signatures == signatures[p]).sum(1) >= MATCHES) & (group != group[p])).any():
+            continue
         low, high = np.searchsorted(values, sets[p], "left"), np.searchsorted(values, sets[p], "right")
         at = np.arange((high - low).sum()) + np.repeat(low - np.concatenate([[0], np.cumsum(high - low)[:-1]]), high - low)
         both = np.bincount(owner[at], minlength=len(sets))
@@ -168,24 +174,27 @@ def _joined(frame: pd.DataFrame, percent: int) -> pd.DataFrame:
         for other in near[np.unique(group[near], return_index=True)[1]].tolist():
             if group[other] != group[p]:
                 links.append((frame["class"][p], frame["class"][other]))
-                old, new = max(group[p], group[other]), min(group[p], group[other])
-                group[group == old] = new
+                group[group == group[p]] = group[other]
     return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
 
-def within_hubs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between members of a hub that are not linked to it and all its other members.
+def within_circles(members: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between classes of a circle that are in different groups.
 
-    ``members``: (hub, class, linked). Both sides are dealt into blocks of about BLOCK shingles.
+    ``members``: (hub, class, group). The classes outside the largest group of a circle are its pivots. All classes
+    are dealt into rows, the pivots into columns of about BLOCK shingles; a row and a column meet in a block.
     """
-    sized = members.join(sets, "class").withColumn("n", F.length("set") / 8)
-    totals = sized.groupBy("hub").agg(F.sum("n").alias("all"), F.sum(F.when(~F.col("linked"), F.col("n"))).alias("far"), F.count("*").alias("count"))
-    blocks = totals.where("far > 0 AND count > 1").select("hub", F.ceil(F.col("all") / BLOCK).cast("int").alias("rows"), F.ceil(F.col("far") / BLOCK).cast("int").alias("columns"))
-    dealt = sized.drop("n").join(settled(blocks), "hub").withColumn("deal", F.xxhash64("class"))
+    known = members.join(classes.select("class", "signature"), "class").join(sets, "class").withColumn("n", F.length("set") / 8)
+    by_group = known.groupBy("hub", "group").agg(F.sum("n").alias("n"))
+    sizes = by_group.groupBy("hub").agg(F.sum("n").alias("all"), F.max(F.struct("n", "group")).alias("top"), F.count("*").alias("groups")).where("groups > 1")
+    blocks = settled(sizes.select("hub", F.col("top.group").alias("top"), F.ceil(F.col("all") / BLOCK).cast("int").alias("rows"),
+                                  F.ceil((F.col("all") - F.col("top.n")) / BLOCK).cast("int").alias("columns")))
+    dealt = known.drop("n").join(blocks, "hub").withColumn("deal", F.xxhash64("class"))
     row, column = F.pmod("deal", "rows").cast("int"), F.pmod("deal", "columns").cast("int")
     seen = dealt.withColumn("row", row).withColumn("column", F.explode(F.sequence(F.lit(0), F.col("columns") - 1))).withColumn("pivot", F.lit(False))
-    far = dealt.where("NOT linked").withColumn("column", column).withColumn("row", F.explode(F.sequence(F.lit(0), F.col("rows") - 1))).withColumn("pivot", F.lit(True))
-    names = ["hub", "row", "column", "class", "linked", "pivot", "set"]
+    far = dealt.where(F.col("group") != F.col("top"))
+    far = far.withColumn("column", column).withColumn("row", F.explode(F.sequence(F.lit(0), F.col("rows") - 1))).withColumn("pivot", F.lit(True))
+    names = ["hub", "row", "column", "class", "group", "pivot", "signature", "set"]
     return seen.select(names).union(far.select(names)).groupBy("hub", "row", "column").applyInPandas(lambda f: _joined(f, percent), "a long, b long")
 
 
@@ -193,38 +202,36 @@ def links_of(docs: DataFrame, marked: DataFrame, size: int, percent: int) -> Dat
     """(a, b): links between classes that connect all that are connected."""
     classes = settled(marked.where("class IS NOT NULL").groupBy("class").agg(F.min("key").alias("key"), F.any_value("signature").alias("signature")))
     posts = settled(posted(classes))
-    hubs = posts.groupBy("token").agg(F.max(F.struct("central", "class")).alias("hub"))
+    hubs = settled(posts.groupBy("token").agg(F.max(F.struct("central", "class")).alias("hub")))
     tried = posts.join(hubs, "token").where("class <> hub.class").select(F.col("class").alias("a"), F.col("hub.class").alias("b")).distinct()
     near = settled(matching(tried, classes))
     central = posts.select(F.col("class").alias("b"), "central").distinct()
     chosen = near.join(central, "b").groupBy("a").agg(F.max(F.struct("central", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
     chosen = settled(chosen)
-    keys = classes.select("class", "key")
-    involved = chosen.select(F.col("a").alias("class")).union(chosen.select(F.col("b").alias("class"))).distinct()
-    sets = sets_of(docs, size, keys.join(involved, "class"))
-    star = settled(confirmed(chosen, sets, percent))
-    own = chosen.join(star.withColumn("linked", F.lit(True)), ["a", "b"], "left").select(
-        F.col("b").alias("hub"), F.col("a").alias("class"), F.coalesce("linked", F.lit(False)).alias("linked"))
-    found = settled(star.union(within_hubs(own, sets, percent)))
-    return found.union(settled(_rest(docs, posts, chosen, components(found), classes, size, percent)))
-
-
-def _rest(docs: DataFrame, posts: DataFrame, chosen: DataFrame, groups: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
-    """Links between classes of a list that have different hubs and are in different groups so far."""
-    hubs = chosen.select(F.col("a").alias("class"), F.col("b").alias("hub"))
-    listed = posts.join(hubs, "class", "left").join(groups.select(F.col("id").alias("class"), "component"), "class", "left")
-    listed = settled(listed.select("token", "class", F.coalesce("hub", "class").alias("hub"), F.coalesce("component", "class").alias("group")))
-    by_group = listed.groupBy("token", "group").agg(F.count("*").alias("n"))
-    largest = by_group.groupBy("token").agg(F.max(F.struct("n", "group")).alias("top"), F.count("*").alias("groups")).where("groups > 1")
-    open_lists = listed.join(largest.select("token", F.col("top.group").alias("top")), "token")
-    small = open_lists.where(F.col("group") != F.col("top")).select("token", F.col("class").alias("x"), F.col("hub").alias("x_hub"), F.col("group").alias("x_group"))
-    pairs = small.join(open_lists, "token").where(
-        (F.col("x_group") != F.col("group")) & (F.col("x_hub") != F.col("hub")) & (F.col("x_hub") != F.col("class")) & (F.col("hub") != F.col("x"))
-        & ((F.col("group") == F.col("top")) | (F.col("x") < F.col("class"))))
-    pairs = pairs.select(F.least("x", "class").alias("a"), F.greatest("x", "class").alias("b")).distinct()
-    near = settled(matching(pairs, classes))
-    involved = near.select(F.col("a").alias("class")).union(near.select(F.col("b").alias("class"))).distinct()
-    return confirmed(near, sets_of(docs, size, classes.select("class", "key").join(involved, "class")), percent)
+    star = settled(confirmed(chosen, _sets_of(docs, size, classes, chosen), percent))
+    return star.union(_rest(docs, posts, hubs, components(star), classes, size, percent))
+
+
+def _sets_of(docs: DataFrame, size: int, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    involved = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class"))).distinct()
+    return sets_of(docs, size, classes.select("class", "key").join(involved, "class"))
+
+
+def _rest(docs: DataFrame, posts: DataFrame, hubs: DataFrame, groups: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links between classes of a list that are in different groups so far."""
+    listed = posts.join(groups.select(F.col("id").alias("class"), "component"), "class", "left")
+    listed = settled(listed.select("token", "class", F.coalesce("component", "class").alias("group")))
+    kinds = listed.groupBy("token").agg(F.count("*").alias("n"), F.min("group").alias("least"), F.max("group").alias("most"))
+    open_lists = settled(listed.join(kinds.where("least <> most").select("token", "n"), "token"))
+    short = open_lists.where(F.col("n") <= PAIRS)
+    other = short.select("token", F.col("class").alias("b"), F.col("group").alias("other"))
+    pairs = short.join(other, "token").where((F.col("class") < F.col("b")) & (F.col("group") != F.col("other")))
+    near = settled(matching(pairs.select(F.col("class").alias("a"), "b").distinct(), classes))
+    members = open_lists.where(F.col("n") > PAIRS).join(hubs, "token").select(F.col("hub.class").alias("hub"), "class", "group").distinct()
+    members = settled(members)
+    wanted = near.union(members.select(F.col("hub").alias("a"), F.col("class").alias("b")))
+    sets = _sets_of(docs, size, classes, wanted)
+    return settled(confirmed(near, sets, percent)).union(settled(within_circles(members, classes, sets, percent)))
 
 
 def _members(docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -253,9 +260,11 @@ def deduplicated(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key", "n")).alias("first")
     chosen = settled(keys.where("group IS NOT NULL").groupBy("group").agg(first).select(F.col("first.key").alias("_key"), F.col("first.n").alias("n"))
                      .union(keys.where("group IS NULL").select("key", F.lit(1).cast("long"))))
-    keyed = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
-    found = keyed.join(few(chosen.where("n = 1").select("_key")), "_key", "left_semi")
-    repeated = chosen.where("n > 1").select("_key")
+    own = free(docs, "_key")[0]
+    chosen = chosen.withColumnRenamed("_key", own)
+    keyed = docs.withColumn(own, F.xxhash64("doc_id", "text"))
+    found = keyed.join(few(chosen.where("n = 1").select(own)), own, "left_semi")
+    repeated = chosen.where("n > 1").select(own)
     if not repeated.isEmpty():  # only rows that repeat as a whole are shuffled
-        found = found.unionByName(keyed.join(few(repeated), "_key", "left_semi").dropDuplicates(["_key"]))
+        found = found.unionByName(keyed.join(few(repeated), own, "left_semi").dropDuplicates([own]))
     return found.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -16,7 +16,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -89,14 +88,14 @@ def pack(made: DataFrame, length: int = LENGTH, group: int = GROUP) -> DataFrame
     """Pieces with sequence_id and offset. ``made`` should be a written table, so that a task run again sees the same."""
     groups = max(1, round(made.count() / group))
 
-    def one(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["length", "deal", "doc_id", "piece"], ascending=[False, True, True, True], kind="stable")
-        bins, offsets = place(frame["length"].to_numpy(), length)
-        frame["sequence_id"], frame["offset"] = bins * groups + int(key[0]), offsets
-        return frame[["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]]
+    def one(key: tuple, table: pa.Table) -> pa.Table:
+        table = table.sort_by([("length", "descending"), ("deal", "ascending"), ("doc_id", "ascending"), ("piece", "ascending")])
+        bins, offsets = place(table["length"].to_numpy(), length)
+        own = table.select(["doc_id", "piece", "start", "length", "ids_crc32"])
+        return own.append_column("sequence_id", pa.array(bins * groups + key[0].as_py())).append_column("offset", pa.array(offsets))
 
     dealt = made.withColumn("_group", (F.col("deal") % groups).cast("int"))
-    return dealt.groupBy("_group").applyInPandas(one, PACKED)
+    return dealt.groupBy("_group").applyInArrow(one, PACKED)
 
 
 def packed(docs: DataFrame, tokenizer: str, end_id: int, length: int = LENGTH, group: int = GROUP) -> DataFrame:

@@ -10,7 +10,8 @@ what is left.
 A word is a 64-bit hash, a window a polynomial of its words' hashes modulo the prime 2**61 - 1: two different windows
 meet at ``length`` of 2**61 bases at most, among n windows at most about n * n * length / 2**62 pairs are expected to.
 Null texts have no words; texts shorter than a window lose none. Rows with equal doc_id are one document: none of
-them removes from another. A null doc_id comes after all others. Columns of the input that are named like a result
+them removes from another. A null doc_id comes after all others, and rows without one do not remove from each other;
+each has its own hashes sent back, by a hash of its text. Columns of the input that are named like a result
 are replaced, others pass.
 """
 
@@ -22,17 +23,17 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from rillframe.llm.store import lean, parts_for, settled
+from rillframe.llm.store import free, lean, parts_for, settled
 from rillframe.llm.words import CODES, U, Texts, mix, slices, spans, windows
 
 LENGTH = 50
 BLOCK_BYTES = 4 << 20  # text whose windows are gathered before they are sent
 TURNS = 8  # parts of a range that its task compares one after another
 RANGES = 32  # hash ranges at least; more for more than 32 MB of text each
-LAST = np.iinfo(np.int64).max  # a null doc_id in comparisons
-PACKED = "range int, docs binary, counts binary, hashes binary, known boolean"
+PACKED = "range int, kind int, docs binary, counts binary, hashes binary"
+NAMED, NAMELESS, KNOWN, KNOWN_NAMELESS = range(4)  # windows of rows with a doc_id and without, and such as are to go
 RESULTS = {"n_words": T.LongType(), "n_removed": T.LongType(), "kept_text": T.StringType(),
            "intervals": T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("end", T.LongType())]))}
 
@@ -44,43 +45,60 @@ def _hashed(batch: pa.RecordBatch, length: int) -> tuple:
     return texts, starts, ends, edges, *windows(spans(texts.data, starts, ends), edges, length)
 
 
-def _ids(batch: pa.RecordBatch) -> np.ndarray:
-    return batch.column("doc_id").cast(pa.int64()).fill_null(LAST).to_numpy(zero_copy_only=False)
+def _owners(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The doc_id of each row, or its key where that is null, and whether it is."""
+    nameless = batch.column("doc_id").is_null().to_numpy(zero_copy_only=False)
+    ids = batch.column("doc_id").cast(pa.int64()).fill_null(0).to_numpy(zero_copy_only=False)
+    return np.where(nameless, batch.column("key").to_numpy(), ids), nameless
 
 
-def _packed(docs: np.ndarray, hashes: np.ndarray, group: np.ndarray, known: bool) -> Iterator[tuple]:
+def _packed(kind: int, docs: np.ndarray, hashes: np.ndarray, group: np.ndarray) -> Iterator[tuple]:
     """Rows of PACKED for each value of ``group``: the documents, how many hashes each has, and those."""
     order = np.lexsort((docs, group))
     docs, hashes, group = docs[order], hashes[order], group[order]
     edges = np.flatnonzero(np.diff(group, prepend=-1, append=-1)) if len(group) else []
     for a, b in zip(edges, edges[1:]):
         own, counts = np.unique(docs[a:b], return_counts=True)
-        yield int(group[a]), own.tobytes(), counts.astype(np.uint32).tobytes(), hashes[a:b].tobytes(), known
+        yield int(group[a]), kind, own.tobytes(), counts.astype(np.uint32).tobytes(), hashes[a:b].tobytes()
+
+
+def _later(docs: np.ndarray, nameless: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order by hash and document, which rows then are the first of their hash, and which come after its first document."""
+    order = np.lexsort((docs, nameless, hashes))
+    docs, nameless, hashes = docs[order], nameless[order], hashes[order]
+    new = np.diff(hashes, prepend=~hashes[:1]) != 0 if len(hashes) else np.zeros(0, bool)
+    start = np.flatnonzero(new)
+    count = np.diff(start, append=len(hashes))
+    later = np.where(nameless, ~np.repeat(nameless[start], count), docs > np.repeat(docs[start], count))
+    return order, new, later
 
 
 def _sent(length: int, ranges: int):
-    """For mapInArrow: a block's hashes by range, each with its smallest document, and what is known in the block."""
-    schema = pa.schema([("range", pa.int32()), ("docs", pa.binary()), ("counts", pa.binary()), ("hashes", pa.binary()), ("known", pa.bool_())])
+    """For mapInArrow: a block's hashes by range, each with its first document, and what is known in the block.
+
+    Of rows without a doc_id each one sends its hashes, unless the block has a document with an id for them.
+    """
+    schema = pa.schema([("range", pa.int32()), ("kind", pa.int32()), ("docs", pa.binary()), ("counts", pa.binary()), ("hashes", pa.binary())])
 
     def rows(held: list) -> Iterator[pa.RecordBatch]:
-        docs, hashes = (np.concatenate(x) for x in zip(*held))
-        order = np.lexsort((docs, hashes))
-        docs, hashes = docs[order], hashes[order]
-        new = np.flatnonzero(np.diff(hashes, prepend=~hashes[:1])) if len(hashes) else np.zeros(0, np.int64)
-        first = np.repeat(docs[new], np.diff(new, append=len(hashes)))
-        later = docs > first
-        later[1:] &= (hashes[1:] != hashes[:-1]) | (docs[1:] != docs[:-1])
-        by_hash = ((hashes[new] >> U(32)) * U(ranges) >> U(32)).astype(np.int64)
-        by_doc = (mix(docs[later].astype(U)) % U(ranges)).astype(np.int64)
-        for part in ((docs[new], hashes[new], by_hash, False), (docs[later], hashes[later], by_doc, True)):
-            for row in _packed(*part):
+        docs, nameless, hashes = (np.concatenate(x) for x in zip(*held))
+        order, new, later = _later(docs, nameless, hashes)
+        docs, nameless, hashes = docs[order], nameless[order], hashes[order]
+        fresh = new.copy()  # a window that a text repeats goes once
+        fresh[1:] |= (docs[1:] != docs[:-1]) | (nameless[1:] != nameless[:-1])
+        by_hash = ((hashes >> U(32)) * U(ranges) >> U(32)).astype(np.int64)
+        by_doc = (mix(docs.astype(U)) % U(ranges)).astype(np.int64)
+        for kind, wanted, group in ((NAMED, new & ~nameless, by_hash), (NAMELESS, fresh & nameless & ~later, by_hash),
+                                    (KNOWN, fresh & later & ~nameless, by_doc), (KNOWN_NAMELESS, fresh & later & nameless, by_doc)):
+            for row in _packed(kind, docs[wanted], hashes[wanted], group[wanted]):
                 yield pa.RecordBatch.from_pylist([dict(zip(schema.names, row))], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in slices(batches):
             texts, _, _, _, hashes, _, owner = _hashed(batch, length)
-            held.append((_ids(batch)[owner], hashes))
+            docs, nameless = _owners(batch)
+            held.append((docs[owner], nameless[owner], hashes))
             size += len(texts.data)
             if size >= BLOCK_BYTES:
                 yield from rows(held)
@@ -104,31 +122,40 @@ def _unpacked(frame: pd.DataFrame, turn: int | None = None) -> tuple[np.ndarray,
 
 def _compared(frame: pd.DataFrame) -> pd.DataFrame:
     """One range: the hashes of each document that a document with a smaller id has too."""
-    found = [_unpacked(frame[frame["known"]])]
+    found = {False: [_unpacked(frame[frame["kind"] == KNOWN])], True: [_unpacked(frame[frame["kind"] == KNOWN_NAMELESS])]}
+    named, nameless = frame[frame["kind"] == NAMED], frame[frame["kind"] == NAMELESS]
     for turn in range(TURNS):
-        docs, hashes = _unpacked(frame[~frame["known"]], turn)
-        order = np.argsort(hashes, kind="stable")
+        parts = [_unpacked(named, turn), _unpacked(nameless, turn)]
+        docs, hashes = (np.concatenate(x) for x in zip(*parts))
+        missing = np.arange(len(docs)) >= len(parts[0][0])
+        order, _, later = _later(docs, missing, hashes)
+        for kind in found:
+            own = order[later & (missing[order] == kind)]
+            found[kind].append((docs[own], hashes[own]))
+    tables = []
+    for kind, parts in found.items():
+        docs, hashes = (np.concatenate(x) for x in zip(*parts))
+        order = np.argsort(docs, kind="stable")
         docs, hashes = docs[order], hashes[order]
-        new = np.flatnonzero(np.diff(hashes, prepend=~hashes[:1])) if len(hashes) else np.zeros(0, np.int64)
-        if len(new):
-            later = docs > np.repeat(np.minimum.reduceat(docs, new), np.diff(new, append=len(hashes)))
-            found.append((docs[later], hashes[later]))
-    docs, hashes = (np.concatenate(x) for x in zip(*found))
-    order = np.argsort(docs, kind="stable")
-    docs, hashes = docs[order], hashes[order]
-    edges = np.flatnonzero(np.diff(docs, prepend=~docs[:1], append=~docs[-1:])) if len(docs) else []
-    return pd.DataFrame({"id": docs[edges[:-1]] if len(docs) else docs,
-                         "hashes": [hashes[a:b].tobytes() for a, b in zip(edges, edges[1:])]})
+        edges = np.flatnonzero(np.diff(docs, prepend=~docs[:1], append=~docs[-1:])) if len(docs) else []
+        tables.append(pd.DataFrame({"id": docs[edges[:-1]] if len(docs) else docs, "nameless": kind,
+                                    "hashes": [hashes[a:b].tobytes() for a, b in zip(edges, edges[1:])]}))
+    return pd.concat(tables)
+
+
+def _key() -> Column:
+    return F.xxhash64("text")
 
 
 def repeated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(id, hashes): for a document, with null as the largest id, packed hashes of its windows that start earlier too.
+    """(id, nameless, hashes): for a document, packed hashes of its windows that start in an earlier one too.
 
-    Of a document there is a row for each range of hashes at most.
+    ``nameless`` are rows without a doc_id; their id is a hash of the text. Of a document there is a row for each range
+    of hashes at most.
     """
     ranges = max(RANGES, parts_for(docs, per_task=32 << 20))
-    sent = lean(docs, "doc_id", "text").mapInArrow(_sent(length, ranges), PACKED)
-    return sent.groupBy("range").applyInPandas(_compared, "id long, hashes binary")
+    sent = lean(docs, "doc_id", "text").withColumn("key", _key()).mapInArrow(_sent(length, ranges), PACKED)
+    return sent.repartition(ranges, "range").groupBy("range").applyInPandas(_compared, "id long, nameless boolean, hashes binary")
 
 
 def _cut(text: bytes, starts: np.ndarray, ends: np.ndarray, spans: list[tuple[int, int]]) -> str:
@@ -149,16 +176,18 @@ def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     ``kept_text`` keeps the white space between words that stay.
     """
-    plain = [f for f in docs.schema.fields if f.name not in RESULTS]
-    found = settled(repeated(docs, length)).groupBy("id").agg(F.collect_list("hashes").alias("_hashes"))
-    joined = lean(docs, *[f.name for f in plain]).join(found, F.coalesce(F.col("doc_id").cast("long"), F.lit(int(LAST))) == F.col("id"), "left").drop("id")
+    plain = [f for f in docs.schema.fields if f.name.lower() not in RESULTS]
+    own, nameless, held = free(docs, "_id", "_nameless", "_hashes")
+    found = settled(repeated(docs, length)).groupBy(F.col("id").alias(own), F.col("nameless").alias(nameless)).agg(F.collect_list("hashes").alias(held))
+    keyed = lean(docs, *[f.name for f in plain]).withColumns({own: F.coalesce(F.col("doc_id").cast("long"), _key()), nameless: F.col("doc_id").isNull()})
+    joined = keyed.join(found, [own, nameless], "left").drop(own, nameless)
     schema = T.StructType(plain + [T.StructField(k, v) for k, v in RESULTS.items()])
     arrow = [pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             texts, starts, ends, edges, hashes, at, rows = _hashed(batch, length)
-            marks = [b"".join(x) if x else b"" for x in batch.column("_hashes").to_pylist()]
+            marks = [b"".join(x) if x else b"" for x in batch.column(held).to_pylist()]
             wanted = np.frombuffer(b"".join(marks), U)
             of = np.repeat(np.arange(len(marks)), [len(x) // 8 for x in marks])
             own = lambda h, r: mix(h + r.astype(U) * CODES[0])

@@ -9,7 +9,8 @@ labelled bad documents less ``weight`` times the good ones is taken, the loosest
 than no rule, the signal has none there. Few labels certify nothing, so such a stratum has the fixed rules alone.
 
 Null texts have no words and fail the fixed rules. A null stratum is one of its own. Repeated rows are each
-measured and judged. Labels: of several for a document the worst counts, a null one does not. Other columns pass.
+measured and judged. Labels: of several for a document the worst counts, a null one does not. Other columns pass,
+those named like a result are replaced.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from rillframe.llm.store import lean, settled
+from rillframe.llm.store import free, lean, settled, unwrapped, wrapped
 from rillframe.llm.words import Texts, distinct, owners, slices
 
 SYMBOLS = np.isin(np.arange(256), list(b"#*$%&|<>"))
@@ -140,7 +141,8 @@ def cutoffs(measured: DataFrame, labels: DataFrame, stratum: str = "lang", risk:
     signals x (STEPS + 1) x 2 numbers, summed before the shuffle.
     """
     truth = labels.where(F.col("quality").isNotNull()).groupBy(F.col("doc_id").alias("_id")).agg(F.min("quality").alias("_good"))
-    judged = base(measured).where(~F.col("base_failed")).join(truth, F.col("doc_id") == F.col("_id"))
+    known = lean(measured, "doc_id", *COUNTS, *[stratum] * (stratum not in ("doc_id", *COUNTS)))
+    judged = base(known).where(~F.col("base_failed")).join(truth, F.col("doc_id") == F.col("_id"))
     bins = F.explode(F.array(*[
         F.struct(F.lit(name).alias("signal"), F.ceil(signal() * STEPS).cast("int").alias("bin")) for name, signal in SIGNALS.items()
     ]))
@@ -171,14 +173,16 @@ def base(measured: DataFrame) -> DataFrame:
     return measured.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
 
 
-def judge(measured: DataFrame, cuts: DataFrame, stratum: str = "lang") -> DataFrame:
+def judge(measured: DataFrame, cuts: DataFrame, stratum: str = "stratum") -> DataFrame:
     """Adds base_failed and kept: not base_failed, and no signal above its stratum's cutoff."""
-    cuts = cuts.withColumnRenamed("stratum", "_stratum")
-    joined = base(measured).join(cuts, F.col(f"`{stratum}`").cast("string").eqNullSafe(F.col("_stratum")), "left")
+    measured = base(measured)
+    of, given = free(measured, "_stratum", "_cuts")
+    cuts = cuts.select(F.col("stratum").alias(of), F.struct(*[f"cut_{name}" for name in SIGNALS]).alias(given))
+    joined = measured.join(cuts, F.col(f"`{stratum}`").cast("string").eqNullSafe(F.col(of)), "left")
     over = F.lit(False)
     for name, signal in SIGNALS.items():
-        over = over | F.coalesce(signal() > F.col(f"cut_{name}"), F.lit(False))
-    return joined.withColumn("kept", ~F.col("base_failed") & ~over).drop("_stratum")
+        over = over | F.coalesce(signal() > F.col(given)[f"cut_{name}"], F.lit(False))
+    return joined.withColumn("kept", ~F.col("base_failed") & ~over).drop(of, given)
 
 
 def verdicts(docs: DataFrame, labels: DataFrame, stratum: str = "lang", **options) -> DataFrame:
@@ -190,4 +194,5 @@ def verdicts(docs: DataFrame, labels: DataFrame, stratum: str = "lang", **option
 def passing(docs: DataFrame, labels: DataFrame, stratum: str = "lang", **options) -> DataFrame:
     """The rows of ``docs`` that are kept, all columns as they are. Texts are read twice and not moved."""
     cuts = settled(cutoffs(settled(measure(docs)), labels, stratum, **options))
-    return lean(judge(measure(docs, with_text=True), cuts, stratum).where("kept"), *docs.columns)
+    rows = wrapped(docs, "text").withColumn("stratum", F.col("text") if stratum == "text" else F.col("row").getField(stratum))
+    return unwrapped(judge(measure(rows, with_text=True), cuts).where("kept"), docs.columns, "text")

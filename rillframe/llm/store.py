@@ -15,7 +15,7 @@ from rillframe.session import settled, shared_dir
 TASK_BYTES = 32 * 1024 * 1024
 BATCH_SETTING, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
 
-__all__ = ["settled", "shared_dir", "new_folder", "put", "get", "parts_for", "lean", "few"]
+__all__ = ["settled", "shared_dir", "new_folder", "put", "get", "parts_for", "lean", "few", "free", "wrapped", "unwrapped"]
 
 
 def new_folder(spark: SparkSession, kind: str) -> str:
@@ -68,3 +68,24 @@ def lean(df: DataFrame, *columns: str) -> DataFrame:
 def few(df: DataFrame, rows: int = 500_000) -> DataFrame:
     """``df``, a written table of a few numbers a row, marked for broadcast if it has ``rows`` at most."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def free(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores in front as it takes to differ from all columns of ``df``."""
+    taken, found = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        found.append(name)
+    return found
+
+
+def wrapped(df: DataFrame, *shown: str) -> DataFrame:
+    """The columns ``shown``, and all others inside one column ``row``: nothing that is added can take their names."""
+    others = [F.col(f"`{c}`") for c in df.columns if c not in shown]
+    return df.select(*[F.col(f"`{c}`") for c in shown], F.struct(*others or [F.lit(None).cast("int").alias("none")]).alias("row"))
+
+
+def unwrapped(df: DataFrame, columns: list[str], *shown: str) -> DataFrame:
+    """The columns of a wrapped table again."""
+    return df.select(*[F.col(f"`{c}`") if c in shown else F.col("row").getField(c).alias(c) for c in columns])

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from rillframe.llm.store import few, lean, settled
+from rillframe.llm.store import few, free, lean, settled
 from rillframe.llm.words import CODES, U, Rolling, Texts, mix, owners, slices
 
 LENGTH = 400
@@ -156,17 +156,18 @@ def repeated(docs: DataFrame, length: int) -> DataFrame:
 
 def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``docs`` with n_bytes, n_removed, spans (maximal removed byte spans) and kept (the remaining bytes)."""
-    plain = [f for f in docs.schema.fields if f.name not in RESULTS]
-    keyed = lean(docs, *[f.name for f in plain]).withColumn("_key", F.xxhash64("doc_id", "text"))
+    plain = [f for f in docs.schema.fields if f.name.lower() not in RESULTS]
+    own, held = free(docs, "_key", "_marks")
+    keyed = lean(docs, *[f.name for f in plain]).withColumn(own, F.xxhash64("doc_id", "text"))
     marks = repeated(lean(docs, "doc_id", "text").select(F.xxhash64("doc_id", "text").alias("key"), "text"), length)
-    marks = settled(marks.groupBy("key").agg(F.collect_set(F.struct("start", "end")).alias("_marks"))).withColumnRenamed("key", "_key")
-    joined = keyed.join(marks, "_key", "left")
+    marks = settled(marks.groupBy("key").agg(F.collect_set(F.struct("start", "end")).alias("spans")))
+    joined = keyed.join(marks.select(F.col("key").alias(own), F.col("spans").alias(held)), own, "left").drop(own)
     arrow = [pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             texts = Texts(batch.column("text"))
-            marks = batch.column("_marks").fill_null([]) if batch.column("_marks").null_count else batch.column("_marks")
+            marks = batch.column(held).fill_null([]) if batch.column(held).null_count else batch.column(held)
             row = owners(np.concatenate([[0], np.cumsum(marks.value_lengths().to_numpy())]))
             start, end = (f.to_numpy() + texts.edges[row] for f in marks.flatten().flatten())
             size = len(texts.data)

@@ -3,7 +3,8 @@
 Documents are dealt to tasks by ranges of doc_id and sorted there; each task encodes its texts and writes one shard
 to the shared folder. A shard holds, little-endian:
 
-    header   7 numbers of 64 bits: MAGIC, keys n, ids m, index levels v, bits of all levels b, bytes of an id w, one spare
+    header   7 numbers of 64 bits: MAGIC, keys n, ids m, index levels v, bits of all levels b, bytes of an id w, and how
+             many of the last documents have no doc_id
     ids      m numbers of w bytes (2 if every id of the vocabulary fits, else 4), documents in ascending doc_id order
     levels   v numbers of 64 bits: bits of each index level
     bits     b bits, levels one after another, padded to 64 bits each
@@ -16,7 +17,7 @@ that bit's rank is its slot (n keys, n slots, no key stored for a look-up). The
 apart (one in 2**32 passes). A look-up reads a bit in a few levels, a print and a pair of bounds, whatever n is.
 
 A key is made from doc_id and how many rows of the shard with that doc_id come before, so repeated rows, also with a
-null doc_id (they come last), keep an entry each. A null text is empty. The manifest has a row for each shard.
+null doc_id (they come last, under the greatest id), keep an entry each. A null text is empty. The manifest has a row for each shard.
 """
 
 from __future__ import annotations
@@ -103,11 +104,11 @@ class Index:
         return out
 
 
-def write_shard(path: str, doc_ids: np.ndarray, ids: list[np.ndarray], width: int = 4) -> int:
-    """Write documents that are in ascending order of id; the number of ids."""
+def write_shard(path: str, doc_ids: np.ndarray, ids: list[np.ndarray], width: int = 4, nameless: int = 0) -> int:
+    """Write documents that are in ascending order of id, the last ``nameless`` without one; the number of ids."""
     keys, sizes = keys_of(doc_ids), np.array([len(x) for x in ids], np.int64)
     index = Index.build(keys, np.stack([np.cumsum(sizes) - sizes, sizes], 1) if len(ids) else np.zeros((0, 2), np.int64))
-    header = np.array([MAGIC, len(keys), sizes.sum(), len(index.sizes), index.sizes.sum(), width, 0], np.int64)
+    header = np.array([MAGIC, len(keys), sizes.sum(), len(index.sizes), index.sizes.sum(), width, nameless], np.int64)
     kind = np.dtype(f"<u{width}")
     parts = [[header], (x.astype(kind) for x in ids), [index.sizes], [index.bits], [index.prints], [index.bounds], [doc_ids]]
     put(path, (piece for part in parts for piece in _padded(part)))
@@ -127,7 +128,7 @@ class Shard:
 
     def __init__(self, path: str):
         buffer = get(path)
-        magic, n, m, levels, bits, width, _ = np.frombuffer(buffer, np.int64, 7).tolist()
+        magic, n, m, levels, bits, width, self.nameless = np.frombuffer(buffer, np.int64, 7).tolist()
         if magic != MAGIC:
             raise ValueError(f"{path} is no shard")
         at = 56
@@ -145,7 +146,7 @@ class Shard:
     def __getitem__(self, key: int) -> np.ndarray:
         """The ids of the first document with this doc_id."""
         start, size = self.index.find(keys_of(np.array([key], np.int64)))[0]
-        if start < 0:
+        if start < 0 or key == NULL_ID and NULL_ID not in self.doc_ids[:len(self.doc_ids) - self.nameless][-1:]:
             raise KeyError(key)
         return self.ids[start:start + size].astype(np.uint32)
 
@@ -154,21 +155,23 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, folder: str | None = Non
     """Write all documents; the manifest, one row for each shard in ascending order."""
     folder = folder or new_folder(docs.sparkSession, "ids")
     order = F.coalesce(F.col("doc_id").cast("long"), F.lit(int(NULL_ID)))
-    keyed = lean(docs, "doc_id", "text").select(order.alias("_key"), "text")
-    spread = keyed.repartitionByRange(parts_for(docs), "_key", F.xxhash64("text")).sortWithinPartitions("_key", F.xxhash64("text"))
+    keyed = lean(docs, "doc_id", "text").select(order.alias("_key"), F.col("doc_id").isNull().alias("_nameless"), "text")
+    place = ["_key", "_nameless", F.xxhash64("text")]
+    spread = keyed.repartitionByRange(parts_for(docs), *place).sortWithinPartitions(*place)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         shard, own, end = TaskContext.get().partitionId(), encoder(tokenizer), np.array([end_id])
         width = 2 if max(own.library.get_vocab_size(with_added_tokens=True), end_id + 1) <= 1 << 16 else 4
-        keys, ids = [], []
+        keys, ids, nameless = [], [], 0
         for batch in slices(batches):
+            nameless += batch.column("_nameless").true_count
             keys.append(batch.column("_key").to_numpy())
             ids += [np.append(x, end).astype(f"<u{width}") for x in own.encode(batch.column("text").to_pylist())]
         if keys:
             doc_ids, path = np.concatenate(keys), f"{folder}/shard-{shard:08d}.ids"
-            total = write_shard(path, doc_ids, ids, width)
+            total = write_shard(path, doc_ids, ids, width, nameless)
             row = {"shard": shard, "path": path, "docs": len(ids), "ids": total, "last_key": int(doc_ids[-1])}
             yield pa.RecordBatch.from_pylist([row], schema=pa.schema([("shard", pa.int32()), ("path", pa.string()), ("docs", pa.int64()), ("ids", pa.int64()), ("last_key", pa.int64())]))
 
@@ -192,7 +195,7 @@ def read(manifest: DataFrame) -> DataFrame:
                 if (bounds < 0).any():
                     raise ValueError(f"{row['path']}: a key is not found")
                 crcs = [zlib.crc32(shard.ids[a:a + n].astype("<u4").tobytes()) for a, n in bounds.tolist()]
-                keys = pa.array(shard.doc_ids, mask=shard.doc_ids == NULL_ID)
+                keys = pa.array(shard.doc_ids, mask=np.arange(len(shard.doc_ids)) >= len(shard.doc_ids) - shard.nameless)
                 yield pa.RecordBatch.from_arrays([keys, pa.array(bounds[:, 0] + row["before"]), pa.array(bounds[:, 1]), pa.array(crcs, pa.int64())], schema=schema)
 
     parts = max(1, int(manifest.count()))

@@ -54,7 +54,7 @@ def test_cutoffs_keep_their_promise(spark):
     # the bad are all in the null stratum: i even
     assert cuts[None].cut_symbols is not None and 0.3 < cuts[None].cut_symbols < 0.6
     assert cuts["xx"].cut_symbols is None and cuts[None].cut_repeats is None
-    judged = quality.judge(measured, spark.createDataFrame([tuple(r) for r in cuts.values()], "stratum string, " + ", ".join(f"cut_{s} double" for s in quality.SIGNALS)))
+    judged = quality.judge(measured, spark.createDataFrame([tuple(r) for r in cuts.values()], "stratum string, " + ", ".join(f"cut_{s} double" for s in quality.SIGNALS)), "lang")
     kept = judged.groupBy((F.col("doc_id") % 6 == 0).alias("bad"), "kept").count().collect()
     assert {(r.bad, r.kept) for r in kept} == {(True, False), (False, True)}
 
