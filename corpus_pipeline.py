@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rillframe.llm import langid, neardup, packing, passages, quality
-from rillframe.llm.store import lean, settled
+from rillframe.llm.store import settled, unwrapped, wrapped
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 1
@@ -23,7 +23,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go: no letters, or far from every centroid that the labelled documents give, if any is labelled."""
-    return lean(langid.predict(docs, langid.fit(docs)).where("NOT rejected"), *docs.columns)
+    return unwrapped(langid.predict(wrapped(docs, "text"), langid.fit(docs)).where("NOT rejected"), docs.columns, "text")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,10 +36,12 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     A document with no word left goes; one that had none to begin with stays.
     """
-    found = passages.removals(docs, 50).where("n_words = 0 OR n_removed < n_words")
+    shown = ["doc_id", "text", *["n_chars"] * ("n_chars" in docs.columns)]
+    found = passages.removals(wrapped(docs, *shown), 50).where("n_words = 0 OR n_removed < n_words")
     changed = F.col("n_removed") > 0
-    found = found.withColumn("n_chars", F.when(changed, F.char_length("kept_text").cast("long")).otherwise(F.col("n_chars")))
-    return lean(found.withColumn("text", F.col("kept_text")), *docs.columns)
+    if "n_chars" in shown:
+        found = found.withColumn("n_chars", F.when(changed, F.char_length("kept_text").cast("long")).otherwise(F.col("n_chars")))
+    return unwrapped(found.withColumn("text", F.col("kept_text")), docs.columns, *shown)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
