@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rillframe.functions import text, values
 from rillframe.operators import (
-    basic, combine, enrich, fanout, faults, feedback, masking, measure, rates, segments,
+    basic, combine, enrich, fanout, faults, feedback, masking, measure, rates, segments, steps,
 )
 from rillframe.plans import Lineup
 from rillframe.session import fit_shuffles, pin
@@ -171,6 +171,22 @@ def scan_global(spark, folder):
     return segments.scan(rows, [], IN_ORDER, F.col("v")).select("place", "event_id", "running")
 
 
+CHECKSUM = dict(seed=7, modulus=1_000_003)  # x -> 31 x + cents
+
+
+@query
+def scan_affine(spark, folder):
+    rows = events(spark, folder).select("user_id", "ts", "event_id", "v")
+    out = steps.scan(rows, ["user_id"], IN_ORDER, steps.affine(F.lit(31), F.col("v"), **CHECKSUM))
+    return steps.with_seed(out, ["user_id"], "running", CHECKSUM["seed"]).select("user_id", "place", "event_id", "running")
+
+
+@query
+def fold_affine(spark, folder):
+    rows = events(spark, folder).select("user_id", "ts", "event_id", "v")
+    return steps.fold(rows, ["user_id"], IN_ORDER, steps.affine(F.lit(31), F.col("v"), **CHECKSUM), "checksum")
+
+
 # Groups, segments, batches
 
 

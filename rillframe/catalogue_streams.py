@@ -10,13 +10,14 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from rillframe.catalogue import query
+from rillframe.catalogue import BAD, HOUR, IN_ORDER, query
 from rillframe.functions import values
-from rillframe.session import STATE_STORE, shared_dir
+from rillframe.session import STATE_STORE, own, shared_dir
 from rillframe.sources import topics
 from rillframe.sources.tables import SCHEMAS, table
-from rillframe.operators import segments
+from rillframe.operators import rates, steps
 from rillframe.streaming import closed, ingest, sinks
+from rillframe.streaming.carried import Carried
 
 
 def _stream(spark, folder, name):
@@ -25,12 +26,13 @@ def _stream(spark, folder, name):
 
 
 def _place(spark):
-    return f"{shared_dir(spark)}/streams/{uuid.uuid4().hex}"
+    return own(f"{shared_dir(spark)}/streams/{uuid.uuid4().hex}")
 
 
 def _events(spark, folder):
     rows = _stream(spark, folder, "events")
-    return rows.select("event_id", "ts", "user_id", "event_type", values.cents(F.col("value")).alias("v"))
+    return rows.select("event_id", "ts", "user_id", "event_type", values.cents(F.col("value")).alias("v"),
+                       F.get_json_object("props", "$.k").cast("int").alias("k"))
 
 
 @query
@@ -71,8 +73,49 @@ def conflate_stream(spark, folder):
     return bursts.result(spark).select("user_id", F.col("day").cast("string").alias("day"), "description", "instances")
 
 
+def _carried(spark, folder, step, extra=()):
+    """The events as a stream into a scan by user that is kept by days."""
+    rows = _events(spark, folder).withColumn("day", values.day(F.col("ts"))).select("user_id", "day", *IN_ORDER, *extra)
+    made = Carried(_place(spark), rows.schema, ["user_id"], IN_ORDER, "day", step, buckets=2)
+    return made.run(rows)
+
+
 @query
 def scan_stream(spark, folder):
-    rows = _events(spark, folder).select("user_id", "ts", "event_id", "v")
-    landed = sinks.landed(rows, _place(spark))
-    return segments.scan(landed, ["user_id"], ["ts", "event_id"], F.col("v")).select("user_id", "place", "event_id", "running")
+    out = _carried(spark, folder, steps.total(F.col("v")), ["v"]).result(spark)
+    return steps.with_seed(out, ["user_id"], "running", 0).select("user_id", "place", "event_id", "running")
+
+
+@query
+def split_stream(spark, folder):
+    opens = steps.total((F.col("event_type") == "signup").cast("bigint"))
+    out = _carried(spark, folder, opens, ["event_type"]).result(spark, "segment")
+    return out.groupBy("user_id", "segment").agg(F.count_if(F.col("event_type") != "signup").alias("rows"))
+
+
+@query
+def restart_stream(spark, folder):
+    made = _carried(spark, folder, steps.restarted(F.expr(BAD), F.col("v")), ["v", "k"])
+    rows = made.composed(spark).filter(~F.expr(BAD))
+    return rows.select("user_id", "event_id", F.col("_epoch").alias("epoch"), F.col("_sum").alias("running"))
+
+
+@query
+def batch_stream(spark, folder):
+    out = _carried(spark, folder, steps.total(F.lit(0))).result(spark)
+    return closed.batches(out, ["user_id"], "place", 10, "event_id", ended=True).select(
+        "user_id", "batch", "size", F.concat_ws(",", F.col("items").cast("array<string>")).alias("ids"))
+
+
+@query
+def throttle_stream(spark, folder):
+    made = _carried(spark, folder, steps.spaced(values.micros(F.col("ts")), HOUR))
+    return made.result(spark, "release").select("user_id", "event_id", "release")
+
+
+@query
+def extrapolate_stream(spark, folder):
+    made = _carried(spark, folder, closed.latest(F.col("v")), ["v"])
+    days = made.totals(spark).select("user_id", "day", closed.LATEST)
+    out = rates.expand(days, ["user_id"], ["day"], F.unix_date("day"), F.col(closed.LATEST))
+    return out.withColumn("day", F.date_from_unix_date(F.col("tick").cast("int")).cast("string")).drop("tick", "since")

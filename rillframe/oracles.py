@@ -213,4 +213,26 @@ walk(kind, node, hops) AS (
 SELECT kind, node, min(hops) AS hops FROM walk GROUP BY kind, node""",
 }
 
-ORACLES |= {"conflate_stream": ORACLES["conflate"], "scan_stream": ORACLES["scan_user"]}
+ORACLES |= {"conflate_stream": ORACLES["conflate"], "scan_stream": ORACLES["scan_user"], "restart_stream": ORACLES["restart_scan"],
+            "batch_stream": ORACLES["batch_n"], "throttle_stream": ORACLES["throttle"], "extrapolate_stream": ORACLES["extrapolate"]}
+ORACLES["split_stream"] = f"""{EV}, s AS (
+  SELECT user_id, event_type, CAST(sum(CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END)
+         OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS segment FROM ev)
+SELECT user_id, segment, count(*) FILTER (WHERE event_type <> 'signup') AS rows FROM s GROUP BY user_id, segment"""
+
+ORACLES["scan_affine"] = f"""{EV.replace("WITH", "WITH RECURSIVE", 1)}, numbered AS (
+  SELECT user_id, event_id, v, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS place FROM ev),
+walk(user_id, place, event_id, running) AS (
+  SELECT DISTINCT user_id, CAST(0 AS BIGINT), CAST(NULL AS BIGINT), CAST(7 AS BIGINT) FROM ev
+  UNION ALL
+  SELECT n.user_id, n.place, n.event_id, (w.running * 31 + n.v) % 1000003 FROM walk w
+  JOIN numbered n ON n.user_id = w.user_id AND n.place = w.place + 1)
+SELECT user_id, place, event_id, running FROM walk"""
+ORACLES["fold_affine"] = f"""{EV.replace("WITH", "WITH RECURSIVE", 1)}, numbered AS (
+  SELECT user_id, v, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS place FROM ev),
+walk(user_id, place, running) AS (
+  SELECT DISTINCT user_id, CAST(0 AS BIGINT), CAST(7 AS BIGINT) FROM ev
+  UNION ALL
+  SELECT n.user_id, n.place, (w.running * 31 + n.v) % 1000003 FROM walk w
+  JOIN numbered n ON n.user_id = w.user_id AND n.place = w.place + 1)
+SELECT user_id, arg_max(running, place) AS checksum FROM walk GROUP BY user_id"""

@@ -81,11 +81,22 @@ def exists(spark: SparkSession, address: str) -> bool:
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
+def remove(spark: SparkSession, address: str) -> None:
+    """Delete a file or folder with all that is in it, if it is there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(address)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def own(address: str) -> str:
+    """Enter a folder of this process for ``forget``; gives it back."""
+    _SETTLED.append(address)
+    return address
+
+
 def forget(spark: SparkSession) -> None:
-    """Delete what this process has settled so far; results that still read it must be written before."""
+    """Delete what this process has written to the shared folder; results that still read it must be written before."""
     while _SETTLED:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_SETTLED.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        remove(spark, _SETTLED.pop())
 
 
 def settled(df: DataFrame) -> DataFrame:
@@ -94,7 +105,6 @@ def settled(df: DataFrame) -> DataFrame:
     A lost executor then re-reads files instead of recomputing all earlier
     steps, and the planner knows the size of the result.
     """
-    path = f"{shared_dir(df.sparkSession)}/settled/{uuid.uuid4().hex}"
+    path = own(f"{shared_dir(df.sparkSession)}/settled/{uuid.uuid4().hex}")
     df.write.parquet(path)
-    _SETTLED.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

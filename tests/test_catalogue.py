@@ -29,7 +29,7 @@ def test_query_matches_sql(spark, con, name):
 
 
 ORDERED = """with_seq scan_user scan_global batch_n split_when zip_tables max3 concat merge_preferred balance
-balance_mxn throttle shed_drop_tail shed_drop_buffer restart_scan scan_max scan_by_text""".split()
+balance_mxn throttle shed_drop_tail shed_drop_buffer restart_scan scan_max scan_by_text scan_affine fold_affine""".split()
 
 
 @pytest.mark.parametrize("name", ORDERED)
