@@ -1,0 +1,233 @@
+"""Associative steps against plain loops, and scans that micro-batches keep up to date."""
+
+import random
+from functools import reduce
+
+import pytest
+from pyspark.sql import functions as F
+
+from rillframe.catalogue import events
+from rillframe.operators import faults, rates, segments, steps
+from rillframe.streaming import closed, ingest, sinks
+from rillframe.streaming.carried import Carried
+
+FOLDER = "/root/testdata/sf0.001"
+IN_ORDER = ["ts", "event_id"]
+ROWS = "user_id bigint, day date, ts timestamp_ntz, event_id bigint, v bigint, k int, event_type string"
+
+
+@pytest.fixture(autouse=True)
+def few_partitions(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+# Steps
+
+
+def given(spark):
+    """Skewed groups, a NULL group and NULL values."""
+    draw = random.Random(5)
+    rows = [(draw.choice(["a"] * 30 + ["b", "c", None]), i * 7919 % 1009, draw.choice([None, *range(-50, 50)]), draw.random() < 0.05) for i in range(1000)]
+    return rows, spark.createDataFrame(rows, "g string, t int, v int, bad boolean").repartition(5)
+
+
+def groups(rows):
+    out = {}
+    for g, t, v, bad in sorted(rows, key=lambda r: r[1]):
+        out.setdefault(g, []).append((t, v, bad))
+    return out
+
+
+STEPS = {
+    "affine": (lambda: steps.affine(F.coalesce("v", F.lit(3)), F.col("t"), 11, 9973), 11, lambda x, t, v, bad: ((3 if v is None else v) * x + t) % 9973),
+    "total": (lambda: steps.total(F.col("v"), 4), 4, lambda x, t, v, bad: x + (v or 0)),
+    "spaced": (lambda: steps.spaced(F.col("t"), 3), -10**9, lambda x, t, v, bad: max(x + 3, t)),
+    "restarted": (lambda: steps.restarted(F.col("bad"), F.col("v")), 0, lambda x, t, v, bad: 0 if bad else x + (v or 0)),
+}
+
+
+@pytest.mark.parametrize("limit", ["4", "60", "4000000"])
+@pytest.mark.parametrize("name", STEPS)
+def test_steps_are_plain_loops(spark, name, limit):
+    """Cut into slices of a few rows or not at all, in Arrow batches of a few rows or many."""
+    rows, df = given(spark)
+    make, seed, one = STEPS[name]
+    spark.conf.set("rillframe.sliceRows", limit)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7" if limit == "60" else "10000")
+    try:
+        scanned = {(r.g, r.t): (r.place, r.running) for r in steps.scan(df, ["g"], ["t"], make()).collect()}
+        folded = {r.g: r.value for r in steps.fold(df, ["g"], ["t"], make()).collect()}
+        whole = steps.fold(df, [], ["t"], make()).collect()[0].value
+    finally:
+        spark.conf.unset("rillframe.sliceRows")
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    want, last = {}, {}
+    for g, members in groups(rows).items():
+        x = seed
+        for place, (t, v, bad) in enumerate(members, 1):
+            x = one(x, t, v, bad)
+            want[g, t] = (place, x)
+        last[g] = x
+    assert scanned == want and folded == last
+    everything = sorted((t, v, bad) for _, t, v, bad in rows)
+    assert whole == reduce(lambda x, r: one(x, *r), everything, seed)
+
+
+def test_steps_of_nothing(spark):
+    empty = given(spark)[1].limit(0)
+    for make, _, _ in STEPS.values():
+        assert steps.scan(empty, ["g"], ["t"], make()).count() == 0 and steps.fold(empty, ["g"], ["t"], make()).count() == 0
+
+
+def test_a_step_moves_rows_once(spark):
+    _, df = given(spark)
+    plan = steps.scan(df, ["g"], ["t"], steps.total(F.col("v")))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(g") == 1 and "SinglePartition" not in plan
+
+
+# Streams
+
+
+@pytest.fixture(scope="module")
+def rows(spark):
+    return events(spark, FOLDER).filter("user_id < 4").select(*[c.split()[0] for c in ROWS.split(", ")]).persist()
+
+
+@pytest.fixture(scope="module")
+def files(spark, rows, tmp_path_factory):
+    """The rows in files that each hold rows of all days, in no order."""
+    folder = f"{tmp_path_factory.mktemp('landing')}/files"
+    rows.repartition(3, F.hash("event_id")).write.parquet(folder)
+    return folder
+
+
+def bag(df, *names):
+    return sorted(map(str, df.select(*names).collect()))
+
+
+def carried(folder, rows, step, buckets=2):
+    return Carried(str(folder), rows.schema, ["user_id"], IN_ORDER, "day", step, buckets)
+
+
+def run(spark, files, folder, rows, step):
+    return carried(folder, rows, step).run(ingest.landing(spark, files, ROWS, files_per_batch=1))
+
+
+def test_scan_is_complete_after_every_micro_batch(spark, rows, files, tmp_path):
+    parts = [spark.read.schema(ROWS).parquet(f) for f in spark.read.parquet(files).inputFiles()]
+    made = carried(tmp_path, rows, steps.total(F.col("v")))
+    for number, part in enumerate(parts):
+        made.write(part, number)
+        so_far = reduce(lambda a, b: a.union(b), parts[:number + 1])
+        want = segments.scan(so_far, ["user_id"], IN_ORDER, F.col("v")).filter("place > 0")
+        assert bag(made.result(spark), "user_id", "place", "event_id", "running") == bag(want, "user_id", "place", "event_id", "running")
+        touched = part.select("user_id", "day").distinct()
+        seen = made.changes(spark, number)
+        assert bag(seen.join(touched, ["user_id", "day"]), "user_id", "place", "event_id", "running") == bag(want.join(touched, ["user_id", "day"]), "user_id", "place", "event_id", "running")
+    size = len(list(tmp_path.glob("cells/*/*/*/*.parquet")))
+    made.vacuum(spark)
+    assert len(list(tmp_path.glob("cells/*/*/*/*.parquet"))) < size
+    assert bag(made.result(spark), "user_id", "place", "event_id", "running") == bag(want, "user_id", "place", "event_id", "running")
+
+
+def test_a_late_row_costs_its_day(spark, rows, tmp_path):
+    """Cells of other days are not even read: they are unreadable while the late rows come."""
+    made = carried(tmp_path, rows, steps.total(F.col("v")))
+    late = rows.filter("dayofmonth(day) = 9")
+    assert late.count()
+    made.write(rows.filter("dayofmonth(day) <> 9"), 0)
+    kept = {f: f.read_bytes() for f in tmp_path.glob("cells/*/*/*/*.parquet")}
+    for f in kept:
+        f.write_bytes(b"no parquet")
+        f.with_name(f".{f.name}.crc").unlink(missing_ok=True)
+    made.write(late, 1)
+    for f, data in kept.items():
+        f.write_bytes(data)
+    days = {f.parent.parent.name for f in tmp_path.glob("cells/_version=1/*/*/*.parquet")}
+    assert days == {"day=2024-01-09"}
+    want = segments.scan(rows, ["user_id"], IN_ORDER, F.col("v")).filter("place > 0")
+    assert bag(made.result(spark), "user_id", "place", "event_id", "running") == bag(want, "user_id", "place", "event_id", "running")
+
+
+def test_a_batch_that_comes_again_counts_once(spark, rows, tmp_path):
+    made = carried(tmp_path, rows, steps.total(F.col("v")))
+    first, second = rows.filter("event_id % 2 = 0"), rows.filter("event_id % 2 = 1")
+    made.write(first, 0)
+    made.write(first, 0)  # committed: skipped
+
+    class Lost(Exception):
+        pass
+
+    class Failing(Carried):
+        def write(self, batch, version):
+            super().write(batch, version)
+            for f in tmp_path.glob(f"commits/_version={version}/*"):
+                f.unlink()  # all is written, the commit is lost
+            raise Lost
+
+    broken = Failing(str(tmp_path), rows.schema, ["user_id"], IN_ORDER, "day", steps.total(F.col("v")), 2)
+    with pytest.raises(Lost):
+        broken.write(second, 1)
+    assert made.result(spark).count() == first.count()
+    made.write(second, 1)
+    want = segments.scan(rows, ["user_id"], IN_ORDER, F.col("v")).filter("place > 0")
+    assert bag(made.result(spark), "user_id", "place", "event_id", "running") == bag(want, "user_id", "place", "event_id", "running")
+
+
+def test_split_restart_stop_and_recover(spark, rows, files, tmp_path):
+    opens = run(spark, files, tmp_path / "a", rows, steps.total((F.col("event_type") == "signup").cast("bigint"))).result(spark, "segment")
+    want = segments.split_when(rows, ["user_id"], IN_ORDER, F.col("event_type") == "signup")
+    assert bag(opens, "user_id", "event_id", "segment") == bag(want, "user_id", "event_id", "segment")
+    bad = F.col("k") < 20
+    made = run(spark, files, tmp_path / "b", rows, steps.restarted(bad, F.col("v"))).composed(spark)
+    want = faults.restart_scan(rows, ["user_id"], IN_ORDER, bad, F.col("v"))
+    assert bag(made.filter(~bad), "user_id", "event_id", "_epoch", "_sum") == bag(want.withColumnsRenamed({"epoch": "_epoch", "running": "_sum"}), "user_id", "event_id", "_epoch", "_sum")
+    assert bag(made.filter("_epoch = 0"), "user_id", "event_id", "v") == bag(faults.stop(rows, ["user_id"], IN_ORDER, bad), "user_id", "event_id", "v")
+    ends = made.filter((F.col("_epoch") == 0) | ((F.col("_epoch") == 1) & bad)).withColumn("v", F.when(bad, F.lit(-1)).otherwise(F.col("v")))
+    assert bag(ends, "user_id", "event_id", "v") == bag(faults.recover(rows, ["user_id"], IN_ORDER, bad, {"v": F.lit(-1)}), "user_id", "event_id", "v")
+
+
+def test_batches_with_a_short_last_one(spark, rows, files, tmp_path):
+    made = run(spark, files, tmp_path, rows, steps.total(F.lit(0))).result(spark)
+    want = segments.batches(rows, ["user_id"], IN_ORDER, 7, "event_id")
+    ended = closed.batches(made, ["user_id"], "place", 7, "event_id", ended=True)
+    assert bag(ended, "user_id", "batch", "size", "items") == bag(want, "user_id", "batch", "size", "items")
+    still = closed.batches(made, ["user_id"], "place", 7, "event_id", ended=False)
+    assert bag(still, "user_id", "batch", "size", "items") == bag(want.filter("size = 7"), "user_id", "batch", "size", "items") != bag(want, "user_id", "batch", "size", "items")
+
+
+def test_throttle(spark, rows, files, tmp_path):
+    gap = 36_000_000_000
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    got = run(spark, files, tmp_path, rows, steps.spaced(micros, gap)).result(spark, "release")
+    want = rates.throttle(rows, ["user_id"], IN_ORDER, micros, 1, gap)
+    assert bag(got, "user_id", "event_id", "release") == bag(want, "user_id", "event_id", "release")
+
+
+@pytest.mark.parametrize("policy", ["drop_head", "drop_tail", "drop_new", "drop_buffer"])
+def test_buffers_of_a_stream(spark, rows, files, tmp_path, policy):
+    made = run(spark, files, tmp_path, rows, steps.total(F.lit(0))).result(spark)
+    got = rates.shed(made, ["user_id", "day"], IN_ORDER, 2, policy)
+    assert bag(got, "user_id", "day", "event_id") == bag(rates.shed(rows, ["user_id", "day"], IN_ORDER, 2, policy), "user_id", "day", "event_id")
+
+
+def test_gaps_are_filled_from_the_table_of_last_values(spark, rows, files, tmp_path):
+    made = run(spark, files, tmp_path, rows, closed.latest(F.when(F.col("k") > 3, F.col("v"))))
+    days = made.totals(spark).filter("_known").select("user_id", "day", closed.LATEST)
+    got = rates.expand(days, ["user_id"], ["day"], F.unix_date("day"), F.col(closed.LATEST))
+    want = rates.expand(rows.filter("k > 3"), ["user_id"], IN_ORDER, F.unix_date("day"), F.col("v"))
+    assert bag(got, "user_id", "tick", "value", "since", "synthetic") == bag(want, "user_id", "tick", "value", "since", "synthetic")
+
+
+def test_days_are_dates_or_whole_numbers(spark, rows, tmp_path):
+    with pytest.raises(TypeError, match="date"):
+        Carried(str(tmp_path), rows.schema, ["user_id"], IN_ORDER, "event_type", steps.total(F.col("v")))
+    assert carried(tmp_path, rows, steps.total(F.col("v"))).result(spark).count() == 0
+
+
+def test_take_until(spark, rows, files, tmp_path):
+    """A cut that several streams share ends them together."""
+    cut = ingest.landing(spark, files, ROWS).filter("ts < timestamp_ntz'2024-01-12 00:00:00'").select("event_id")
+    assert sinks.landed(cut, str(tmp_path)).count() == rows.filter(F.dayofmonth("ts") < 12).count()

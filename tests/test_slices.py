@@ -77,18 +77,17 @@ def test_throttle_restart_split(tiny_slices, by):
 @pytest.mark.parametrize("policy", ["drop_head", "drop_tail", "drop_new", "drop_buffer"])
 @pytest.mark.parametrize("limited", [True, False])
 def test_shed_like_a_buffer(tiny_slices, monkeypatch, policy, limited):
-    from rillframe.streaming.folds import shed
-
     if not limited:
         monkeypatch.setattr(rates, "GROUP_LIMIT", 0)
     data, df = skewed(tiny_slices, 7)
-    fold = shed(3, policy, "id", lambda row: 0)
+    full = {"drop_head": lambda kept, new: [*kept[1:], new], "drop_tail": lambda kept, new: [*kept[:-1], new],
+            "drop_new": lambda kept, new: kept, "drop_buffer": lambda kept, new: [new]}[policy]
     want = set()
     for rows in groups(data, ["k"]).values():
-        state = fold.start
+        kept = []
         for row in rows:
-            state, _ = fold.step(state, {"id": row[2]})
-        want |= {i for (i,) in fold.finish(state)}
+            kept = [*kept, row[2]] if len(kept) < 3 else full(kept, row[2])
+        want |= set(kept)
     assert {r.id for r in rates.shed(df, ["k"], ["t", "id"], 3, policy).collect()} == want
 
 

@@ -1,6 +1,5 @@
 """Streams give what the table operators give, over several micro-batches and after restarts."""
 
-import datetime as dt
 import time
 
 import pytest
@@ -8,14 +7,11 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from rillframe.catalogue import events
-from rillframe.operators import faults, rates, segments
 from rillframe.sources import topics
-from rillframe.streaming import folds, ingest, sinks
-from rillframe.streaming.stateful import fold_stream
+from rillframe.streaming import ingest, sinks
 
 EVENTS = "/root/testdata/sf0.001"
 SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, v bigint, k int, day date, event_type string"
-IN_ORDER = ["ts", "event_id"]
 
 
 @pytest.fixture(autouse=True)
@@ -27,7 +23,7 @@ def few_partitions(spark):
 
 @pytest.fixture(scope="module")
 def rows(spark):
-    """A few users' events; their last hour is never released by the watermark."""
+    """A few users' events."""
     return events(spark, EVENTS).filter("user_id < 6").persist()
 
 
@@ -41,112 +37,10 @@ def files(spark, rows, tmp_path_factory):
     return folder
 
 
-@pytest.fixture(scope="module")
-def passed(rows):
-    mark = rows.agg(F.max("ts")).collect()[0][0] - dt.timedelta(hours=1)
-    mark = mark.replace(microsecond=mark.microsecond // 1000 * 1000)
-    return rows.filter(F.col("ts") <= F.lit(mark).cast("timestamp_ntz")), mark
-
-
-def stream(spark, files):
-    rows = ingest.landing(spark, files, SCHEMA, files_per_batch=1).withColumn("bad", F.col("k") < 20)
-    rows = rows.withColumn("opens", F.col("event_type") == "signup").withColumn("tick", F.unix_date("day").cast("bigint"))
-    return ingest.timed(rows, "ts", "1 hour")
-
-
-def landed(spark, out, folder):
-    sinks.land(out, f"{folder}/rows", f"{folder}/checkpoint")
-    return spark.read.schema(out.schema).parquet(f"{folder}/rows")
-
-
 def bag(df, *names):
     return sorted(tuple(r) for r in df.select(*names).collect())
 
 
-def test_scan_over_batches_and_a_restart(spark, files, passed, tmp_path):
-    first = f"{tmp_path}/in"
-    names = spark.read.parquet(files).select(F.input_file_name().alias("f"), "ts").groupBy("f").agg(
-        F.min("ts").alias("t")).orderBy("t").collect()
-    for name in names:
-        part = spark.read.schema(SCHEMA).parquet(name.f)
-        part.coalesce(1).write.mode("append").parquet(first)
-        out = fold_stream(stream(spark, first).select("user_id", "ts", "event_id", "v"), ["user_id"], "ts",
-                          "event_id", folds.scan("v", "event_id"))
-        seen = landed(spark, out, str(tmp_path))
-    want = segments.scan(passed[0].select("user_id", "ts", "event_id", "v"), ["user_id"], IN_ORDER, F.col("v"))
-    key = F.coalesce("event_id", F.lit(-1))
-    assert bag(seen.withColumn("event_id", F.coalesce("id", F.lit(-1))), "user_id", "place", "event_id", "running") == \
-        bag(want.withColumn("event_id", key), "user_id", "place", "event_id", "running")
-
-
-def run_fold(spark, files, tmp_path, fold, by=("user_id",)):
-    return landed(spark, fold_stream(stream(spark, files), list(by), "ts", "event_id", fold), str(tmp_path))
-
-
-def test_split_when(spark, files, passed, tmp_path):
-    got = run_fold(spark, files, tmp_path, folds.split_when("opens", "event_id"))
-    want = segments.split_when(passed[0], ["user_id"], IN_ORDER, F.col("event_type") == "signup")
-    assert bag(got, "user_id", "id", "segment", "opener") == bag(want, "user_id", "event_id", "segment", "opener")
-
-
-def test_batches_with_a_short_last_one_per_day(spark, files, passed, tmp_path):
-    got = run_fold(spark, files, tmp_path, folds.batches(2, "event_id", folds.day_end), ("user_id", "day"))
-    want = segments.batches(passed[0].filter(F.col("day") < passed[1].date()), ["user_id", "day"], IN_ORDER, 2, "event_id")
-    ids = F.concat_ws(",", F.col("items").cast("array<string>")).alias("ids")
-    got = got.filter(F.col("day") < passed[1].date())
-    assert bag(got, "user_id", "day", "batch", "size", "ids") == bag(want, "user_id", "day", "batch", "size", ids)
-
-
-def test_throttle(spark, files, passed, tmp_path):
-    gap = 36_000_000_000
-    got = run_fold(spark, files, tmp_path, folds.throttle(2, 2 * gap, "event_id"))
-    micros = F.unix_micros(F.col("ts").cast("timestamp"))
-    want = rates.throttle(passed[0], ["user_id"], IN_ORDER, micros, 2, 2 * gap)
-    assert bag(got, "user_id", "id", "release") == bag(want, "user_id", "event_id", "release")
-
-
-@pytest.mark.parametrize("policy", ["drop_head", "drop_buffer"])
-def test_shed(spark, files, passed, tmp_path, policy):
-    got = run_fold(spark, files, tmp_path, folds.shed(2, policy, "event_id", folds.day_end), ("user_id", "day"))
-    closed = passed[0].filter(F.col("day") < passed[1].date())
-    want = rates.shed(closed, ["user_id", "day"], IN_ORDER, 2, policy)
-    assert bag(got, "user_id", "day", "id") == bag(want, "user_id", "day", "event_id")
-
-
-def test_recover(spark, files, passed, tmp_path):
-    got = run_fold(spark, files, tmp_path, folds.stop("bad", "event_id", "v", -1))
-    want = faults.recover(passed[0], ["user_id"], IN_ORDER, F.col("k") < 20, {"v": F.lit(-1)})
-    assert bag(got, "user_id", "id", "value", "recovered") == bag(want, "user_id", "event_id", "v", "recovered")
-
-
-def test_restart_scan(spark, files, passed, tmp_path):
-    got = run_fold(spark, files, tmp_path, folds.restart_scan("bad", "v", "event_id"))
-    want = faults.restart_scan(passed[0], ["user_id"], IN_ORDER, F.col("k") < 20, F.col("v"))
-    assert bag(got, "user_id", "id", "epoch", "running") == bag(want, "user_id", "event_id", "epoch", "running")
-
-
-def test_extrapolate(spark, files, passed, tmp_path):
-    got = run_fold(spark, files, tmp_path, folds.extrapolate("tick", "v"))
-    want = rates.expand(passed[0], ["user_id"], IN_ORDER, F.unix_date("day"), F.col("v"))
-    last = passed[0].groupBy("user_id").agg(F.max(F.unix_date("day")).alias("end"))
-    want = want.join(last, "user_id").filter("tick < end")
-    assert bag(got, "user_id", "tick", "value", "synthetic") == bag(want, "user_id", "tick", "value", "synthetic")
-
-
-def test_conflate_closed_days(spark, files, passed, tmp_path):
-    out = folds.conflate(stream(spark, files), ["user_id"], "ts", "1 day", "event_type")
-    got = landed(spark, out, str(tmp_path)).withColumn("day", F.to_date("window.start"))
-    want = segments.conflate(passed[0].filter(F.col("day") < passed[1].date()), ["user_id", "day"], "event_type")
-    names = ("user_id", "day", "description", "instances")
-    assert bag(got, *names) == bag(want, *names)
-
-
-def test_take_until(spark, files, rows, tmp_path):
-    cut = dt.datetime(2024, 1, 12, tzinfo=dt.timezone.utc)
-    got = landed(spark, folds.take_until(stream(spark, files), "ts", cut).select("event_id"), str(tmp_path))
-    assert got.count() == rows.filter(F.dayofmonth("ts") < 12).count()
-
-
 # Sources and sinks
 
 
@@ -246,7 +140,8 @@ def test_streams_of_shuffled_files_lose_nothing(spark, tmp_path, monkeypatch, pe
         as_folder(spark, name, str(tmp_path), 4)
     monkeypatch.setattr(ingest.table_files, "__defaults__", (per_batch,))
     queries = entry.queries()
-    for stream_name, table_name in (("conflate_stream", "conflate"), ("scan_stream", "scan_user")):
+    for stream_name, table_name in (("conflate_stream", "conflate"), ("scan_stream", "scan_user"), ("restart_stream", "restart_scan"),
+                                    ("batch_stream", "batch_n"), ("throttle_stream", "throttle"), ("extrapolate_stream", "extrapolate")):
         got, want = queries[stream_name](spark, str(tmp_path)), queries[table_name](spark, EVENTS)
         assert bag(got.fillna(-1), *sorted(got.columns)) == bag(want.fillna(-1), *sorted(want.columns))
     for name in ("ingest_files", "ack_sink"):
@@ -256,7 +151,7 @@ def test_streams_of_shuffled_files_lose_nothing(spark, tmp_path, monkeypatch, pe
 def test_streams_of_empty_tables(spark, tmp_path):
     for name in ("events", "orders"):
         spark.read.parquet(f"{EVENTS}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
-    for name in ("conflate_stream", "scan_stream", "ingest_files", "ack_sink"):
+    for name in ("conflate_stream", "scan_stream", "split_stream", "restart_stream", "batch_stream", "throttle_stream", "extrapolate_stream", "ingest_files", "ack_sink"):
         assert entry.queries()[name](spark, str(tmp_path)).count() == 0
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         entry.queries()["ingest_files"](spark, f"{tmp_path}/nowhere")
