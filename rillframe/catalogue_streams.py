@@ -76,7 +76,7 @@ def conflate_stream(spark, folder):
 def _carried(spark, folder, step, extra=()):
     """The events as a stream into a scan by user that is kept by days."""
     rows = _events(spark, folder).withColumn("day", values.day(F.col("ts"))).select("user_id", "day", *IN_ORDER, *extra)
-    made = Carried(_place(spark), rows.schema, ["user_id"], IN_ORDER, "day", step, buckets=2)
+    made = Carried(_place(spark), rows.schema, ["user_id"], IN_ORDER, "day", step)
     return made.run(rows)
 
 

@@ -13,6 +13,7 @@ from rillframe.plans.lineup import KINDS
 from rillframe.session import settled
 
 FIRST_ROWS = 100_000
+_PLAIN = (T.IntegralType, T.FractionalType, T.StringType, T.BooleanType, T.DateType)
 
 
 def compose(*flows: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], DataFrame]:
@@ -44,8 +45,8 @@ def _has_order(kind: T.DataType) -> bool:
 def drop(df: DataFrame, n: int, order: list[str]) -> DataFrame:
     """All rows but the first n: exactly n go, NULLs come first, of rows that share a place the least in all columns.
 
-    For a small n the n-th place is looked up first and the table is filtered
-    against it, so no row moves; rows that share that place are counted, and
+    For a small n the n-th place is looked up first by one job and the table is filtered
+    against it, so no row moves; rows that share that place are counted by another, and
     dropped from in the same way by all columns. Rows that are equal in every
     column are made again as often as they stay, so no task gets them all; only
     where a column has no order (a map) they go through one. Beyond a small n
@@ -55,13 +56,23 @@ def drop(df: DataFrame, n: int, order: list[str]) -> DataFrame:
         return df
     if n > FIRST_ROWS:
         return Lineup.of(df, [], order).numbered("_place").rows().filter(F.col("_place") >= n).drop("_place")
+    firsts = take(df.select(*order), n, order).groupBy(*order).agg(F.count(F.lit(1)).alias("_rows"))
+    found = firsts.orderBy(*[F.desc(c) for c in order]).limit(1).collect()  # the n-th place, and how many of the first n share it
+    if not found:
+        return df
+    gone = found[0]["_rows"]
     place = F.struct(*order)  # compares NULLs as the sort does
-    first = take(df.select(*order), n, order)
-    last = first.agg(F.max(place).alias("last")).scalar()
-    ties = df.filter(place == last)
-    gone = first.agg(F.count_if(place == last).alias("n")).collect()[0]["n"]
+    kinds = [df.schema[c].dataType for c in order]
+    if all(isinstance(k, _PLAIN) for k in kinds):
+        last = F.struct(*[F.lit(v).cast(kind).alias(c) for c, v, kind in zip(order, found[0], kinds)])
+    else:  # times are read differently in Python, so they stay in the plan
+        last = take(df.select(*order), n, order).agg(F.max(place).alias("last")).scalar()
+    after, same = place > last, place == last
+    if len(order) == 1 and isinstance(kinds[0], _PLAIN) and found[0][0] is not None:  # plain comparisons reach the scan
+        after, same = F.col(order[0]) > F.lit(found[0][0]).cast(kinds[0]), F.col(order[0]) == F.lit(found[0][0]).cast(kinds[0])
+    ties = df.filter(same)
     spare = ties.count() - gone
-    rest = df.filter(place > last)
+    rest = df.filter(after)
     if spare <= 0:
         return rest
     ordered = [f.name for f in df.schema.fields if _has_order(f.dataType)]

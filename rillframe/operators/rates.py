@@ -7,9 +7,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from rillframe.plans import Lineup, last_run, max_run
 from rillframe.plans.slices import slice_rows
 
-# Up to this many rows per group, each map task keeps the first rows itself and
-# the task that merges a hot group gets this many rows per map task.
+# Up to this many rows per group, each map task keeps the first rows itself.
 GROUP_LIMIT = 100
+SALTS = 64  # tasks that merge what the map tasks kept of one group, before one merges theirs
 GAP = 10_000
 
 
@@ -33,8 +33,12 @@ def throttle(df: DataFrame, by: list[str], order: list[str], arrival: Column, n:
 def _nearest(df: DataFrame, by: list[str], order: list[str], n: int, last: bool) -> DataFrame:
     if n <= GROUP_LIMIT:
         sort = [F.desc(c) if last else F.asc(c) for c in order]
-        rank = F.row_number().over(Window.partitionBy(*by).orderBy(*sort))
-        return df.withColumn("_n", rank).filter(F.col("_n") <= n).drop("_n")
+        # the map tasks of a salt share a merging task, so a hot group is merged by SALTS tasks and then by one
+        rows = df.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
+        for keys in ([*by, "_salt"], by):
+            rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*sort))
+            rows = rows.withColumn("_n", rank).filter(F.col("_n") <= n).drop("_n")
+        return rows.drop("_salt")
     line = Lineup.of(df, by, order).numbered("_n")
     if last:
         return line.sized("_all").rows().filter(F.col("_n") >= F.col("_all") - n).drop("_n", "_all")

@@ -7,7 +7,11 @@ points are constants of the plan, so a recomputed task always agrees with the
 one it replaces.
 
 Where one value of an order column alone fills a whole slice, that value gets a
-slice of its own, which is cut further by the next column.
+slice of its own, which is cut further by the next column. Texts are cut by their
+leading bytes; where texts that agree in these fill a slice, the frequent ones of
+them are ranked, and a text that alone fills a slice is cut by the next column too.
+
+How many rows a whole table has and how they spread comes from one job (``survey``).
 """
 
 from __future__ import annotations
@@ -15,9 +19,11 @@ from __future__ import annotations
 import math
 from bisect import bisect_right
 from collections import Counter
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from rillframe.functions.values import micros
 from rillframe.plans.keys import match_keys
@@ -26,11 +32,14 @@ SLICE = "_slice"
 SLICE_ROWS = 4_000_000
 MAX_HOT_KEYS = 100_000
 MAX_SAMPLE = 1 << 19
+SPREAD_ROWS = 10_000  # a whole table is spread over all cores from so many rows for each on
 SAMPLES_PER_SLICE = 32
 SAMPLES_PER_KEY = 256
 TEXT_BYTES = 6  # bytes of a text in one axis: whole numbers that a double holds exactly
 TEXT_AXES = 8
 EXACT = float(2**53)
+QUANTILES = 32  # marks of each partition in a survey
+ACCURACY = 256  # their ranks are right up to this part of the partition
 
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DateType, T.TimestampType, T.TimestampNTZType)
 _REAL = (T.FloatType, T.DoubleType)
@@ -88,34 +97,134 @@ def hot_keys(df: DataFrame, by: list[str], rows: int) -> tuple[DataFrame | None,
     return df.sparkSession.createDataFrame(hot, schema), int(sum(r["_rows"] for r in counts) / fraction)
 
 
-def cut_points(df: DataFrame, order: list[str], rows: int, slices: int) -> list[tuple[list[float], list[int]]]:
-    """Per order column: its splits, and the buckets to be cut further by the next column.
+@dataclass(frozen=True)
+class Survey:
+    """How many rows a table has, and how the first axis of its order is spread.
+
+    ``marks`` are quantiles of each partition: (value, rank, rows), the value has about ``rank`` parts of the
+    partition's rows at or below it, up to one in ACCURACY.
+    """
+
+    rows: int
+    marks: list[tuple[float, float, int]]
+
+    def cuts(self, slices: int) -> list[float]:
+        """Values at which as many slices are about equally long; one comes twice if it fills a slice."""
+        weighed = sorted((v, n / QUANTILES) for v, rank, n in self.marks if rank > 0)
+        out, seen, wanted = [], 0.0, 1
+        for value, weight in weighed:
+            seen += weight
+            while wanted < slices and seen >= wanted * self.rows / slices:
+                out.append(value)
+                wanted += 1
+        return out
+
+    def holding(self, rows: int) -> float:
+        """A value with at least so many rows at or below it, whatever the error of the marks."""
+        sure: dict[float, float] = {}
+        last: dict[int, float] = {}
+        for part, (v, rank, n) in sorted(enumerate(self.marks), key=lambda x: x[1][0]):
+            own = (rank - 1 / ACCURACY) * n - 1
+            part //= QUANTILES + 1
+            sure[v] = sure.get(v, 0.0) + max(0.0, own - last.get(part, 0.0))
+            last[part] = max(own, last.get(part, 0.0))
+        seen = 0.0
+        for value, more in sure.items():
+            seen += more
+            if seen >= rows:
+                return value
+        return math.inf
+
 
-    Only a sample is brought to the driver: about SAMPLES_PER_SLICE times
-    ``slices`` rows of a few numbers, half a million at most.
+    def first(self, rows: int) -> Survey:
+        """The survey of about the first so many rows."""
+        last = self.holding(rows)
+        kept = [(v, rank, n) for v, rank, n in self.marks if v <= last]
+        return Survey(max(rows, 1) if rows < self.rows else self.rows, kept)
+
+
+def up_to(df: DataFrame, name: str, value: float) -> DataFrame:
+    """The rows whose first axis in an order that starts with column ``name`` is ``value`` at most; NULL comes first.
+
+    Where a double says a value of the column exactly, the filter is on the column itself and reaches the scan.
     """
-    listed = listed_axes(df, order)
+    if math.isinf(value):
+        return df if value > 0 else df.filter(F.col(name).isNull())
+    if isinstance(df.schema[name].dataType, T.IntegralType) and abs(value) < EXACT:
+        return df.filter(F.col(name).isNull() | (F.col(name) <= F.lit(int(value))))
+    return df.filter(axes(df, name)[0] <= value)
+
+
+def surveys(inputs: list[tuple[DataFrame, list[str]]]) -> list[Survey]:
+    """Of several tables from one job: each partition is counted and its quantiles taken where it lies."""
+    ranks = [k / QUANTILES for k in range(QUANTILES + 1)]
+    spread = F.percentile_approx("_axis", ranks, ACCURACY)
+    listed = [df.select(F.lit(i).alias("_input"), listed_axes(df, order)[0][1].alias("_axis")) for i, (df, order) in enumerate(inputs)]
+    found = reduce(DataFrame.union, listed).groupBy("_input", F.spark_partition_id().alias("_part")).agg(F.count("*").alias("n"), spread.alias("marks")).collect()
+    own = [[r for r in found if r["_input"] == i] for i in range(len(inputs))]
+    return [Survey(sum(r["n"] for r in rows), [(v, k, r["n"]) for r in rows for v, k in zip(r["marks"], ranks)]) for rows in own]
+
+
+def survey(df: DataFrame, order: list[str]) -> Survey:
+    return surveys([(df, order)])[0]
+
+
+Level = tuple[Column, list[float], list[int]]
+
+
+def cut_points(df: DataFrame, order: list[str], rows: int, slices: int, known: Survey | None = None) -> list[Level]:
+    """Per axis: its value, its splits, and the buckets to be cut further by the next axis.
+
+    If the table has been surveyed and no value of the first axis is frequent, that says all. Otherwise a sample is
+    brought to the driver: about SAMPLES_PER_SLICE times ``slices`` rows of a few numbers, half a million at most.
+    """
+    if known is not None:
+        marks = known.cuts(slices)
+        if len(set(marks)) == len(marks):
+            return [(listed_axes(df, order)[0][1], sorted({v for v in marks if math.isfinite(v)}), [])]
     fraction = min(1.0, min(MAX_SAMPLE, SAMPLES_PER_SLICE * slices) / max(rows, 1))
-    sample = df.select(*[value.alias(f"a{i}") for i, (_, value) in enumerate(listed)])
-    if fraction < 1.0:
-        sample = sample.sample(fraction, seed=17)
-    points = [tuple(r) for r in sample.collect()]
-    step = max(1, len(points) // slices)
-    levels = []
-    for i, (name, _) in enumerate(listed):
-        marks = sorted(p[i] for p in points)[step::step]
-        heavy = sorted(v for v, times in Counter(marks).items() if times > 1 and _isolates(df, name, v))
-        splits = sorted({v for v in marks if math.isfinite(v)} | {math.nextafter(v, math.inf) for v in heavy})
-        levels.append((splits, [bisect_right(splits, v) for v in heavy]))
-        if not heavy:
-            break
-        own = set(heavy)
-        points = [p for p in points if p[i] in own]
+    sample = df if fraction == 1.0 else df.sample(fraction, seed=17)
+    step, levels, order = 0, [], list(order)
+    while order:
+        listed = listed_axes(df, order)
+        points = [tuple(r) for r in sample.select(*[value.alias(f"a{i}") for i, (_, value) in enumerate(listed)]).collect()]
+        step = step or max(1, len(points) // slices)
+        inside = F.lit(True)
+        for i, (name, value) in enumerate(listed):
+            marks = sorted(p[i] for p in points)[step::step]
+            heavy = sorted(v for v, times in Counter(marks).items() if times > 1 and _isolates(df, name, v))
+            splits = sorted({v for v in marks if math.isfinite(v)} | {math.nextafter(v, math.inf) for v in heavy})
+            levels.append((value, splits, [bisect_right(splits, v) for v in heavy]))
+            if not heavy:
+                return levels
+            own = set(heavy)
+            points = [p for p in points if p[i] in own]
+            inside = inside & value.isin(heavy)
+        text = listed[-1][0]
+        order = order[order.index(text) + 1:]
+        if not order or not isinstance(df.schema[text].dataType, (T.StringType, T.BinaryType)):
+            return levels
+        # what is left agrees in the leading bytes of a text: the texts that fill a slice get ranks, and are cut further
+        hot = [r[0] for r in sample.filter(inside).groupBy(text).agg(F.count("*").alias("_n")).filter(F.col("_n") > step).orderBy(text).collect()]
+        if not hot:
+            return levels
+        ranks = [float(2 * i + 1) for i in range(len(hot))]
+        splits = sorted({*ranks, *(math.nextafter(r, math.inf) for r in ranks)})
+        levels.append((ranked(F.col(text), hot), splits, [bisect_right(splits, r) for r in ranks]))
+        sample = sample.filter(inside & F.col(text).isin(hot))
     return levels
 
 
+def ranked(text: Column, hot: list) -> Column:
+    """Twice the number of hot texts before a text, and one more for such a text itself: rises with the text."""
+    out = F.lit(0.0)
+    for h in hot:
+        out = out + F.when(text > F.lit(h), 2.0).when(text == F.lit(h), 1.0).otherwise(0.0)
+    return out
+
+
 def listed_axes(df: DataFrame, order: list[str]) -> list[tuple]:
-    """Every axis with its column's name. Behind a text only what its leading bytes leave open is not cut further."""
+    """Every axis with its column's name, up to those of the first text."""
     listed = []
     for name in order:
         own = axes(df, name)
@@ -148,25 +257,29 @@ def add_slices(df: DataFrame, by: list[str], order: list[str]) -> tuple[DataFram
     rows of sliced groups in slices from 1 on.
     """
     limit = slice_rows(df)
-    spark = df.sparkSession
-    if by:
-        hot, rows = hot_keys(df, by, limit)
-        if hot is None:
-            return df, False
-        long_rows = match_keys(df, F.broadcast(hot), by, "left_semi")
-        slices = max(2, math.ceil(rows / limit))
-    else:
-        hot, rows, long_rows = None, df.count(), df
-        slices = max(spark.sparkContext.defaultParallelism, math.ceil(rows / limit))
-    sliced, number = df, F.lit(0).cast("bigint")
-    inside = F.lit(True)
-    for i, (splits, heavy) in enumerate(cut_points(long_rows, order, rows, slices)):
-        sliced = _bucketed(sliced, listed_axes(df, order)[i][1], splits, f"_cut{i}")
-        cut = F.when(inside, F.col(f"_cut{i}").cast("bigint")).otherwise(F.lit(0))
-        number = number * (len(splits) + 2) + cut
+    if not by:
+        known = survey(df, order)
+        return slices_at(df, cut_points(df, order, known.rows, whole_slices(df, known.rows), known)), True
+    hot, rows = hot_keys(df, by, limit)
+    if hot is None:
+        return df, False
+    long_rows = match_keys(df, F.broadcast(hot), by, "left_semi")
+    levels = cut_points(long_rows, order, rows, max(2, math.ceil(rows / limit)))
+    sliced = match_keys(slices_at(df, levels), F.broadcast(hot.withColumn("_hot", F.lit(True))), by, "left")
+    return sliced.select(*df.columns, F.when(F.col("_hot"), F.col(SLICE)).otherwise(F.lit(0).cast("bigint")).alias(SLICE)), True
+
+
+def whole_slices(df: DataFrame, rows: int) -> int:
+    """How many slices a table of so many rows is cut into."""
+    spread = min(df.sparkSession.sparkContext.defaultParallelism, math.ceil(rows / SPREAD_ROWS))
+    return max(2, spread, math.ceil(rows / slice_rows(df)))
+
+
+def slices_at(df: DataFrame, levels: list[Level]) -> DataFrame:
+    """Add the slice column, from 1 on."""
+    sliced, number, inside = df, F.lit(0).cast("bigint"), F.lit(True)
+    for i, (value, splits, heavy) in enumerate(levels):
+        sliced = _bucketed(sliced, F.when(inside, value).otherwise(F.lit(float("-inf"))) if i else value, splits, f"_cut{i}")
+        number = number * (len(splits) + 2) + F.when(inside, F.col(f"_cut{i}").cast("bigint")).otherwise(F.lit(0))
         inside = inside & F.col(f"_cut{i}").isin([float(b) for b in heavy])
-    number = number + 1
-    if hot is not None:
-        sliced = match_keys(sliced, F.broadcast(hot.withColumn("_hot", F.lit(True))), by, "left")
-        number = F.when(F.col("_hot"), number).otherwise(F.lit(0).cast("bigint"))
-    return sliced.select(*df.columns, number.alias(SLICE)), True
+    return sliced.select(*df.columns, (number + 1).alias(SLICE))

@@ -6,7 +6,7 @@ import pytest
 
 import rillframe.catalogue_streams  # noqa: F401  adds the streaming queries
 from rillframe.catalogue import QUERIES
-from rillframe.operators import basic
+from rillframe.operators import basic, combine
 from rillframe.plans import Lineup, max_run
 
 FOLDER = "/root/testdata/sf0.001"
@@ -58,6 +58,41 @@ def test_small_drop_moves_no_rows(spark):
     assert "Exchange" not in outer
 
 
+def jobs_of(spark, make):
+    """Jobs that building a plan runs, and the plan's result."""
+    group = f"jobs-{id(make)}"
+    spark.sparkContext.setJobGroup(group, group)
+    made = make()
+    spark.sparkContext.setJobGroup("other", "other")
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)), made
+
+
+def test_a_zip_surveys_each_input_once(spark):
+    """One job surveys all inputs, one counts their slices; Spark counts the stage before a shuffle as a job of its own."""
+    tables = {"customer": "c_custkey", "supplier": "s_suppkey", "part": "p_partkey"}
+    inputs = [(spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet").select(k), [k]) for t, k in tables.items()]
+    jobs, zipped = jobs_of(spark, lambda: combine.zip_by_place(*inputs))
+    assert jobs <= 4
+    assert plan(zipped).count("Exchange") <= 2 * len(inputs)
+
+
+def test_a_drop_looks_up_its_place(spark):
+    rows = spark.read.parquet(f"{FOLDER}/orders.parquet").select("o_orderkey", "o_custkey")
+    jobs, made = jobs_of(spark, lambda: basic.drop(rows, 10, ["o_orderkey"]))
+    assert jobs <= 4 and re.search(r"PushedFilters: \[[^]]*GreaterThan\(o_orderkey", plan(made))
+
+
+def test_a_zip_moves_little_of_a_longer_input(spark, tmp_path):
+    """Of a million rows those past the first thousand are filtered out at the scan, up to the error of the survey."""
+    spark.range(1_000_000).selectExpr("id * 7 AS long_key").repartition(4).write.parquet(f"{tmp_path}/long")
+    short = spark.range(1000).selectExpr("id AS short_key")
+    long = spark.read.parquet(f"{tmp_path}/long")
+    zipped = combine.zip_by_place((short, ["short_key"]), (long, ["long_key"]))
+    bound = re.search(r"LessThanOrEqual\(long_key,(\d+)\)", plan(zipped))
+    assert bound and 7 * 999 <= int(bound[1]) < 7 * 60_000
+    assert zipped.filter("long_key <> place * 7 OR short_key <> place").count() == 0 and zipped.count() == 1000
+
+
 def test_sliced_running_values_need_no_join_and_move_rows_once(tiny_slices):
     rows = tiny_slices.read.parquet(f"{FOLDER}/events.parquet").select("user_id", "ts", "event_id")
     text = plan(Lineup.of(rows, ["user_id"], ["ts", "event_id"]).numbered("place").rows())

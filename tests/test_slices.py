@@ -208,3 +208,42 @@ def test_times_without_zone_are_cut_alike_in_any_zone(tiny_slices):
         assert all(r.id == r.n for r in out)
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+@pytest.mark.parametrize("by", [[], ["g"]])
+def test_a_text_that_fills_slices_is_cut_by_the_next_column(spark, by):
+    """Half of the rows have one text, others share its first 48 bytes and more."""
+    stem = "the same beginning of very many texts, " * 4
+    rows = [("a" if i % 50 else "b", stem if i % 2 else f"{stem}{i % 5}" if i % 4 else f"{i * 7919 % 1000:04}", i * 7919 % 4001, i) for i in range(4000)]
+    df = spark.createDataFrame(rows, "g string, text string, t int, v int").repartition(4)
+    spark.conf.set("rillframe.sliceRows", "200")
+    try:
+        frame, sliced = add_slices(df, by, ["text", "t"])
+        sizes = {r[SLICE]: r["count"] for r in frame.groupBy(SLICE).count().collect() if r[SLICE]}
+        seen = frame.filter(F.col(SLICE) > 0).select("text", "t", SLICE).collect()
+        line = Lineup.of(df, by, ["text", "t"]).running(total=sum_run(F.col("v"))).rows()
+        got = {(r.text, r.t, r.g): r.total for r in line.collect()}
+    finally:
+        spark.conf.unset("rillframe.sliceRows")
+    assert sliced and max(sizes.values()) < 800
+    order = [r[SLICE] for r in sorted(seen, key=lambda r: (r.text, r.t))]
+    assert order == sorted(order) if not by else True
+    want, totals = {}, {}
+    for g, text, t, v in sorted(rows, key=lambda r: (r[1], r[2])):
+        key = g if by else None
+        totals[key] = totals.get(key, 0) + v
+        want[text, t, g] = totals[key]
+    assert got == want
+
+
+def test_a_survey_says_where_rows_end(spark):
+    from rillframe.plans.slices import survey
+
+    for parts, values in ((1, range(1000)), (7, [i * i % 997 for i in range(5000)]), (3, [5] * 400)):
+        df = spark.createDataFrame([(v,) for v in values], "x int").repartition(parts)
+        own = survey(df, ["x"])
+        assert own.rows == len(values)
+        for n in (1, 10, len(values) // 2, len(values)):
+            bound = own.holding(n)
+            assert sum(v <= bound for v in values) >= n
+    assert survey(df.limit(0), ["x"]).rows == 0
