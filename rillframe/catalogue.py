@@ -16,7 +16,7 @@ from rillframe.operators import (
 )
 from rillframe.plans import Lineup
 from rillframe.session import fit_shuffles, pin
-from rillframe.sources import topics
+from rillframe.sources import keyed, topics
 from rillframe.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -469,6 +469,13 @@ def _reply(frame):
     return frame.assign(reply=frame["v"] * 2)[["event_id", "reply"]]
 
 
+@query
+def lookup_async(spark, folder):
+    names = keyed.write(table(spark, folder, "customer"), "c_custkey", "c_name")
+    rows = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    return enrich.look_up(rows, "o_custkey", names, "customer").drop("o_custkey")
+
+
 @query
 def notify(spark, folder):
     told = enrich.notify(events(spark, folder), F.lit(ROSTER[0][1]), F.concat(F.lit("event "), F.col("event_id")),

@@ -119,3 +119,36 @@ def extrapolate_stream(spark, folder):
     days = made.totals(spark).select("user_id", "day", closed.LATEST)
     out = rates.expand(days, ["user_id"], ["day"], F.unix_date("day"), F.col(closed.LATEST))
     return out.withColumn("day", F.date_from_unix_date(F.col("tick").cast("int")).cast("string")).drop("tick", "since")
+
+
+WAITING = 500  # rows of the bounded landing place
+
+
+@query
+def bounded_landing(spark, folder):
+    """Events pushed in four parts, taken after two of them and at the end; the oldest beyond the bound are dropped."""
+    rows = table(spark, folder, "events").select("event_id", "ts")
+    made = ingest.Bounded(_place(spark), rows.schema, IN_ORDER, WAITING)
+    taken = []
+    for part in range(4):
+        made.push(rows.filter(F.floor((F.dayofmonth("ts") - 1) / 8) == part))
+        if part % 2:
+            out = made.take(spark)
+            taken.append(out.select(F.lit(part // 2).alias("take"), "event_id", F.lit(made.evicted(spark)).cast("bigint").alias("evicted")))
+    return taken[0].unionByName(taken[1])
+
+
+@query
+def replay_stream(spark, folder):
+    """Orders in four files, one a micro-batch; the first try breaks off in mid-stream and the source is read again."""
+    place = _place(spark)
+    rows = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
+    rows.repartition(4, F.hash("o_orderkey")).write.parquet(f"{place}/in")
+    sink = sinks.ReplayedSink(f"{place}/out", rows.schema)
+
+    def fault(batch, attempt, number):
+        if attempt == 1 and number == 2:
+            raise RuntimeError("the source breaks off")
+
+    sink.run(spark, lambda: ingest.sourced(ingest.landing(spark, f"{place}/in", "o_orderkey bigint, o_orderstatus string", 1)), handed=fault)
+    return sink.committed(spark).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("rows"), F.sum("o_orderkey").alias("keys"))

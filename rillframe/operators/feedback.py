@@ -33,17 +33,26 @@ def iterate(seed: DataFrame, step: Callable[[DataFrame, int], DataFrame], key: l
 def hop_distance(edges: DataFrame, left: str, right: str, start: DataFrame, max_rounds: int) -> DataFrame:
     """Least number of hops from the start nodes over edges between two kinds of node.
 
-    ``start`` has the column ``node`` with keys of the ``left`` kind. Gives
-    ``kind``, ``node`` and ``hops``. Edges are reduced to distinct pairs once;
-    a semi join per round keeps a popular node from multiplying rows.
+    ``start`` has the column ``node`` with keys of the ``left`` kind. Gives ``kind``, ``node`` and ``hops``. A round
+    joins the nodes that are new with the pairs that no round has used so far, and uses those up: every pair is
+    followed once, what is left shrinks from round to round, and a node that is reached already is never looked at
+    again from that side. Rounds are written, so a lost executor costs one.
     """
-    pairs = settled(edges.select(F.col(left).alias("_left"), F.col(right).alias("_right")).distinct())
+    open_pairs = settled(edges.select(F.col(left).alias("_left"), F.col(right).alias("_right")).distinct())
     sides = {left: ("_left", "_right", right), right: ("_right", "_left", left)}
-
-    def step(fresh: DataFrame, number: int) -> DataFrame:
-        here, there, kind = sides[left if number % 2 else right]
-        hits = pairs.join(fresh.select(F.col("node").alias(here)), here, "left_semi")
-        return hits.select(F.lit(kind).alias("kind"), F.col(there).alias("node"))
-
-    seed = start.select(F.lit(left).alias("kind"), "node")
-    return iterate(seed, step, ["kind", "node"], max_rounds).withColumnRenamed("round", "hops")
+    fresh = {left: settled(start.select("node").distinct())}
+    reached = {left: fresh[left], right: fresh[left].limit(0)}
+    out = fresh[left].select(F.lit(left).alias("kind"), "node", F.lit(0).alias("hops"))
+    kind = left
+    for number in range(1, max_rounds + 1):
+        here, there, other = sides[kind]
+        marked = settled(open_pairs.join(fresh[kind].select(F.col("node").alias(here), F.lit(True).alias("_used")), here, "left"))
+        found = marked.filter("_used").select(F.col(there).alias("node")).distinct()
+        new = settled(found.join(reached[other], "node", "left_anti"))
+        if new.isEmpty():
+            return out
+        out = out.unionByName(new.select(F.lit(other).alias("kind"), "node", F.lit(number).alias("hops")))
+        reached[other] = reached[other].unionByName(new)
+        open_pairs, fresh, kind = marked.filter("_used IS NULL").drop("_used"), {other: new}, other
+    warnings.warn(f"stopped after {max_rounds} rounds with new rows in the last one", stacklevel=2)
+    return out

@@ -236,3 +236,11 @@ walk(user_id, place, running) AS (
   SELECT n.user_id, n.place, (w.running * 31 + n.v) % 1000003 FROM walk w
   JOIN numbered n ON n.user_id = w.user_id AND n.place = w.place + 1)
 SELECT user_id, arg_max(running, place) AS checksum FROM walk GROUP BY user_id"""
+
+ORACLES["lookup_async"] = "SELECT o_orderkey, c_name AS customer FROM orders LEFT JOIN customer ON c_custkey = o_custkey"
+ORACLES["replay_stream"] = LANDED
+ORACLES["bounded_landing"] = """WITH parted AS (SELECT event_id, ts, CAST((dayofmonth(ts) - 1) // 8 AS INT) AS part FROM events),
+placed AS (SELECT event_id, part // 2 AS take, row_number() OVER (PARTITION BY part // 2 ORDER BY part DESC, ts DESC, event_id DESC) AS rn,
+  count(*) OVER (PARTITION BY part // 2) AS n FROM parted),
+lost AS (SELECT take, CAST(sum(greatest(n - 500, 0)) OVER (ORDER BY take) AS BIGINT) AS evicted FROM (SELECT DISTINCT take, n FROM placed))
+SELECT CAST(take AS INT) AS take, event_id, evicted FROM placed JOIN lost USING (take) WHERE rn <= 500"""

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from rillframe.session import exists
@@ -68,6 +69,66 @@ class AcknowledgedSink:
         return rows.join(ids, "batch_id", "left_semi")
 
 
+class ReplayedSink:
+    """A sink for a source that is built anew from its beginning after a fault.
+
+    Every micro-batch writes its rows to a folder of its own and then enters the files that they came from, and how many
+    rows of each, in a commit log. A source that is read again comes without checkpoint, so it brings all files again, in
+    any grouping; rows of files that are in the log are skipped. A batch that failed has no entry: its rows are
+    read again, and what it wrote is never seen. Streams bring the file of each row in ``SOURCE``, see ``ingest.sourced``.
+    """
+
+    SOURCE = "_file"
+
+    def __init__(self, folder: str, schema: T.StructType):
+        self.folder, self.data, self.log, self.schema = folder, f"{folder}/data", f"{folder}/log", schema
+
+    def seen(self, spark: SparkSession) -> DataFrame:
+        """(attempt, number, file, rows) of the commit log."""
+        schema = f"{self.SOURCE} string, rows bigint, attempt int, number bigint"
+        return spark.read.schema(schema).parquet(self.log) if exists(spark, self.log) else spark.createDataFrame([], schema)
+
+    def write(self, batch: DataFrame, attempt: int, number: int) -> None:
+        spark, place = batch.sparkSession, f"attempt={attempt}/number={number}"
+        if exists(spark, f"{self.log}/{place}/_SUCCESS"):
+            return
+        fresh = batch.join(self.seen(spark).select(self.SOURCE).distinct(), self.SOURCE, "left_anti")
+        fresh.write.mode("overwrite").parquet(f"{self.data}/{place}")
+        held = T.StructType([*self.schema.fields, T.StructField(self.SOURCE, T.StringType())])
+        files = spark.read.schema(held).parquet(f"{self.data}/{place}").groupBy(self.SOURCE).agg(F.count(F.lit(1)).alias("rows"))
+        files.coalesce(1).write.mode("overwrite").parquet(f"{self.log}/{place}")
+
+    def run(self, spark: SparkSession, source: Callable[[], DataFrame], attempts: int = 3,
+            handed: Callable[[DataFrame, int, int], None] = _nothing) -> int:
+        """Read the source to its end; after a fault build it anew, ``attempts`` times in all. The number of attempts.
+
+        ``handed`` is called with every micro-batch before it is written.
+        """
+        first = 1 + (self.seen(spark).agg(F.max("attempt")).collect()[0][0] or 0)
+        for attempt in range(first, first + attempts):
+
+            def take(batch: DataFrame, number: int, attempt: int = attempt) -> None:
+                handed(batch, attempt, number)
+                self.write(batch, attempt, number)
+
+            query = (source().writeStream.foreachBatch(take).option("checkpointLocation", f"{self.folder}/checkpoint/{attempt}")
+                     .trigger(availableNow=True).start())
+            try:
+                query.awaitTermination()
+                return attempt - first + 1
+            except StreamingQueryException:
+                if attempt == first + attempts - 1:
+                    raise
+
+    def committed(self, spark: SparkSession) -> DataFrame:
+        """The rows of batches that are in the log."""
+        held = T.StructType([*self.schema.fields, T.StructField(self.SOURCE, T.StringType()), T.StructField("attempt", T.IntegerType()), T.StructField("number", T.LongType())])
+        if not exists(spark, self.log):
+            return spark.createDataFrame([], self.schema)
+        done = self.seen(spark).select("attempt", "number").distinct()
+        return spark.read.schema(held).parquet(self.data).join(done, ["attempt", "number"], "left_semi").select(*self.schema.names)
+
+
 def to_all(*consumers: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
     """Every micro-batch to every consumer; it is computed once."""
 

@@ -48,7 +48,7 @@ def test_keyed_operators_shuffle_once(spark):
 
 
 def test_row_wise_operators_do_not_shuffle(spark):
-    for name in ("map_chain", "zip_same_source", "flag_split", "merge", "notify", "resume_skip", "mask_documents", "map_async"):
+    for name in ("map_chain", "zip_same_source", "flag_split", "merge", "notify", "resume_skip", "mask_documents", "map_async", "lookup_async"):
         assert "Exchange" not in plan(QUERIES[name](spark, FOLDER)), name
 
 
