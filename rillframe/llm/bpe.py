@@ -14,9 +14,11 @@ import json
 import unicodedata
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-from rillframe.llm.words import U, differ, distinct, spans
+from rillframe.llm.words import U, distinct, firsts, spans, unpacked
 
 CACHE = 1_400_000
 LETTER, NUMBER, GAP, OTHER, ODD = 1, 2, 3, 4, 5
@@ -48,9 +50,9 @@ def byte_alphabet() -> list[str]:
 class Split:
     """Words of a block of texts.
 
-    ``text`` and the code points of it, LATIN for all from there on; spans of the words and each row's first word; where
-    each different word stands first (``at``), and ``which`` of them each word is. ``whole`` are the rows that only the
-    library may split; they have no words here.
+    ``text`` and the code points of it, LATIN for all from there on; spans of the words and each row's first word; the
+    different ``words`` as bytes of their code points, and ``which`` of them each word is. ``whole`` are the rows that
+    only the library may split; they have no words here.
     """
 
     def __init__(self, text: str, points, starts, ends, edges, whole):
@@ -58,7 +60,12 @@ class Split:
         self.text, self.points, self.whole = text, points.astype(np.uint16), whole
         self.starts, self.ends = starts[keep], ends[keep]
         self.edges = np.searchsorted(self.starts, edges)
-        self.at, self.which = distinct(self.points, self.starts, self.ends)
+        self.words, self.which = distinct(self.points, self.starts, self.ends)
+
+    def spelled(self, some: np.ndarray) -> list[str]:
+        """Some of the different words."""
+        at = firsts(self.which, len(self.words))[some]
+        return [self.text[a:b] for a, b in zip(self.starts[at].tolist(), self.ends[at].tolist())]
 
 
 def split(texts: list[str], lower: bool, added: list[str]) -> Split:
@@ -163,7 +170,7 @@ class Encoder:
         self.library.no_truncation()
         self.library.no_padding()
         made = json.loads(self.library.to_str())
-        self.model = Tokenizer(self.library.model)
+        self.model = self.library.model
         self.added = [t["content"] for t in made["added_tokens"]]
         self.alphabet = dict(enumerate(byte_alphabet()))
         steps, normal = made["pre_tokenizer"] or {}, made["normalizer"]
@@ -181,22 +188,29 @@ class Encoder:
         self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
         self.begins = np.zeros(1 << 16, np.int32)  # where each number's ids begin; they end where the next one's do
         self.letters = np.zeros(1 << 18, np.uint16)  # the remembered words one after another
-        self.spelled = np.zeros(1 << 16, np.int32)  # where each number's word begins in them
+        self.spelled = np.zeros(1 << 16, np.int64)  # where each number's word begins in them
 
     def shown(self, word: str) -> str:
         """A word in the alphabet of the vocabulary."""
-        return word if word.isascii() and word.isalnum() else word.encode().decode("latin-1").translate(self.alphabet)
+        if word.isascii():
+            if word.isalnum():
+                return word
+            if word[0] == " " and word[1:].isalnum():
+                return self.alphabet[32] + word[1:]
+        return word.encode().decode("latin-1").translate(self.alphabet)
 
     def merged(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words that the pattern has split, and where each word's ids begin."""
-        found = self.model.encode([self.shown(w) for w in words], is_pretokenized=True, add_special_tokens=False)
-        return np.array(found.ids, np.uint32), np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(words) + 1))
+        cut = self.model.tokenize
+        found = [[token.id for token in cut(self.shown(w))] for w in words]
+        return np.array([i for ids in found for i in ids], np.uint32), np.concatenate([[0], np.cumsum([len(ids) for ids in found], dtype=np.int64)])
 
-    def learn(self, block: Split, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+    def learn(self, block: Split, hashes: np.ndarray, words: pa.Array, which: np.ndarray) -> None:
+        """Remember ``words``, the different words ``which`` of a block."""
+        spelled = block.spelled(which)
         for k in range(0, len(hashes), 5_000):
-            a, b = starts[k:k + 5_000], ends[k:k + 5_000]
-            ids, edges = self.merged([block.text[x:y] for x, y in zip(a.tolist(), b.tolist())])
-            letters, bounds = gather(block.points, a, b)
+            ids, edges = self.merged(spelled[k:k + 5_000])
+            letters, bounds = unpacked(words.slice(k, 5_000), np.uint16)
             at = self.places.count
             end = int(self.spelled[at])
             self.ids = _room(self.ids, self.used + len(ids))
@@ -208,34 +222,36 @@ class Encoder:
             self.places.add(hashes[k:k + 5_000])
             self.used += len(ids)
 
-    def strange(self, place: np.ndarray, block: Split, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    def strange(self, place: np.ndarray, words: pa.Array) -> np.ndarray:
         """Which words are not the remembered word that has their hash."""
         held = np.flatnonzero(place >= 0)
-        place, starts, sizes = place[held], starts[held], (ends - starts)[held]
-        begins = self.spelled[place].astype(np.int64)
-        odd = self.spelled[place + 1] - begins != sizes
-        odd[~odd] = differ(block.points, starts[~odd], self.letters, begins[~odd], sizes[~odd])
-        return held[odd]
-
-    def known(self, block: Split, some=slice(None)) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if not len(held):
+            return held
+        bounds = pa.py_buffer(self.spelled[:self.places.count + 1] * 2)
+        known = pa.LargeBinaryArray.from_buffers(pa.large_binary(), self.places.count, [None, bounds, pa.py_buffer(self.letters)])
+        own = words if len(held) == len(words) else words.take(pa.array(held))
+        return held[~pc.equal(own, known.take(pa.array(place[held]))).to_numpy(zero_copy_only=False)]
+
+    def known(self, block: Split, some: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids, and where in them those of the different words of a block, or of ``some`` of them, begin and end."""
-        at = block.at[some]
-        starts, ends = block.starts[at], block.ends[at]
-        hashes = spans(block.points, starts, ends)
+        words = block.words if some is None else block.words.take(pa.array(some))
+        numbers = np.arange(len(words)) if some is None else some
+        letters, edges = unpacked(words, np.uint16)
+        hashes = spans(letters, edges[:-1], edges[1:])
         place = self.places.find(hashes)
-        odd = self.strange(place, block, starts, ends)
+        odd = self.strange(place, words)
         if len(odd) or self.places.count + len(hashes) > CACHE:
             self.forget()
             place[:] = -1
         new = np.flatnonzero(place < 0)
         if len(new):
             first = new[np.unique(hashes[new], return_index=True)[1]]
-            self.learn(block, hashes[first], starts[first], ends[first])
+            self.learn(block, hashes[first], words.take(pa.array(first)), numbers[first])
             place[new] = self.places.find(hashes[new])
         values, begins, stops = self.ids, self.begins[place].astype(np.int64), self.begins[place + 1].astype(np.int64)
         if len(odd) or len(new) and len(first) < len(new):  # two words of this block may share a hash
-            odd = self.strange(place, block, starts, ends)
-            more, edges = self.merged([block.text[a:b] for a, b in zip(starts[odd].tolist(), ends[odd].tolist())])
+            odd = self.strange(place, words)
+            more, edges = self.merged(block.spelled(numbers[odd]))
             begins[odd], stops[odd] = edges[:-1] + len(values), edges[1:] + len(values)
             values = np.concatenate([values, more])
         return values, begins, stops

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rillframe.llm.store import few, lean, settled
-from rillframe.llm.terms import strings, terms
+from rillframe.llm.terms import terms
 from rillframe.llm.words import Texts, distinct, owners, slices
 
 SHARES = (1000, 100, 10)  # an owner's terms stand in one of so many documents at most; the last owner has the rest
@@ -52,12 +52,11 @@ def postings(texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             data, starts, ends, edges = terms(Texts(batch.column("text")))
-            at, which = distinct(data, starts, ends)
-            words = strings(data, starts[at], ends[at])
-            pairs, tf = np.unique(owners(edges) * len(at) + which, return_counts=True)
+            words, which = distinct(data, starts, ends)
+            pairs, tf = np.unique(owners(edges) * len(words) + which, return_counts=True)
             all_rows = np.arange(batch.num_rows)
-            rows = pa.array(np.concatenate([all_rows, pairs // max(len(at), 1)]))
-            found = pa.concat_arrays([pa.array([""] * batch.num_rows, pa.large_string()), words.take(pa.array(pairs % max(len(at), 1)))])
+            rows = pa.array(np.concatenate([all_rows, pairs // max(len(words), 1)]))
+            found = pa.concat_arrays([pa.array([""] * batch.num_rows, pa.large_string()), words.cast(pa.large_string()).take(pa.array(pairs % max(len(words), 1)))])
             n = pa.array(np.diff(edges).astype(np.int64)).take(rows)
             yield pa.RecordBatch.from_arrays([batch.column("row").take(rows), batch.column("id").take(rows), n, found.cast(pa.string()),
                                               pa.array(np.concatenate([np.zeros(batch.num_rows, np.int64), tf]))], schema=schema)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from rillframe.llm.bpe import LATIN, Encoder, encoder, gather, split
 from rillframe.llm.store import get, lean, new_folder, put, settled
-from rillframe.llm.words import slices
+from rillframe.llm.words import slices, unpacked
 
 MAGIC = 0x3158454C49525254
 WORDS = 50_000
@@ -41,9 +41,9 @@ def counts(docs: DataFrame, tokenizer: str) -> DataFrame:
         own, tally = encoder(tokenizer), Counter()
         for batch in slices(batches):
             block = split([t or "" for t in batch.column("text").to_pylist()], bool(own.lower), own.added)
-            n = np.bincount(block.which, minlength=len(block.at))
-            for k, a, b in zip(n.tolist(), block.starts[block.at].tolist(), block.ends[block.at].tolist()):
-                tally[block.text[a:b]] += k
+            n = np.bincount(block.which, minlength=len(block.words))
+            for k, word in zip(n.tolist(), block.spelled(np.arange(len(block.words)))):
+                tally[word] += k
             if len(tally) > TALLY:
                 yield pa.RecordBatch.from_pydict({"word": list(tally), "n": list(tally.values())})
                 tally = Counter()
@@ -200,7 +200,8 @@ def encode(texts: list[str | None], tokenizer: str, path: str) -> list[np.ndarra
     if own.lower is None:
         return own.encode(texts)
     block = split(texts, own.lower, own.added)
-    number = lexicon.numbers(np.minimum(block.points, LATIN - 1), block.starts[block.at], block.ends[block.at])
+    letters, edges = unpacked(block.words, np.uint16)
+    number = lexicon.numbers(np.minimum(letters, LATIN - 1), edges[:-1], edges[1:])
     seen, other = number >= 0, np.flatnonzero(number < 0)
     values, begin, end = lexicon.ids, np.zeros(len(number), np.int64), np.zeros(len(number), np.int64)
     begin[seen], end[seen] = lexicon.bounds[number[seen]], lexicon.bounds[number[seen] + 1]

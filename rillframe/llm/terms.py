@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
 
 from rillframe.llm.words import Texts
 
@@ -15,11 +14,3 @@ def terms(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
     """The bytes in lower case, the spans of the terms, and where each row's first term is."""
     return LOWER[texts.data], *texts.parts(TERM[texts.data])
 
-
-def strings(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
-    """Spans of UTF-8 bytes that rise and do not overlap as an array of strings."""
-    if not len(starts):
-        return pa.array([], pa.large_string())
-    bounds = np.stack([starts, ends], 1).ravel().astype(np.int64)
-    listed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data))])
-    return listed.take(pa.array(np.arange(0, len(bounds) - 1, 2))).cast(pa.large_string())

@@ -118,27 +118,32 @@ def spans(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
     return mix(sums[ends - first] - sums[starts - first] + (ends - starts).astype(U) * BASE)
 
 
-def distinct(symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of spans that rise and do not overlap: where each different one stands first, and which of them each is.
+def distinct(symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """The different ones of spans that rise and do not overlap, as an array of their bytes, and which each span is.
 
-    Spans are compared by their symbols, whatever their hashes.
+    They come in the order in which they stand first. Spans are compared by their symbols, whatever their hashes.
     """
     if not len(starts):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return pa.array([], pa.large_binary()), np.zeros(0, np.int64)
     bounds = np.stack([starts, ends], 1).ravel() * symbols.dtype.itemsize  # spans and the gaps between them
     listed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(symbols))])
-    which = listed.take(pa.array(np.arange(0, len(bounds) - 1, 2))).dictionary_encode().indices.to_numpy().astype(np.int64)
-    at = np.zeros(int(which.max()) + 1, np.int64)
+    made = listed.take(pa.array(np.arange(0, len(bounds) - 1, 2))).dictionary_encode()
+    return made.dictionary, made.indices.to_numpy().astype(np.int64)
+
+
+def firsts(which: np.ndarray, count: int) -> np.ndarray:
+    """Where each of ``count`` numbers stands first."""
+    at = np.zeros(count, np.int64)
     at[which[::-1]] = np.arange(len(which))[::-1]
-    return at, which
+    return at
 
 
-def differ(one: np.ndarray, a: np.ndarray, two: np.ndarray, b: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Which of the spans of ``sizes`` symbols, at a in one sequence and at b in another, are not equal."""
-    edges = np.concatenate([[0], np.cumsum(sizes)])
-    place = np.arange(edges[-1]) - np.repeat(edges[:-1], sizes)
-    sums = _sums((one[np.repeat(a, sizes) + place] != two[np.repeat(b, sizes) + place]).astype(np.int64))
-    return sums[edges[1:]] != sums[edges[:-1]]
+def unpacked(array: pa.Array, kind) -> tuple[np.ndarray, np.ndarray]:
+    """The symbols of an array of large binaries one after another, and where each begins and the last one ends."""
+    _, bounds, data = array.buffers()
+    edges = np.frombuffer(bounds, np.int64)[array.offset:array.offset + len(array) + 1] // np.dtype(kind).itemsize if len(array) else np.zeros(1, np.int64)
+    held = np.frombuffer(data, kind) if data is not None and data.size else np.zeros(0, kind)
+    return held[edges[0]:edges[-1]], edges - edges[0]
 
 
 def slices(batches: Iterator[pa.RecordBatch], limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -94,6 +94,9 @@ def restart_scan(df: DataFrame, by: list[str], order: list[str], bad: Column, va
 
 
 def replay_dedupe(df: DataFrame, key: list[str], attempt: str) -> DataFrame:
-    """One row per key, the earliest attempt; copies are dropped inside the map tasks first."""
+    """One row per key, the earliest attempt; copies are dropped inside the map tasks first.
+
+    Of several rows with a key in the same attempt any stays: they are taken for one row that was written twice.
+    """
     rank = F.row_number().over(Window.partitionBy(*key).orderBy(attempt))
     return df.withColumn("_copy", rank).filter("_copy = 1").drop("_copy")

@@ -61,6 +61,71 @@ def test_token_file_query(spark):
     assert rows(queries.QUERIES["op4_token_files"](spark, FOLDER).select("doc_id", "start", "n_tokens", "ids_crc32")) == want
 
 
+def test_language_query(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").collect()
+    found = {r.doc_id: r for r in queries.QUERIES["op1_language"](spark, FOLDER).collect()}
+    assert len(found) == len(docs)
+    for r in docs:
+        own = found[r.doc_id]
+        assert own.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and 0 <= own.score <= 1
+        assert (own.lang_pred == "und") == (not any(c.isalpha() for c in r.text or ""))
+    held = [r for r in docs if found[r.doc_id].held_out and r.lang]
+    assert sum(found[r.doc_id].lang_pred == r.lang for r in held) >= 0.9 * len(held)
+
+
+def test_sharding_query(spark):
+    found = queries.QUERIES["op3_sharding"](spark, FOLDER).collect()
+    want = [(i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in given(spark)]
+    assert sorted((r.doc_id, r.size, r.text_crc32) for r in found) == want and {r.law for r in found} == {"rows"}
+    slots = {}
+    for r in found:
+        slots.setdefault(r["shard"], []).append(r.slot)
+    assert set(slots) == set(range(8)) and all(sorted(v) == list(range(len(v))) for v in slots.values())
+    assert max(map(len, slots.values())) - min(map(len, slots.values())) <= 1
+
+
+def test_nearest_query(spark):
+    rows = {r.vec_id: np.array(r.embedding, float) for r in spark.read.parquet(f"{FOLDER}/embeddings.parquet").collect() if r.embedding is not None}
+    found = {}
+    for r in queries.QUERIES["op5_nearest"](spark, FOLDER).collect():
+        found.setdefault(r.query_id, {})[r["rank"]] = (r.vec_id, r.score)
+    asked, hits = [i for i in rows if i % 50 == 0], 0
+    assert sorted(found) == sorted(asked)
+    for i in asked:
+        score = {j: float(rows[i] @ v / np.sqrt((rows[i] @ rows[i]) * (v @ v))) for j, v in rows.items() if j != i}
+        best = sorted(score, key=lambda j: (-score[j], j))[:5]
+        own = [found[i][k] for k in range(1, 6)]
+        assert all(abs(score[j] - s) < 1e-9 for j, s in own) and own == sorted(own, key=lambda x: (-x[1], x[0]))
+        hits += len({j for j, _ in own} & set(best))
+    assert hits >= 0.9 * 5 * len(asked)
+
+
+def test_packing_query(spark):
+    tokenizer = Tokenizer.from_file(queries.public_tokenizers.path("word_bpe_49k.json"))
+    want = []
+    for i, text in given(spark):
+        ids = np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 1], "<u4")
+        want += [(i, k, at, len(ids[at:at + 4096]), zlib.crc32(ids[at:at + 4096].tobytes())) for k, at in enumerate(range(0, len(ids), 4096))]
+    found = queries.QUERIES["op7_packing"](spark, FOLDER).collect()
+    assert sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in found) == sorted(want)
+    sequences = {}
+    for r in found:
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for parts in sequences.values():
+        parts.sort()
+        assert [o for o, _ in parts] == [sum(n for _, n in parts[:k]) for k in range(len(parts))] and sum(n for _, n in parts) <= 4096
+    assert len(sequences) <= -(-sum(w[3] for w in want) // 4096) + 2
+
+
+def test_lexicon_query(spark):
+    tokenizer = Tokenizer.from_file(queries.public_tokenizers.path("word_bpe_49k.json"))
+    want = []
+    for i, text in given(spark):
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids
+        want.append((i, len(ids), brute.sha(" ".join(map(str, ids))), brute.sha(tokenizer.decode(ids, skip_special_tokens=False))))
+    assert rows(queries.QUERIES["op9_lexicon"](spark, FOLDER)) == want
+
+
 def test_pipeline_stages(spark):
     """Each stage on its own input: what goes is what the rules say, the columns stay."""
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")

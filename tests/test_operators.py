@@ -212,12 +212,16 @@ def test_balance(spark):
 
 
 def test_flag(spark):
-    txns = spark.createDataFrame([("t1", 100), ("t2", 100000), ("t3", 10000)], "id string, amount int")
-    everything, flagged = fanout.flag(txns, "id", F.col("amount") > 10000)
-    assert everything.count() == 3
-    assert column(flagged, "id", "id") == ["t2"]
-    out = fanout.copies(txns, {"all": F.lit(True), "flagged": F.col("amount") > 10000})
-    assert out.filter("outlet = 'flagged'").count() == 1 and out.count() == 4
+    """The dearest tenth of the orders."""
+    orders = spark.read.parquet(f"{TABLES}/orders.parquet").select("o_orderkey", "o_totalprice")
+    prices = {r.o_orderkey: r.o_totalprice for r in orders.collect()}
+    limit = sorted(prices.values())[len(prices) * 9 // 10]
+    dear = sorted(k for k, p in prices.items() if p > limit)
+    everything, flagged = fanout.flag(orders, "o_orderkey", F.col("o_totalprice") > limit)
+    assert everything.count() == len(prices) and dear
+    assert sorted(r.o_orderkey for r in flagged.collect()) == dear
+    out = fanout.copies(orders, {"all": F.lit(True), "flagged": F.col("o_totalprice") > limit})
+    assert out.filter("outlet = 'flagged'").count() == len(dear) and out.count() == len(prices) + len(dear)
 
 
 def test_word_sink(spark):
