@@ -161,7 +161,11 @@ def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     keyed = lean(docs, *[f.name for f in plain]).withColumn(own, F.xxhash64("doc_id", "text"))
     marks = repeated(lean(docs, "doc_id", "text").select(F.xxhash64("doc_id", "text").alias("key"), "text"), length)
     marks = settled(marks.groupBy("key").agg(F.collect_set(F.struct("start", "end")).alias("spans")))
-    joined = keyed.join(marks.select(F.col("key").alias(own), F.col("spans").alias(held)), own, "left").drop(own)
+    # only texts that lose something are moved to their marks, unless the list of their keys is long
+    hit = marks.select(F.col("key").alias(own))
+    moved = keyed.join(few(hit), own, "left_semi").join(marks.select(F.col("key").alias(own), F.col("spans").alias(held)), own)
+    left = keyed.join(few(hit), own, "left_anti").withColumn(held, F.lit(None).cast(marks.schema["spans"].dataType))
+    joined = moved.unionByName(left).drop(own)
     arrow = [pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
