@@ -31,7 +31,7 @@ from rillframe.llm.words import CODES, U, Texts, mix, slices, spans, windows
 LENGTH = 50
 BLOCK_BYTES = 4 << 20  # text whose windows are gathered before they are sent
 TURNS = 8  # parts of a range that its task compares one after another
-RANGES = 32  # hash ranges at least; more for more than 32 MB of text each
+RANGES = 8  # hash ranges at least; as many as the session has shuffle partitions, more for more than 32 MB of text each
 PACKED = "range int, kind int, docs binary, counts binary, hashes binary"
 NAMED, NAMELESS, KNOWN, KNOWN_NAMELESS = range(4)  # windows of rows with a doc_id and without, and such as are to go
 RESULTS = {"n_words": T.LongType(), "n_removed": T.LongType(), "kept_text": T.StringType(),
@@ -59,7 +59,23 @@ def _packed(kind: int, docs: np.ndarray, hashes: np.ndarray, group: np.ndarray)
     edges = np.flatnonzero(np.diff(group, prepend=-1, append=-1)) if len(group) else []
     for a, b in zip(edges, edges[1:]):
         own, counts = np.unique(docs[a:b], return_counts=True)
-        yield int(group[a]), kind, own.tobytes(), counts.astype(np.uint32).tobytes(), hashes[a:b].tobytes()
+        yield int(group[a]), kind, _short(own, True), _short(counts, False), hashes[a:b].tobytes()
+
+
+def _short(values: np.ndarray, rising: bool) -> bytes:
+    """Numbers in as few bytes each as they need, the first byte says how many; rising ones as differences."""
+    values = values.astype(np.int64).view(U)
+    steps = np.diff(values) if rising else values
+    width = next(w for w in (1, 2, 4, 8) if w == 8 or not len(steps) or int(steps.max()) < 1 << 8 * w)
+    return bytes([width]) + (values[:1].tobytes() if rising else b"") + steps.astype(f"<u{width}").tobytes()
+
+
+def _long(data: bytes, rising: bool) -> np.ndarray:
+    head = 1 + 8 * rising
+    steps = np.frombuffer(data, f"<u{data[0]}", offset=head).astype(U)
+    if not rising:
+        return steps.view(np.int64)
+    return np.cumsum(np.concatenate([np.frombuffer(data, U, 1, 1), steps])).view(np.int64)
 
 
 def _later(docs: np.ndarray, nameless: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -113,7 +129,7 @@ def _unpacked(frame: pd.DataFrame, turn: int | None = None) -> tuple[np.ndarray,
     """Document and hash of each window in packed rows; of one turn, if it is given."""
     docs, hashes = [np.zeros(0, np.int64)], [np.zeros(0, U)]
     for ids, counts, data in zip(frame["docs"], frame["counts"], frame["hashes"]):
-        own, data = np.repeat(np.frombuffer(ids, np.int64), np.frombuffer(counts, np.uint32)), np.frombuffer(data, U)
+        own, data = np.repeat(_long(ids, True), _long(counts, False)), np.frombuffer(data, U)
         keep = slice(None) if turn is None else data % U(TURNS) == U(turn)
         docs.append(own[keep])
         hashes.append(data[keep])

@@ -5,6 +5,7 @@ from collections import Counter
 from fractions import Fraction
 
 import brute
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -94,6 +95,15 @@ def test_passages(mixed, length):
     assert passages.removals(empty, length).count() == 0
 
 
+def test_numbers_are_sent_short():
+    for values in ([5], [-(2**63), -1, 0, 2**63 - 1], [10, 11, 300], [0, 255], [0, 256], [0, 65535, 131071], [-7, 2**33]):
+        made = passages._short(np.array(values, np.int64), True)
+        assert passages._long(made, True).tolist() == values
+    for counts in ([1, 2, 255], [1, 256], [70_000], [2**40, 1]):
+        assert passages._long(passages._short(np.array(counts), False), False).tolist() == counts
+    assert len(passages._short(np.arange(1000) * 3, True)) == 1 + 8 + 999
+
+
 def test_a_block_at_a_time_gives_the_same(mixed, monkeypatch):
     rows, docs, _ = mixed
     want = Counter((r.doc_id, r.n_removed) for r in passages.removals(docs, 50).collect())
