@@ -31,7 +31,7 @@ from rillframe.llm.words import CODES, U, Texts, mix, slices, spans, windows
 LENGTH = 50
 BLOCK_BYTES = 4 << 20  # text whose windows are gathered before they are sent
 TURNS = 8  # parts of a range that its task compares one after another
-RANGES = 8  # hash ranges at least; as many as the session has shuffle partitions, more for more than 32 MB of text each
+RANGES = 32  # hash ranges at least; as many as the session has shuffle partitions, more for more than 32 MB of text each
 PACKED = "range int, kind int, docs binary, counts binary, hashes binary"
 NAMED, NAMELESS, KNOWN, KNOWN_NAMELESS = range(4)  # windows of rows with a doc_id and without, and such as are to go
 RESULTS = {"n_words": T.LongType(), "n_removed": T.LongType(), "kept_text": T.StringType(),
