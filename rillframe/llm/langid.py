@@ -37,6 +37,7 @@ ODD, LIMIT = 0.005, 0.9
 FEW = round(1 / ODD)  # texts that a quantile of 1 - ODD takes
 UNKNOWN = "und"
 ROWS = 64  # texts counted at a time, each into SIZE numbers
+COLUMNS = 512  # features of the chosen texts that are copied at a time
 RESULTS = {"lang_pred": T.StringType(), "score": T.DoubleType(), "distance": T.DoubleType(), "rejected": T.BooleanType()}
 _LETTERS: list[np.ndarray] = []
 
@@ -102,20 +103,27 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(k, ROWS)
 
 
-def kmeans(points: np.ndarray, k: int, rounds: int, support: float = 0.1) -> np.ndarray:
+def _sum(points: np.ndarray, some: np.ndarray) -> np.ndarray:
+    """The sum of some of the points, of which a few columns are copied at a time."""
+    return np.concatenate([points[some, a:a + COLUMNS].sum(0) for a in range(0, points.shape[1], COLUMNS)])
+
+
+def kmeans(points: np.ndarray, k: int, rounds: int, some: np.ndarray | None = None, support: float = 0.1) -> np.ndarray:
     """Spherical k-means: unit centroids, started at points of evenly spread closeness to the mean.
 
+    ``some`` are the numbers of the points that count, all if not given; points are large and not copied for it.
     A centroid that is nearest to less than ``support`` of the points is left out: it stands for a few odd or mixed
     texts and would draw other languages' texts to it.
     """
-    order = np.argsort(points @ points.mean(0), kind="stable")
-    centroids = points[order[(np.arange(k) * 2 + 1) * len(points) // (2 * k)]]
+    some = np.arange(len(points)) if some is None else some
+    order = some[np.argsort((points @ (_sum(points, some) / len(some)))[some], kind="stable")]
+    centroids = points[order[(np.arange(k) * 2 + 1) * len(some) // (2 * k)]]
     for _ in range(rounds):
-        own = (points @ centroids.T).argmax(1)
-        sums = np.stack([points[own == c].sum(0) for c in range(k)])
+        own = (points @ centroids.T).argmax(1)[some]
+        sums = np.stack([_sum(points, some[own == c]) for c in range(k)])
         length = np.linalg.norm(sums, axis=1, keepdims=True)
         centroids = np.where(length > 0, sums / np.maximum(length, 1e-30), centroids)
-    shares = np.bincount((points @ centroids.T).argmax(1), minlength=k) / len(points)
+    shares = np.bincount((points @ centroids.T).argmax(1)[some], minlength=k) / len(some)
     return centroids[shares >= min(support, shares.max())]
 
 
@@ -125,7 +133,8 @@ def reach_of(points: np.ndarray, centroids: int, slack: float) -> float:
         return LIMIT
     distances, fold = np.zeros(len(points)), np.arange(len(points)) % FOLDS
     for k in range(FOLDS):
-        distances[fold == k] = 1 - (points[fold == k] @ kmeans(points[fold != k], centroids, ROUNDS).T).max(1)
+        made = kmeans(points, centroids, ROUNDS, np.flatnonzero(fold != k))
+        distances[fold == k] = 1 - (points @ made.T).max(1)[fold == k]
     return min(float(np.quantile(distances, 1 - ODD)) + slack, LIMIT)
 
 

@@ -1,5 +1,6 @@
 """Encoding, lexicon, files, packing, language, shards and nearest vectors."""
 
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -197,6 +198,20 @@ def test_reach_is_of_texts_that_made_no_centroid():
     assert langid.reach_of(points[:langid.FEW - 1], 4, 0.0) == langid.LIMIT
 
 
+def test_chosen_texts_are_not_copied():
+    """The vectors of a language's texts are the largest thing in a task: neither folds nor clusters copy them."""
+    points = np.random.default_rng(6).random((300, 1 << 14)).astype(np.float32) ** 9
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    tracemalloc.start()
+    langid.kmeans(points, 4, 2)
+    langid.reach_of(points, 4, 0.0)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < points.nbytes / 4
+    some = np.flatnonzero(np.arange(300) % 5 != 2)
+    assert np.allclose(langid.kmeans(points, 4, 3, some), langid.kmeans(points[some], 4, 3), atol=1e-6)
+
+
 def test_copies_are_one_text_of_the_sample(spark, monkeypatch):
     """A third of the rows are copies of a text; whether or not it is drawn, no fit has more than the different texts."""
     texts = [f"text number {i} with words of its own {i * 7919 % 997}" for i in range(40)]
