@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from rillframe.llm.store import settled
+from rillframe.llm.store import released
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -16,23 +16,23 @@ def components(links: DataFrame) -> DataFrame:
     driver but a count.
     """
     ends = links.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a <> b")
-    edges = settled(ends.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    edges = released(ends.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     joined = None
     while not edges.isEmpty():
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        step = settled(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("to")).select("id", F.least("id", "to").alias("to")))
+        step = released(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("to")).select("id", F.least("id", "to").alias("to")))
         # an id joins one that may itself join a smaller one: follow once more, which keeps all on paths downwards
         after = step.select(F.col("id").alias("to"), F.col("to").alias("next"))
-        step = settled(step.join(after, "to").select("id", F.least("to", "next").alias("to")))
+        step = released(step.join(after, "to").select("id", F.least("to", "next").alias("to")))
         if joined is None:
             joined = step
         else:
-            joined = settled(joined.withColumnRenamed("to", "mid").join(
+            joined = released(joined.withColumnRenamed("to", "mid").join(
                 step.select(F.col("id").alias("mid"), "to"), "mid", "left").select("id", F.coalesce("to", "mid").alias("to")))
         left = step.select(F.col("id").alias("a"), F.col("to").alias("x"))
         right = step.select(F.col("id").alias("b"), F.col("to").alias("y"))
         moved = edges.join(left, "a").join(right, "b").where("x <> y")
-        edges = settled(moved.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+        edges = released(moved.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
     if joined is None:
         return edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
     return joined.select("id", F.col("to").alias("component"))

@@ -3,13 +3,14 @@
 import math
 from collections import Counter
 from fractions import Fraction
+from pathlib import Path
 
 import brute
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rillframe.llm import neardup, passages, quality, suffixes
+from rillframe.llm import neardup, passages, quality, store, suffixes
 from rillframe.llm.links import components
 
 
@@ -144,6 +145,55 @@ def test_group_of_many_near_copies(spark):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in found) == Counter(brute.groups(rows, 2, 80))
 
 
+def test_any_deal_of_texts_gives_the_same(mixed, monkeypatch):
+    """Texts found by marked hashes, circles for all lists, blocks of a few classes, parts of a few texts."""
+    rows, docs, _ = mixed
+    want = Counter(brute.groups(pairs(rows), 2, 80))
+    for name, value in (("BROADCAST", 0), ("BLOCK", 400), ("ROWS", 3), ("PAIRS", 1)):
+        monkeypatch.setattr(neardup, name, value)
+    monkeypatch.setattr(store, "MARK_KEYS", 50)
+    found = neardup.grouped(docs, 2, 80).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in found) == want
+
+
+def test_among_loses_no_row_and_keeps_few_others(spark, monkeypatch):
+    monkeypatch.setattr(store, "MARK_KEYS", 700)
+    rows = spark.range(20_000).select("id", F.xxhash64("id").alias("key"))
+    wanted = store.settled(rows.where("id % 10 = 0").select("key"))
+    found = {r.id for r in store.among(rows, wanted, "key").collect()}
+    assert found >= set(range(0, 20_000, 10)) and len(found) < 2_100
+    assert store.among(rows, wanted.where("false"), "key").count() < 10
+
+
+def on_disk(spark):
+    """Bytes of the shuffle files of this session."""
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return sum(p.stat().st_size for f in folders for p in Path(f.getPath()).rglob("shuffle_*"))
+
+
+def test_near_duplicates_leave_no_shuffled_files(spark):
+    """What steps have shuffled is off the disk when they are written, whether or not the driver collects garbage."""
+    words = np.random.default_rng(3).integers(0, 400, (1500, 60)).tolist()
+    docs = spark.createDataFrame([(i, " ".join(f"w{x}" for x in own)) for i, own in enumerate(words)], "doc_id long, text string")
+    conf, before = spark.conf.get(store.CLEANUP, None), on_disk(spark)
+    found = neardup.grouped(docs, 2, 80)
+    assert on_disk(spark) - before < 100_000
+    assert spark.conf.get(store.CLEANUP, None) == conf and found.count() == 1500
+
+
+def test_unlike_texts_that_share_words_are_not_sent(spark, monkeypatch):
+    """Lists that meet by chance bring sketches together; texts are asked for where those match."""
+    asked, whole = [], neardup._texts
+    monkeypatch.setattr(neardup, "_texts", lambda docs, wanted: asked.append(wanted.count()) or whole(docs, wanted))
+    monkeypatch.setattr(neardup, "PAIRS", 1)
+    words = np.random.default_rng(4).integers(0, 30, (300, 80)).tolist()
+    rows = [(i, " ".join(f"w{x}" for x in own)) for i, own in enumerate(words)]
+    rows += [(300 + i, f"{text} end") for i, text in rows[:20]]
+    found = neardup.grouped(spark.createDataFrame(rows, "doc_id long, text string"), 2, 80).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in found) == Counter(brute.groups(rows, 2, 80))
+    assert sum(asked) < 150
+
+
 def test_first_of_each_group_stays(mixed):
     rows, docs, _ = mixed
     want = {i for i, _, c in brute.groups(pairs(rows), 5, 80) if i == c}
